@@ -20,13 +20,14 @@ def _on_raw(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def table_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     """Every query as a function of a Tables object."""
-    from .plans import analysis, features, kpis, loads, quality
+    from .plans import analysis, evaluation, features, kpis, loads, quality
     out: dict[str, Callable[[Tables], DataFrame]] = {}
     out.update(kpis.MARTS)
     out.update(analysis.QUERIES)
     out.update(quality.QUERIES)
     out.update(loads.QUERIES)
     out.update(features.QUERIES)
+    out.update(evaluation.QUERIES)
     return out
 
 
