@@ -4,7 +4,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-APPROVED = F.col("approved")
+def __getattr__(name: str):
+    # Built lazily: a Column needs an active SparkContext.
+    if name == "APPROVED":
+        return F.col("approved")
+    raise AttributeError(name)
 
 
 def col(c) -> Column:
@@ -15,14 +19,14 @@ def as_double(c) -> Column:
     return col(c).cast("double")
 
 
-def gpv_sum(amount="amount", approved=APPROVED) -> Column:
+def gpv_sum(amount="amount", approved="approved") -> Column:
     """Approved amount; NULL when the group has no approved row (FILTER semantics)."""
-    return F.sum(F.when(approved, col(amount)))
+    return F.sum(F.when(col(approved), col(amount)))
 
 
-def gpv_sum_zero(amount="amount", approved=APPROVED) -> Column:
+def gpv_sum_zero(amount="amount", approved="approved") -> Column:
     """Approved amount; 0 when the group has no approved row (CASE ... ELSE 0 semantics)."""
-    return F.sum(F.when(approved, col(amount)).otherwise(F.lit(0).cast("decimal(18,2)")))
+    return F.sum(F.when(col(approved), col(amount)).otherwise(F.lit(0).cast("decimal(18,2)")))
 
 
 def count_when(cond: Column) -> Column:

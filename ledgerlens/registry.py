@@ -20,7 +20,7 @@ def _on_raw(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def table_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     """Every query as a function of a Tables object."""
-    from .plans import analysis, evaluation, features, kpis, loads, models, quality
+    from .plans import analysis, dashboard, evaluation, features, kpis, loads, models, quality
     out: dict[str, Callable[[Tables], DataFrame]] = {}
     out.update(kpis.MARTS)
     out.update(analysis.QUERIES)
@@ -29,6 +29,7 @@ def table_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     out.update(features.QUERIES)
     out.update(evaluation.QUERIES)
     out.update(models.QUERIES)
+    out.update(dashboard.QUERIES)
     return out
 
 
