@@ -128,6 +128,15 @@ class Tables:
             return df
         return cls(spark, load, f"warehouse:{path}")
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Tables":
+        """Tables over given DataFrames (typed to the warehouse schemas); for tests."""
+        def load(name: str) -> DataFrame:
+            df = frames[name]
+            return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                               for f in schemas.SCHEMAS[name].fields if f.name in df.columns])
+        return cls(spark, load, "frames")
+
     @cached_property
     def merchants(self) -> DataFrame:
         return self._loader("merchants")
