@@ -27,14 +27,18 @@ def _parts(df: DataFrame, n_parts: int | None) -> int:
 def global_order(df: DataFrame, order: list[Column], *, row_number: str | None = None,
                  rank: str | None = None, dense_rank: str | None = None,
                  running_sums: dict[str, str] | None = None,
-                 n_parts: int | None = None) -> DataFrame:
+                 n_parts: int | None = None, input_written: bool = False) -> DataFrame:
     """Add global row_number / rank / dense_rank / running sums over ``order``.
 
     ``running_sums`` maps output name -> numeric column; the output is the
-    inclusive running sum in ``order``.
+    inclusive running sum in ``order``. The input is written once first
+    (unless ``input_written``): range partitioning samples its input in a
+    separate job, which would otherwise recompute the upstream plan.
     """
     running_sums = running_sums or {}
     n = _parts(df, n_parts)
+    if not input_written:
+        df = materialize(df, "order-input")
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*order)
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -83,8 +87,10 @@ def dense_rank_by_value(df: DataFrame, value: str, out: str, *, descending: bool
     """DENSE_RANK over one column, NULLs last, robust to hot (heavily tied) values.
 
     The distinct values are ranked (one row per value, so no range is hot),
-    then the rank is joined back with a null-safe equi-join.
+    then the rank is joined back with a null-safe equi-join. The input is
+    written once so it is not recomputed for the values and the join.
     """
+    df = materialize(df, "rank-input")
     values = df.select(value).distinct()
     o = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     ranked = global_order(values, [o], row_number=out, n_parts=n_parts).withColumnRenamed(value, "_v")
@@ -94,6 +100,7 @@ def dense_rank_by_value(df: DataFrame, value: str, out: str, *, descending: bool
 def rank_by_value(df: DataFrame, value: str, out: str, *, descending: bool = True,
                   n_parts: int | None = None) -> DataFrame:
     """RANK over one column, NULLs last: 1 + number of rows with a larger value."""
+    df = materialize(df, "rank-input")
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
     o = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     ranked = global_order(counts, [o], running_sums={"_cum": "_c"}, n_parts=n_parts)

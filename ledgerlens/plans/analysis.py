@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators.joins import rollup_through_dimension
+from ..operators.lineage import materialize
 from ..sources.fixtures import Tables
 
 
@@ -118,7 +119,9 @@ def top_mom_movers(t: Tables) -> DataFrame:
     The global maximum is an uncorrelated scalar subquery, not a window over
     all rows and not a cross join.
     """
-    deltas = merchant_month_growth(t).where(F.col("mom_growth").isNotNull())
+    # merchant-month rows are written once (far fewer than fact rows) so the
+    # maximum and the filter do not both rescan the fact
+    deltas = materialize(merchant_month_growth(t).where(F.col("mom_growth").isNotNull()), "mom")
     top = deltas.agg(F.max(F.abs("mom_growth"))).scalar()
     return deltas.where(F.abs("mom_growth") == top)
 

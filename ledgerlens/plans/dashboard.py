@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators.joins import can_broadcast, rollup_through_dimension
+from ..operators.lineage import materialize
 from ..operators.ranking import global_order
 from ..sources.fixtures import Tables
 from . import analysis, kpis
@@ -80,7 +81,7 @@ def _merchant_gpv(t: Tables) -> DataFrame:
 def top_n_gpv_share(t: Tables, ns=TOP_SHARE_NS) -> DataFrame:
     per = _merchant_gpv(t)
     ranked = global_order(per, [F.col("gpv").desc_nulls_last(), F.col("merchant_id").asc()], row_number="rn")
-    total = per.agg(F.sum("gpv")).scalar()
+    total = ranked.agg(F.sum("gpv")).scalar()  # from the written ranking, not a second fact scan
     parts = [ranked.agg(F.sum(F.when(F.col("rn") <= n, F.col("gpv"))).alias("top")).select(
         F.lit(n).alias("top_n"), X.as_double("top").alias("gpv_top"), X.as_double(total).alias("gpv_total"),
         X.safe_div("top", total).alias("share")) for n in ns]
@@ -95,7 +96,7 @@ def region_gpv_share(t: Tables) -> DataFrame:
 
 
 def rank_percentile(t: Tables) -> DataFrame:
-    tm = kpis.top_merchants(t)
+    tm = materialize(kpis.top_merchants(t), "top-merchants")
     mx = tm.agg(F.max("gpv_rank")).scalar()
     return tm.select("merchant_id", "gpv_rank",
                      (F.lit(1.0) - F.col("gpv_rank") / mx).alias("rank_percentile"))
@@ -254,14 +255,16 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
             dim = dim.where(F.col("merchant_size").isin(*sizes))
         dim = dim.select("merchant_id")
         tx = tx.join(F.broadcast(dim) if can_broadcast(t, "merchants") else dim, "merchant_id", "left_semi")
-    a = tx.agg(X.gpv_sum().alias("gpv"), F.count(F.lit(1)).alias("txns"),
-               X.count_when(X.APPROVED).alias("approved_txns"), F.sum("amount").alias("amount_total"),
-               F.count("amount").alias("amount_n"), F.sum("fee").alias("fees"))
-    merchants = tx.select("merchant_id").distinct().agg(F.count(F.lit(1))).scalar()
-    return a.select(X.as_double(F.coalesce("gpv", F.lit(0))).alias("gpv"), "txns",
+    # one scan: partial sums per merchant (map-side), then totals and the merchant count
+    sums = {"gpv": X.gpv_sum(), "txns": F.count(F.lit(1)), "approved_txns": X.count_when(X.APPROVED),
+            "amount_total": F.sum("amount"), "amount_n": F.count("amount"), "fees": F.sum("fee")}
+    per = tx.groupBy("merchant_id").agg(*[v.alias(k) for k, v in sums.items()])
+    a = per.agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("active_merchants"))
+    return a.select(X.as_double(F.coalesce("gpv", F.lit(0))).alias("gpv"),
+                    F.coalesce(F.col("txns"), F.lit(0)).cast("bigint").alias("txns"),
                     X.safe_div("approved_txns", "txns").alias("approval_rate"),
                     X.mean_from_sums("amount_total", "amount_n").alias("avg_ticket"),
-                    X.safe_div("fees", "gpv").alias("fee_yield"), merchants.alias("active_merchants"))
+                    X.safe_div("fees", "gpv").alias("fee_yield"), "active_merchants")
 
 
 def filtered_kpis_example(t: Tables) -> DataFrame:
