@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming source, watermark, windowed or stateful
+operator: its only refresh mode is a full rebuild (delete and reload, then
+recompute the marts). That is ``pipeline.run_all`` / ``warehouse.load_warehouse``
+here, so this package intentionally holds no operator.
+"""
