@@ -80,6 +80,18 @@ def summarize(t: Tables) -> DataFrame:
     return quality.run_summary(t)
 
 
+VIEW_NAMES = {name: f"v_{name}" for name in ("kpi_daily", "kpi_monthly", "industry_heatmap",
+                                              "merchant_cohorts", "top_merchants", "decline_drivers")}
+
+
+def register_kpi_views(t: Tables) -> dict[str, str]:
+    """Register the six KPI marts as temporary views (lazy plans, like SQL views)."""
+    from .plans import kpis
+    for name, view in VIEW_NAMES.items():
+        kpis.MARTS[name](t).createOrReplaceTempView(view)
+    return dict(VIEW_NAMES)
+
+
 def build_and_export_marts(t: Tables, paths: RunPaths) -> DataFrame:
     """Export the six KPI marts as CSV; returns (mart, rows) counted from the files."""
     exported = loads.export_marts(t, paths.marts)
@@ -135,6 +147,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_base: str, label: str = models
     paths = RunPaths(out_base)
     t = load_tables(spark, sf_dir, paths)
     quality.enforce(t)
+    register_kpi_views(t)
     summary = [r.asDict() for r in summarize(t).collect()]  # one row
     marts = {r["mart"]: r["rows"] for r in build_and_export_marts(t, paths).collect()}  # six rows
     build_features(t, paths)

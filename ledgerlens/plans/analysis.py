@@ -126,7 +126,31 @@ def top_mom_movers(t: Tables) -> DataFrame:
     return deltas.where(F.abs("mom_growth") == top)
 
 
-QUERIES = {
+# Presentation order of each analysis query (applied last; outputs are small aggregates).
+ORDER = {
+    "channel_heatmap": [F.col("region").asc_nulls_last(), F.col("channel").asc_nulls_last(),
+                        F.col("metric_year").asc_nulls_last()],
+    "customer_segment_retention": [F.col("segment").asc_nulls_last(), F.col("join_month").asc_nulls_last(),
+                                   F.col("month_index").asc_nulls_last()],
+    "fee_take_rate_trend": [F.col("txn_date").asc_nulls_last()],
+    "industry_region_declines": [F.col("decline_rank").asc_nulls_last()],
+    "payment_method_mix": [F.col("txn_date").asc_nulls_last(), F.col("channel").asc_nulls_last(),
+                           F.col("gpv").desc_nulls_last()],
+    "region_volume_volatility": [F.col("region").asc_nulls_last(), F.col("txn_date").asc_nulls_last()],
+    "rolling_approval_rate": [F.col("txn_date").asc_nulls_last()],
+    "top_mom_movers": [F.abs(F.col("mom_growth")).desc_nulls_last()],
+}
+
+
+def _presented(name, fn):
+    def run(t: Tables) -> DataFrame:
+        return fn(t).orderBy(*ORDER[name])
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _presented(name, fn) for name, fn in {
     "channel_heatmap": channel_heatmap,
     "customer_segment_retention": customer_segment_retention,
     "fee_take_rate_trend": fee_take_rate_trend,
@@ -135,4 +159,4 @@ QUERIES = {
     "region_volume_volatility": region_volume_volatility,
     "rolling_approval_rate": rolling_approval_rate,
     "top_mom_movers": top_mom_movers,
-}
+}.items()}
