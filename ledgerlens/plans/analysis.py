@@ -126,25 +126,28 @@ def top_mom_movers(t: Tables) -> DataFrame:
     return deltas.where(F.abs("mom_growth") == top)
 
 
-# Presentation order of each analysis query (applied last; outputs are small aggregates).
+# Presentation order of each analysis query, as (column, descending) pairs, NULLs last.
 ORDER = {
-    "channel_heatmap": [F.col("region").asc_nulls_last(), F.col("channel").asc_nulls_last(),
-                        F.col("metric_year").asc_nulls_last()],
-    "customer_segment_retention": [F.col("segment").asc_nulls_last(), F.col("join_month").asc_nulls_last(),
-                                   F.col("month_index").asc_nulls_last()],
-    "fee_take_rate_trend": [F.col("txn_date").asc_nulls_last()],
-    "industry_region_declines": [F.col("decline_rank").asc_nulls_last()],
-    "payment_method_mix": [F.col("txn_date").asc_nulls_last(), F.col("channel").asc_nulls_last(),
-                           F.col("gpv").desc_nulls_last()],
-    "region_volume_volatility": [F.col("region").asc_nulls_last(), F.col("txn_date").asc_nulls_last()],
-    "rolling_approval_rate": [F.col("txn_date").asc_nulls_last()],
-    "top_mom_movers": [F.abs(F.col("mom_growth")).desc_nulls_last()],
+    "channel_heatmap": [("region", False), ("channel", False), ("metric_year", False)],
+    "customer_segment_retention": [("segment", False), ("join_month", False), ("month_index", False)],
+    "fee_take_rate_trend": [("txn_date", False)],
+    "industry_region_declines": [("decline_rank", False)],
+    "payment_method_mix": [("txn_date", False), ("channel", False), ("gpv", True)],
+    "region_volume_volatility": [("region", False), ("txn_date", False)],
+    "rolling_approval_rate": [("txn_date", False)],
+    "top_mom_movers": [("abs_mom_growth", True)],
 }
 
 
+def presentation_order(name: str) -> list:
+    def key(c):
+        return F.abs(F.col("mom_growth")) if c == "abs_mom_growth" else F.col(c)
+    return [key(c).desc_nulls_last() if desc else key(c).asc_nulls_last() for c, desc in ORDER[name]]
+
+
 def _presented(name, fn):
     def run(t: Tables) -> DataFrame:
-        return fn(t).orderBy(*ORDER[name])
+        return fn(t).orderBy(*presentation_order(name))  # applied last, on small aggregated outputs
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
