@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlens.plans import analysis, dashboard, evaluation, features, kpis, quality  # noqa: E402
-from ledgerlens.session import build_session, shared_work_dir  # noqa: E402
+from ledgerlens.session import build_session, cleanup_work_dirs, shared_work_dir  # noqa: E402
 from ledgerlens.sources.fixtures import Tables  # noqa: E402
 from ledgerlens.sources.warehouse import load_warehouse  # noqa: E402
 
@@ -78,6 +78,7 @@ def main() -> None:
     print(json.dumps({"metric": "headline_queries_total_median_sec", "value": total, "unit": "sec",
                       "queries": results, "sf": sf_val, "cpus": cpus,
                       "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions"))}))
+    cleanup_work_dirs(spark)
     spark.stop()
 
 

@@ -49,6 +49,9 @@ def global_order(df: DataFrame, order: list[Column], *, row_number: str | None =
         local = local.withColumn("_ldense", F.dense_rank().over(w))
     for out, c in running_sums.items():
         local = local.withColumn(f"_lsum_{out}", F.sum(c).over(cum))
+    # Written once: range bounds come from a sample seeded per RDD, so the
+    # ranked rows and the per-range totals must read the same materialized
+    # assignment of rows to ranges rather than two separate computations.
     local = materialize(local, "order")
 
     totals_aggs = [F.count(F.lit(1)).alias("_n")]

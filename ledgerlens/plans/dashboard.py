@@ -237,10 +237,13 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
                   sizes=None, channels=None, methods=None) -> DataFrame:
     """KPI tiles under the dashboard's global filters (each filter optional)."""
     tx = t.transactions
+    # the year bounds let a year/month-partitioned fact skip whole partitions
     if start:
-        tx = tx.where(F.col("txn_date") >= F.lit(start).cast("date"))
+        tx = tx.where((F.col("txn_date") >= F.lit(start).cast("date"))
+                      & (F.col("partition_year") >= int(start[:4])))
     if end:
-        tx = tx.where(F.col("txn_date") <= F.lit(end).cast("date"))
+        tx = tx.where((F.col("txn_date") <= F.lit(end).cast("date"))
+                      & (F.col("partition_year") <= int(end[:4])))
     if channels:
         tx = tx.where(F.col("channel").isin(*channels))
     if methods:

@@ -53,3 +53,22 @@ def shared_work_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/ledgerlens-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cleanup_work_dirs(spark: SparkSession) -> int:
+    """Delete the ledgerlens-* folders this application wrote under the checkpoint
+    folder (call once the DataFrames reading them are no longer needed)."""
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir()
+    if not base:
+        return 0
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    removed = 0
+    if fs.exists(path):
+        for st in fs.listStatus(path):
+            if st.getPath().getName().startswith("ledgerlens-"):
+                fs.delete(st.getPath(), True)
+                removed += 1
+    return removed
