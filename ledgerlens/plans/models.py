@@ -114,7 +114,7 @@ def knn_scores(train: DataFrame, test: DataFrame, names: list[str], k: int = KNN
     tr_rows = tr.select(F.col("label").alias("y"), "vec",
                         F.pmod(F.xxhash64(*keys), F.lit(b_tr)).alias("bt"),
                         F.explode(F.sequence(F.lit(0), F.lit(b_te - 1))).alias("bq"),
-                        F.monotonically_increasing_id().alias("tid"))
+                        F.xxhash64(*keys).alias("tid"))  # deterministic under recomputation
     te_rows = te.select(*keys, "vec",
                         F.explode(F.sequence(F.lit(0), F.lit(b_tr - 1))).alias("bt"),
                         F.pmod(F.xxhash64(*keys), F.lit(b_te)).alias("bq"))
