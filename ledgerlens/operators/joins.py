@@ -22,6 +22,12 @@ def can_broadcast(tables, name: str) -> bool:
     return tables.row_count(name) <= broadcast_limit(tables.spark)
 
 
+def dimension_side(tables, name: str, df: DataFrame) -> DataFrame:
+    """A projection of dimension ``name`` as a join side: broadcast when the
+    dimension's measured row count is under the limit, else left to a shuffle join."""
+    return F.broadcast(df) if can_broadcast(tables, name) else df
+
+
 def sized_broadcast(df: DataFrame, rows: int, spark) -> DataFrame:
     """Broadcast hint for a side whose row count ``rows`` was measured."""
     return F.broadcast(df) if rows <= broadcast_limit(spark) else df

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.joins import rollup_through_dimension
+from ..operators.joins import dimension_side, rollup_through_dimension
 from ..operators.lineage import materialize
 from ..sources.fixtures import Tables
 
@@ -31,7 +31,7 @@ def customer_cohort_activity(t: Tables) -> DataFrame:
     activity = (t.transactions.where(X.APPROVED)
                 .select("customer_id", X.month_start("txn_date").alias("activity_month")).distinct())
     cohort = t.customers.select("customer_id", "segment", X.month_start("join_date").alias("join_month"))
-    joined = activity.join(cohort, "customer_id").where(F.col("activity_month") >= F.col("join_month"))
+    joined = activity.join(dimension_side(t, "customers", cohort), "customer_id").where(F.col("activity_month") >= F.col("join_month"))
     return joined.select("segment", "join_month", "activity_month", "customer_id",
                          X.month_boundaries_between("join_month", "activity_month").alias("month_index"))
 

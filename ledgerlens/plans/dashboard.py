@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.joins import can_broadcast, rollup_through_dimension
+from ..operators.joins import can_broadcast, dimension_side, rollup_through_dimension
 from ..operators.lineage import materialize
 from ..operators.ranking import global_order
 from ..sources.fixtures import Tables
@@ -81,11 +81,13 @@ def _merchant_gpv(t: Tables) -> DataFrame:
 def top_n_gpv_share(t: Tables, ns=TOP_SHARE_NS) -> DataFrame:
     per = _merchant_gpv(t)
     ranked = global_order(per, [F.col("gpv").desc_nulls_last(), F.col("merchant_id").asc()], row_number="rn")
-    total = ranked.agg(F.sum("gpv")).scalar()  # from the written ranking, not a second fact scan
-    parts = [ranked.agg(F.sum(F.when(F.col("rn") <= n, F.col("gpv"))).alias("top")).select(
-        F.lit(n).alias("top_n"), X.as_double("top").alias("gpv_top"), X.as_double(total).alias("gpv_total"),
-        X.safe_div("top", total).alias("share")) for n in ns]
-    return reduce(DataFrame.unionByName, parts)
+    # one aggregate over the written ranking: the total and every top-n sum
+    sums = ranked.agg(F.sum("gpv").alias("total"),
+                      *[F.sum(F.when(F.col("rn") <= n, F.col("gpv"))).alias(f"top{n}") for n in ns])
+    rows = sums.select("total", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("top_n"), F.col(f"top{n}").alias("top")) for n in ns])).alias("r"))
+    return rows.select("r.top_n", X.as_double("r.top").alias("gpv_top"), X.as_double("total").alias("gpv_total"),
+                       X.safe_div("r.top", "total").alias("share"))
 
 
 def region_gpv_share(t: Tables) -> DataFrame:
@@ -106,7 +108,7 @@ def merchant_detail(t: Tables) -> DataFrame:
     per = t.transactions.groupBy("merchant_id").agg(
         X.gpv_sum().alias("gpv"), F.count(F.lit(1)).alias("txns"), X.count_when(X.APPROVED).alias("approved_txns"))
     dim = t.merchants.select("merchant_id", "merchant_size", "region", "industry")
-    return per.join(dim, "merchant_id").select(
+    return per.join(dimension_side(t, "merchants", dim), "merchant_id").select(
         "merchant_id", "merchant_size", "region", "industry", X.as_double("gpv").alias("gpv"), "txns",
         "approved_txns", X.safe_div("approved_txns", "txns").alias("approval_rate"))
 
@@ -196,7 +198,7 @@ def at_risk_cohorts(t: Tables, limit: float = RISK_RETENTION) -> DataFrame:
 def retention_by_size_region(t: Tables) -> DataFrame:
     act = kpis.merchant_cohort_activity(t)
     dims = t.merchants.select("merchant_id", "merchant_size", "region")
-    cells = act.join(dims, "merchant_id").groupBy("merchant_size", "region", "month_index").agg(
+    cells = act.join(dimension_side(t, "merchants", dims), "merchant_id").groupBy("merchant_size", "region", "month_index").agg(
         F.count(F.lit(1)).alias("retained_merchants"))
     sizes = t.merchants.groupBy("merchant_size", "region").agg(F.count(F.lit(1)).alias("merchants"))
     return cells.join(F.broadcast(sizes), ["merchant_size", "region"]).select(  # sizes x regions
@@ -229,7 +231,7 @@ def cohort_delta(t: Tables) -> DataFrame:
 def cohort_members(t: Tables) -> DataFrame:
     act = kpis.merchant_cohort_activity(t)
     dims = t.merchants.select("merchant_id", "merchant_size", "region", "industry")
-    return act.join(dims, "merchant_id").select("signup_month", "month_index", "merchant_id", "merchant_size",
+    return act.join(dimension_side(t, "merchants", dims), "merchant_id").select("signup_month", "month_index", "merchant_id", "merchant_size",
                                                 "region", "industry")
 
 
@@ -370,7 +372,7 @@ def customer_cohort_weekly_retention(t: Tables) -> DataFrame:
     act = (t.transactions.where(X.APPROVED)
            .select("customer_id", X.week_start("txn_date").alias("activity_week")).distinct())
     cohort = t.customers.select("customer_id", X.week_start("join_date").alias("join_week"))
-    cells = (act.join(cohort, "customer_id").where(F.col("activity_week") >= F.col("join_week"))
+    cells = (act.join(dimension_side(t, "customers", cohort), "customer_id").where(F.col("activity_week") >= F.col("join_week"))
              .groupBy("join_week", (F.datediff("activity_week", "join_week") / 7).cast("bigint").alias("week_index"))
              .agg(F.count(F.lit(1)).alias("retained_customers")))
     sizes = cohort.groupBy("join_week").agg(F.count(F.lit(1)).alias("cohort_customers"))

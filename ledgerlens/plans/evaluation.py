@@ -8,6 +8,7 @@ with ``global_order``; top-k and deciles use a global row number with
 """
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,20 +58,26 @@ def split_fallback_quantile_of(lab: DataFrame) -> DataFrame:
     return lab.agg(F.date_from_unix_date(F.floor(q).cast("int")).alias("quantile_date"))
 
 
-def split_date_of(lab: DataFrame, train_end_date: str | None = None) -> Column:
-    """Scalar: explicit date, else latest labelled week - 8 weeks; the 0.8
-    quantile when no labelled row lies after that cut."""
+def split_date_value(lab: DataFrame, train_end_date: str | None = None):
+    """Explicit date, else latest labelled week - 8 weeks; the 0.8 quantile when
+    no labelled row lies after that cut. One small aggregate plus an existence
+    check; the single date is used as a literal."""
+    import datetime as dt
+
     if train_end_date:
-        return F.lit(train_end_date).cast("date")
-    latest = lab.agg(F.max("week_start_date")).scalar()
-    cut = F.date_sub(latest, 7 * SPLIT_WEEKS_BACK)
-    after = lab.agg(F.count_if(F.col("week_start_date") > cut)).scalar()
-    q = split_fallback_quantile_of(lab).scalar()
-    return F.when(after > 0, cut).otherwise(q)
+        return dt.date.fromisoformat(str(train_end_date)[:10])
+    q = F.percentile(F.unix_date("week_start_date"), F.lit(FALLBACK_QUANTILE))
+    row = lab.agg(F.max("week_start_date").alias("latest"),
+                  F.date_from_unix_date(F.floor(q).cast("int")).alias("q")).first()
+    if row["latest"] is None:
+        raise ValueError("no labelled rows")
+    cut = row["latest"] - dt.timedelta(weeks=SPLIT_WEEKS_BACK)
+    has_after = lab.where(F.col("week_start_date") > F.lit(cut)).limit(1).count() > 0
+    return cut if has_after else row["q"]
 
 
 def with_side(lab: DataFrame, train_end_date: str | None = None) -> DataFrame:
-    split = split_date_of(lab, train_end_date)
+    split = F.lit(split_date_value(lab, train_end_date))
     return lab.withColumn("split_date", split).withColumn(
         "side", F.when(F.col("week_start_date") <= F.col("split_date"), "train").otherwise("test"))
 
@@ -132,56 +139,64 @@ def _ranked(scored: DataFrame) -> DataFrame:
     return global_order(scored, order, row_number="rn")
 
 
+def _totals(scored: DataFrame) -> tuple[int, int]:
+    row = scored.agg(F.count(F.lit(1)).alias("n"), F.sum("y_true").alias("p")).first()
+    return int(row["n"]), int(row["p"] or 0)
+
+
 def precision_recall_at_k(scored: DataFrame, pcts=TOP_K_PCTS, ranked: DataFrame | None = None) -> DataFrame:
+    """k = max(1, floor(n * pct)); precision = hits / k; recall = hits / positives (0 without positives)."""
     ranked = ranked if ranked is not None else _ranked(scored)
-    n = scored.agg(F.count(F.lit(1))).scalar()
-    positives = scored.agg(F.sum("y_true")).scalar()
-    rows = []
-    for p in pcts:
-        k = F.greatest(F.lit(1), F.floor(n * F.lit(float(p))).cast("bigint"))
-        top = ranked.agg(F.sum(F.when(F.col("rn") <= k, F.col("y_true")).otherwise(0)).alias("tp"))
-        rows.append(top.select(
-            F.lit(float(p)).alias("pct"), k.alias("k"),
-            (F.col("tp") / k).alias("precision"),
-            F.when(positives > 0, F.col("tp") / positives).otherwise(F.lit(0.0)).alias("recall")))
-    return reduce(DataFrame.unionByName, rows)
+    n, positives = _totals(scored)
+    ks = [max(1, int(math.floor(n * float(p)))) for p in pcts]
+    hits = ranked.agg(*[F.sum(F.when(F.col("rn") <= k, F.col("y_true")).otherwise(0)).alias(f"tp{i}")
+                        for i, k in enumerate(ks)])
+    rows = hits.select(F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("pct"), F.lit(k).cast("bigint").alias("k"), F.col(f"tp{i}").alias("tp"))
+        for i, (p, k) in enumerate(zip(pcts, ks))])).alias("r")).select("r.*")
+    recall = (F.col("tp") / F.lit(positives)) if positives > 0 else F.lit(0.0)
+    return rows.select("pct", "k", (F.col("tp") / F.col("k")).alias("precision"), recall.alias("recall"))
 
 
 def lift_table(scored: DataFrame, deciles: int = DECILES, ranked: DataFrame | None = None) -> DataFrame:
     """Equal-count slices of ceil(n/deciles) rows by score (trailing slices may be short or absent)."""
     ranked = ranked if ranked is not None else _ranked(scored)
-    n = scored.agg(F.count(F.lit(1))).scalar()
-    positives = scored.agg(F.sum("y_true")).scalar()
-    slice_size = F.ceil(n / F.lit(float(deciles))).cast("bigint")
+    n, positives = _totals(scored)
+    slice_size = F.lit(int(math.ceil(n / float(deciles))) if n else 1).cast("bigint")
     buckets = ranked.withColumn("decile", (F.floor((F.col("rn") - 1) / slice_size) + 1).cast("int"))
     per = buckets.groupBy("decile").agg(
         F.count(F.lit(1)).alias("population"),
         F.round(F.avg("score"), 10).alias("avg_score"),
         F.sum("y_true").cast("bigint").alias("positives"))
     cum = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)  # <= 10 rows
-    baseline = positives / n
-    return per.select(
-        "decile", "population", "avg_score", "positives",
-        F.when(baseline > 0, (F.col("positives") / F.col("population")) / baseline).otherwise(F.lit(0.0))
-        .alias("lift"),
-        F.when(positives > 0, F.sum("positives").over(cum) / positives).otherwise(F.lit(0.0))
-        .alias("cumulative_capture"))
+    if positives > 0:
+        baseline = F.lit(positives) / F.lit(n)
+        lift = (F.col("positives") / F.col("population")) / baseline
+        capture = F.sum("positives").over(cum) / F.lit(positives)
+    else:
+        lift = capture = F.lit(0.0)
+    return per.select("decile", "population", "avg_score", "positives", lift.alias("lift"),
+                      capture.alias("cumulative_capture"))
 
 
 def model_metrics(scored: DataFrame, model: str) -> DataFrame:
     """One metrics row: roc_auc, average precision, precision/recall at 1/5/10 %.
 
-    The parts are one-row frames combined with scalar subqueries (no cross join).
+    The one-row parts are stacked and folded with MAX (no cross join, no
+    repeated subqueries).
     """
     pk = precision_recall_at_k(scored)
     cols = []
     for p in TOP_K_PCTS:
         tag = f"{int(round(p * 100))}pct"
         at = F.col("pct") == float(p)
-        cols.append(pk.agg(F.max(F.when(at, F.col("precision")))).scalar().alias(f"precision_at_{tag}"))
-        cols.append(pk.agg(F.max(F.when(at, F.col("recall")))).scalar().alias(f"recall_at_{tag}"))
+        cols += [F.max(F.when(at, F.col("precision"))).alias(f"precision_at_{tag}"),
+                 F.max(F.when(at, F.col("recall"))).alias(f"recall_at_{tag}")]
+    wide = pk.agg(*cols)
     auc = roc_auc_average_precision(scored)
-    return auc.select(F.lit(model).alias("model"), "roc_auc", "average_precision", *cols)
+    both = auc.unionByName(wide, allowMissingColumns=True)
+    names = auc.columns + wide.columns
+    return both.agg(*[F.max(c).alias(c) for c in names]).select(F.lit(model).alias("model"), *names)
 
 
 def best_model(metrics: DataFrame, order: list[str]) -> DataFrame:
@@ -201,7 +216,7 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     """
     vals = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
     ordered = global_order(vals, [F.col(column).asc()], running_sums={"_cum": "_c"})
-    n = vals.agg(F.sum("_c")).scalar()
+    n = F.lit(ordered.agg(F.sum("_c")).first()[0] or 0)
     k1 = F.floor((n + 1) / 2)
     k2 = F.ceil((n + 1) / 2)
     covers = lambda k: (F.col("_cum") - F.col("_c") < k) & (F.col("_cum") >= k)
@@ -209,8 +224,15 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     return picked.agg(((F.min(column) + F.max(column)) / 2).alias(f"median_{column}"))
 
 
-def latest_week(features: DataFrame) -> DataFrame:
-    return features.where(F.col("week_start_date") == features.agg(F.max("week_start_date")).scalar())
+def exact_median_value(df: DataFrame, column: str):
+    return exact_median(df, column).first()[0]
+
+
+def latest_week(features: DataFrame, latest=None) -> DataFrame:
+    """Rows of the latest week (one date, computed with one aggregate unless given)."""
+    if latest is None:
+        latest = features.agg(F.max("week_start_date")).first()[0]
+    return features.where(F.col("week_start_date") == F.lit(latest))
 
 
 def risk_bucket(score: Column) -> Column:
@@ -236,15 +258,13 @@ def recommendation(median_gpv: Column) -> tuple[Column, Column]:
 
 def minmax_scale(df: DataFrame, raw: str, out: str) -> DataFrame:
     """(x - min) / (max - min + 1e-9) with min / max as scalar subqueries."""
-    lo = df.agg(F.min(raw)).scalar()
-    hi = df.agg(F.max(raw)).scalar()
-    return df.withColumn(out, (F.col(raw) - lo) / (hi - lo + F.lit(1e-9)))
+    lo, hi = df.agg(F.min(raw), F.max(raw)).first()
+    return df.withColumn(out, (F.col(raw) - F.lit(lo)) / (F.lit(hi) - F.lit(lo) + F.lit(1e-9)))
 
 
 def outreach(features: DataFrame, scored_latest: DataFrame) -> DataFrame:
     """Ranked outreach list: latest-week rows with score, bucket, driver, action, rank 1..n."""
-    median_gpv = exact_median(features, "gpv").scalar()
-    driver, action = recommendation(median_gpv)
+    driver, action = recommendation(F.lit(exact_median_value(features, "gpv")))
     rows = scored_latest.select(
         "merchant_id", "week_start_date", F.col("score").alias("churn_risk_score"),
         risk_bucket(F.col("score")).alias("risk_bucket"), driver.alias("top_driver"),
@@ -257,10 +277,10 @@ def search_training_sample(train: DataFrame) -> DataFrame:
     """Model-search sample: the last 26 train weeks when that slice has >= 5,000
     rows, else all train rows; then at most 200,000 rows chosen by a seeded hash
     (the row cap is the operator's purpose)."""
-    latest = train.agg(F.max("week_start_date")).scalar()
-    recent_cond = F.col("week_start_date") >= F.date_sub(latest, 7 * SEARCH_RECENT_WEEKS)
-    n_recent = train.agg(F.count_if(recent_cond)).scalar()
-    pool = train.where(recent_cond | (n_recent < SEARCH_MIN_RECENT_ROWS))
+    latest = train.agg(F.max("week_start_date")).first()[0]
+    recent_cond = F.col("week_start_date") >= F.date_sub(F.lit(latest), 7 * SEARCH_RECENT_WEEKS)
+    n_recent = train.where(recent_cond).count()
+    pool = train.where(recent_cond) if n_recent >= SEARCH_MIN_RECENT_ROWS else train
     return pool.orderBy(F.xxhash64(F.lit(SEED), *ID_COLS)).limit(SEARCH_MAX_ROWS)
 
 
@@ -320,9 +340,9 @@ def q_best_model(t: Tables) -> DataFrame:
 def q_balanced_class_weights(t: Tables) -> DataFrame:
     lab = labelled(_training(t), "churn_4w")
     train = with_side(lab).where(F.col("side") == "train")
-    n = train.agg(F.count(F.lit(1))).scalar()
-    return train.groupBy(F.col("churn_4w").cast("int").alias("class")).agg(
-        F.count(F.lit(1)).alias("rows")).withColumn("weight", n / (F.lit(2.0) * F.col("rows")))
+    per = train.groupBy(F.col("churn_4w").cast("int").alias("class")).agg(F.count(F.lit(1)).alias("rows"))
+    total = F.sum("rows").over(Window.partitionBy())  # one row per class
+    return per.withColumn("weight", total / (F.lit(2.0) * F.col("rows")))
 
 
 def q_feature_median(t: Tables) -> DataFrame:
@@ -330,7 +350,9 @@ def q_feature_median(t: Tables) -> DataFrame:
 
 
 def q_latest_week_features(t: Tables) -> DataFrame:
-    return latest_week(FT.merchant_week_features(t))
+    # the latest feature week is the week of the latest transaction: one column scan
+    latest = t.transactions.agg(F.trunc(F.max("txn_date"), "week")).first()[0]
+    return latest_week(FT.merchant_week_features(t), latest)
 
 
 def _latest_standin(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -346,7 +368,7 @@ def q_risk_bucket(t: Tables) -> DataFrame:
 
 def q_recommended_action(t: Tables) -> DataFrame:
     feats, latest = _latest_standin(t)
-    driver, action = recommendation(exact_median(feats, "gpv").scalar())
+    driver, action = recommendation(F.lit(exact_median_value(feats, "gpv")))
     return latest.select("merchant_id", driver.alias("top_driver"), action.alias("recommended_action"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.joins import rollup_through_dimension
+from ..operators.joins import dimension_side, rollup_through_dimension
 from ..operators.ranking import dense_rank_by_value
 from ..sources.fixtures import Tables
 
@@ -83,7 +83,7 @@ def merchant_cohort_activity(t: Tables) -> DataFrame:
     activity = (t.transactions.where(X.APPROVED)
                 .select("merchant_id", X.month_start("txn_date").alias("activity_month")).distinct())
     cohort = t.merchants.select("merchant_id", X.month_start("signup_date").alias("signup_month"))
-    joined = activity.join(cohort, "merchant_id").where(F.col("activity_month") >= F.col("signup_month"))
+    joined = activity.join(dimension_side(t, "merchants", cohort), "merchant_id").where(F.col("activity_month") >= F.col("signup_month"))
     return joined.select("signup_month", "activity_month", "merchant_id",
                          X.month_boundaries_between("signup_month", "activity_month").alias("month_index"))
 
@@ -107,7 +107,8 @@ def merchant_performance(t: Tables) -> DataFrame:
     """Per merchant with at least one transaction: gpv (NULL if none approved), txns."""
     per_merchant = t.transactions.groupBy("merchant_id").agg(
         X.gpv_sum().alias("gpv"), F.count(F.lit(1)).alias("txns"))
-    return per_merchant.join(t.merchants.select("merchant_id", "industry", "region"), "merchant_id")
+    dim = t.merchants.select("merchant_id", "industry", "region")
+    return per_merchant.join(dimension_side(t, "merchants", dim), "merchant_id")
 
 
 def top_merchants(t: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.joins import rollup_through_dimension
+from ..operators.joins import dimension_side, rollup_through_dimension
 from ..sources.fixtures import Tables
 
 
@@ -69,17 +69,18 @@ def dq_range_checks(t: Tables) -> DataFrame:
         X.count_when(~F.col("approved").isin(True, False)).alias("invalid_approved"))
 
 
-def _orphans(fact: DataFrame, dim: DataFrame, key: str, out: str) -> DataFrame:
-    keys = fact.select(key).distinct()  # partial dedupe map-side before the shuffle
-    return keys.join(dim.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias(out))
+def _orphans(t: Tables, dim_name: str, key: str, out: str) -> DataFrame:
+    keys = t.transactions.select(key).distinct()  # partial dedupe map-side before the shuffle
+    dim = dimension_side(t, dim_name, t.table(dim_name).select(key))
+    return keys.join(dim, key, "left_anti").agg(F.count(F.lit(1)).alias(out))
 
 
 def dq_fk_merchant(t: Tables) -> DataFrame:
-    return _orphans(t.transactions, t.merchants, "merchant_id", "missing_merchants")
+    return _orphans(t, "merchants", "merchant_id", "missing_merchants")
 
 
 def dq_fk_customer(t: Tables) -> DataFrame:
-    return _orphans(t.transactions, t.customers, "customer_id", "missing_customers")
+    return _orphans(t, "customers", "customer_id", "missing_customers")
 
 
 PRIMARY_KEYS = {"merchants": "merchant_id", "customers": "customer_id", "transactions": "txn_id"}
