@@ -19,14 +19,34 @@ def as_double(c) -> Column:
     return col(c).cast("double")
 
 
+def money_sum(value="amount", cond: Column | None = None, scale: int = 2, zero: bool = False) -> Column:
+    """Exact SUM of a money column with ``scale`` decimals, as decimal(38, scale).
+
+    The sum runs on integer units (cents, micro-units) in a bigint aggregation
+    buffer, which stays on primitive longs; a decimal SUM widens past 18 digits
+    and falls back to BigDecimal arithmetic. Only the aggregated value is
+    turned back into a decimal. ``cond`` keeps FILTER semantics (NULL when no
+    row matches) unless ``zero`` asks for CASE ... ELSE 0 semantics.
+    """
+    units = (col(value) * F.lit(10 ** scale)).cast("bigint")
+    if cond is not None:
+        units = F.when(cond, units).otherwise(F.lit(0).cast("bigint")) if zero else F.when(cond, units)
+    unit = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({scale},{scale})")
+    return F.sum(units).cast("decimal(38,0)") * unit
+
+
+def fee_sum(cond: Column | None = None) -> Column:
+    return money_sum("fee", cond, scale=6)
+
+
 def gpv_sum(amount="amount", approved="approved") -> Column:
     """Approved amount; NULL when the group has no approved row (FILTER semantics)."""
-    return F.sum(F.when(col(approved), col(amount)))
+    return money_sum(amount, col(approved))
 
 
 def gpv_sum_zero(amount="amount", approved="approved") -> Column:
     """Approved amount; 0 when the group has no approved row (CASE ... ELSE 0 semantics)."""
-    return F.sum(F.when(col(approved), col(amount)).otherwise(F.lit(0).cast("decimal(18,2)")))
+    return money_sum(amount, col(approved), zero=True)
 
 
 def count_when(cond: Column) -> Column:

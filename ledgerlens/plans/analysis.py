@@ -52,7 +52,7 @@ def customer_segment_retention(t: Tables) -> DataFrame:
 
 def fee_take_rate_trend(t: Tables) -> DataFrame:
     daily = t.transactions.groupBy("txn_date").agg(
-        F.sum("fee").alias("total_fees"), X.gpv_sum().alias("approved_volume"))
+        X.fee_sum().alias("total_fees"), X.gpv_sum().alias("approved_volume"))
     take = X.safe_div("total_fees", "approved_volume")
     w = Window.orderBy("txn_date").rowsBetween(-13, Window.currentRow)  # one row per day
     return daily.select(

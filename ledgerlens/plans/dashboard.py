@@ -35,7 +35,7 @@ ROLLING_DAYS = 28
 def _daily(t: Tables) -> DataFrame:
     return t.transactions.groupBy(F.col("txn_date").alias("day")).agg(
         X.gpv_sum().alias("gpv"), F.count(F.lit(1)).alias("txns"),
-        X.count_when(X.APPROVED).alias("approved_txns"), F.sum("fee").alias("fees"))
+        X.count_when(X.APPROVED).alias("approved_txns"), X.fee_sum().alias("fees"))
 
 
 def fee_yield_daily(t: Tables) -> DataFrame:
@@ -65,7 +65,7 @@ def top3_industries_latest_year(t: Tables, k: int = TOP_INDUSTRIES) -> DataFrame
     latest = t.transactions.agg(F.max("partition_year")).scalar()
     fact = t.transactions.where(X.APPROVED & (F.col("partition_year") == latest))
     g = rollup_through_dimension(t, fact, "merchants", "merchant_id", ["partition_year"], ["industry"],
-                                 {"gpv": F.sum("amount")})
+                                 {"gpv": X.money_sum("amount")})
     return g.orderBy(F.col("gpv").desc(), "industry").limit(k).select(
         F.col("partition_year").alias("metric_year"), "industry", X.as_double("gpv").alias("gpv"))
 
@@ -129,13 +129,13 @@ def overall_decline_rate(t: Tables) -> DataFrame:
 def declined_dollars(t: Tables) -> DataFrame:
     declined = t.transactions.where(~X.APPROVED)
     return declined.groupBy("channel").agg(
-        X.as_double(F.sum("amount")).alias("declined_amount"), F.count(F.lit(1)).alias("declined_txns"))
+        X.as_double(X.money_sum("amount")).alias("declined_amount"), F.count(F.lit(1)).alias("declined_txns"))
 
 
 def _weekly_channel(t: Tables) -> DataFrame:
     return t.transactions.groupBy("channel", X.week_start("txn_date").alias("week_start_date")).agg(
         X.gpv_sum().alias("gpv"), F.count(F.lit(1)).alias("txns"), X.count_when(X.APPROVED).alias("approved_txns"),
-        F.sum("fee").alias("fees"))
+        X.fee_sum().alias("fees"))
 
 
 def channel_wow_drop(t: Tables) -> DataFrame:
@@ -262,7 +262,7 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
         tx = tx.join(F.broadcast(dim) if can_broadcast(t, "merchants") else dim, "merchant_id", "left_semi")
     # one scan: partial sums per merchant (map-side), then totals and the merchant count
     sums = {"gpv": X.gpv_sum(), "txns": F.count(F.lit(1)), "approved_txns": X.count_when(X.APPROVED),
-            "amount_total": F.sum("amount"), "amount_n": F.count("amount"), "fees": F.sum("fee")}
+            "amount_total": X.money_sum("amount"), "amount_n": F.count("amount"), "fees": X.fee_sum()}
     per = tx.groupBy("merchant_id").agg(*[v.alias(k) for k, v in sums.items()])
     a = per.agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("active_merchants"))
     return a.select(X.as_double(F.coalesce("gpv", F.lit(0))).alias("gpv"),

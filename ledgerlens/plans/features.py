@@ -9,8 +9,11 @@ Plan shape (one fact scan, two shuffles for everything):
    aggregate, the spine and the label windows are all partitioned by
    merchant_id, so they reuse that single exchange.
 
-Sums stay exact decimals (sum, sum of squares) so the standard deviations and
-the 60 % revenue test do not depend on summation order.
+Money is summed as exact integer cents (bigint; fees as micro-units), which
+keeps every sum exact and order-independent while running on primitive longs
+(decimal sums widen past 18 digits and fall back to BigDecimal). Sums of
+squares, which can exceed a long, stay decimal. The 60 % revenue test compares
+integers: 10 x future <= 6 x trailing.
 """
 from __future__ import annotations
 
@@ -22,6 +25,7 @@ from ..sources.fixtures import Tables
 
 HORIZON = 4
 DECLINE_RATIO = "0.6"
+RATIO_NUM, RATIO_DEN = 6, 10  # DECLINE_RATIO as an exact fraction
 
 COUNT_FEATURES = ["txns", "approved_txns", "decline_txns", "active_days"]
 DOUBLE_FEATURES = ["gpv", "avg_amount", "total_fees", "amount_volatility", "gpv_volatility", "decline_rate",
@@ -38,29 +42,29 @@ VOLATILITY_DIGITS = 6
 def merchant_days(t: Tables) -> DataFrame:
     """Exact per merchant-day partial sums, hash-partitioned by merchant_id."""
     tx = t.transactions
-    amt = F.col("amount")
+    cents = (F.col("amount") * 100).cast("bigint")
     ok = X.APPROVED
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("bigint")
 
-    def approved_amount(cond=None):
+    def approved_cents(cond=None):
         c = ok if cond is None else (ok & cond)
-        return F.sum(F.when(c, amt).otherwise(zero))
+        return F.sum(F.when(c, cents).otherwise(zero))
 
     days = tx.groupBy("merchant_id", X.week_start("txn_date").alias("week_start_date"), "txn_date").agg(
         F.count(F.lit(1)).alias("txns"),
         X.count_when(ok).alias("approved_txns"),
         X.count_when(~ok).alias("decline_txns"),
-        approved_amount().alias("gpv"),
-        F.sum(amt).alias("amount_sum"),
-        F.count(amt).alias("amount_n"),
-        F.sum(amt * amt).alias("amount_sq"),
-        F.sum(F.when(ok, F.col("fee")).otherwise(F.lit(0).cast("decimal(24,6)"))).alias("total_fees"),
-        approved_amount(F.col("payment_method") == "card").alias("card_gpv"),
-        approved_amount(F.col("payment_method") == "ach").alias("ach_gpv"),
-        approved_amount(F.col("payment_method") == "wallet").alias("wallet_gpv"),
-        approved_amount(F.col("channel") == "pos").alias("pos_gpv"),
-        approved_amount(F.col("channel") == "ecom").alias("ecom_gpv"),
-        approved_amount(F.col("channel").isin("in_app", "inapp")).alias("inapp_gpv"),
+        approved_cents().alias("gpv"),
+        F.sum(cents).alias("amount_sum"),
+        F.count(cents).alias("amount_n"),
+        F.sum(cents.cast("decimal(20,0)") * cents.cast("decimal(20,0)")).alias("amount_sq"),
+        F.sum(F.when(ok, (F.col("fee") * 1000000).cast("bigint")).otherwise(zero)).alias("total_fees"),
+        approved_cents(F.col("payment_method") == "card").alias("card_gpv"),
+        approved_cents(F.col("payment_method") == "ach").alias("ach_gpv"),
+        approved_cents(F.col("payment_method") == "wallet").alias("wallet_gpv"),
+        approved_cents(F.col("channel") == "pos").alias("pos_gpv"),
+        approved_cents(F.col("channel") == "ecom").alias("ecom_gpv"),
+        approved_cents(F.col("channel").isin("in_app", "inapp")).alias("inapp_gpv"),
     )
     # Rows are already one per merchant-day: partitioning by merchant alone is
     # skew-safe and serves the week aggregate and every per-merchant window.
@@ -71,32 +75,43 @@ def _weeks_exact(t: Tables) -> DataFrame:
     days = merchant_days(t)
     sums = ["txns", "approved_txns", "decline_txns", "gpv", "amount_sum", "amount_n", "amount_sq", "total_fees",
             "card_gpv", "ach_gpv", "wallet_gpv", "pos_gpv", "ecom_gpv", "inapp_gpv"]
+    day_gpv = F.col("gpv").cast("decimal(38,0)")
     return days.groupBy("merchant_id", "week_start_date").agg(
         *[F.sum(c).alias(c) for c in sums],
         F.count(F.lit(1)).alias("active_days"),
-        F.sum(F.col("gpv") * F.col("gpv")).alias("gpv_sq"),
+        F.sum(day_gpv * day_gpv).alias("gpv_sq"),
     )
 
 
+def _dollars(cents) -> F.Column:
+    return X.as_double(cents) / F.lit(100.0)
+
+
+def _volatility(n, s1, s2) -> F.Column:
+    """Population stddev in dollars from cent sums (0 when undefined), rounded."""
+    std_cents = X.pop_stddev_from_sums(n, F.col(s1).cast("decimal(38,0)"), s2)
+    return F.round(F.coalesce(std_cents / F.lit(100.0), F.lit(0.0)), VOLATILITY_DIGITS)
+
+
 def _feature_columns(w: DataFrame) -> DataFrame:
     gpv = F.col("gpv")
-    share = lambda c: X.ratio_or_zero(c, gpv)
-    vol = lambda n, s1, s2: F.round(F.coalesce(X.pop_stddev_from_sums(n, s1, s2), F.lit(0.0)),
-                                    VOLATILITY_DIGITS)
+    # ratios divide dollar values (cents / 100 is the correctly rounded dollar double)
+    share = lambda c: F.when(gpv > 0, _dollars(c) / _dollars(gpv)).otherwise(F.lit(0.0))
+    fees_dollars = X.as_double("total_fees") / F.lit(1000000.0)
     return w.select(
         "merchant_id", "week_start_date",
         F.col("txns").cast("bigint").alias("txns"),
         F.col("approved_txns").cast("bigint").alias("approved_txns"),
         F.col("decline_txns").cast("bigint").alias("decline_txns"),
-        X.as_double("gpv").alias("gpv"),
-        X.mean_from_sums("amount_sum", "amount_n").alias("avg_amount"),
-        X.as_double("total_fees").alias("total_fees"),
+        _dollars("gpv").alias("gpv"),
+        F.when(F.col("amount_n") > 0, _dollars("amount_sum") / X.as_double("amount_n")).alias("avg_amount"),
+        fees_dollars.alias("total_fees"),
         F.col("active_days").cast("bigint").alias("active_days"),
-        vol("amount_n", "amount_sum", "amount_sq").alias("amount_volatility"),
-        vol("active_days", "gpv", "gpv_sq").alias("gpv_volatility"),
+        _volatility("amount_n", "amount_sum", "amount_sq").alias("amount_volatility"),
+        _volatility("active_days", "gpv", "gpv_sq").alias("gpv_volatility"),
         X.ratio_or_zero("decline_txns", "txns").alias("decline_rate"),
         X.ratio_or_zero("txns", "active_days").alias("txn_frequency"),
-        share("total_fees").alias("fee_yield"),
+        F.when(gpv > 0, fees_dollars / _dollars("gpv")).otherwise(F.lit(0.0)).alias("fee_yield"),
         share("card_gpv").alias("share_card"),
         share("ach_gpv").alias("share_ach"),
         share("wallet_gpv").alias("share_wallet"),
@@ -124,9 +139,7 @@ def merchant_week_features(t: Tables) -> DataFrame:
 def gpv_volatility(t: Tables) -> DataFrame:
     """Population stddev of per-day approved gpv inside each merchant week."""
     w = _weeks_exact(t)
-    return w.select("merchant_id", "week_start_date",
-                    F.round(F.coalesce(X.pop_stddev_from_sums("active_days", "gpv", "gpv_sq"), F.lit(0.0)),
-                            VOLATILITY_DIGITS).alias("gpv_volatility"))
+    return w.select("merchant_id", "week_start_date", _volatility("active_days", "gpv", "gpv_sq").alias("gpv_volatility"))
 
 
 def weekly_grid_exact(t: Tables) -> DataFrame:
@@ -147,7 +160,7 @@ def weekly_grid_exact(t: Tables) -> DataFrame:
         out.append(F.when(real, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c))
     for c in DOUBLE_FEATURES:
         out.append(F.when(real, F.col(c)).otherwise(F.lit(0.0)).alias(c))
-    out.append(F.when(real, F.col("_gpv_exact")).otherwise(F.lit(0).cast("decimal(38,2)")).alias("_gpv_exact"))
+    out.append(F.when(real, F.col("_gpv_exact")).otherwise(F.lit(0).cast("bigint")).alias("_gpv_exact"))
     grid = f.select(*out)
     return _calendar(grid).select(*FEATURE_COLUMNS, *CALENDAR, "_gpv_exact")
 
@@ -175,8 +188,7 @@ def with_labels(grid: DataFrame, horizon: int = HORIZON) -> DataFrame:
     past = F.sum("_gpv_exact").over(behind)
     future = F.sum("_gpv_exact").over(ahead)
     valid = future_ok & (past_rows == horizon) & (past > 0)
-    decline = F.when(valid, F.when(future <= past * F.lit(DECLINE_RATIO).cast("decimal(2,1)"), F.lit(1.0))
-                     .otherwise(F.lit(0.0)))
+    decline = F.when(valid, F.when(future * RATIO_DEN <= past * RATIO_NUM, F.lit(1.0)).otherwise(F.lit(0.0)))
     return grid.withColumn("churn_4w", churn).withColumn("rev_decline_40pct", decline)
 
 

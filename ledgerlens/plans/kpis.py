@@ -20,9 +20,9 @@ def kpi_daily(t: Tables) -> DataFrame:
         X.gpv_sum().alias("gpv"),
         F.count(F.lit(1)).alias("txns"),
         X.count_when(X.APPROVED).alias("approved_txns"),
-        F.sum("amount").alias("amount_total"),
+        X.money_sum("amount").alias("amount_total"),
         F.count("amount").alias("amount_n"),
-        F.sum("fee").alias("total_fees"),
+        X.fee_sum().alias("total_fees"),
     )
     return daily.select(
         "day",

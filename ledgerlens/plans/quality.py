@@ -33,7 +33,7 @@ def run_summary(t: Tables) -> DataFrame:
 def industry_gpv(t: Tables) -> DataFrame:
     return rollup_through_dimension(
         t, t.transactions.where(X.APPROVED), "merchants", "merchant_id", [], ["industry"],
-        {"gpv": F.sum("amount")}).select("industry", X.as_double("gpv").alias("gpv"))
+        {"gpv": X.money_sum("amount")}).select("industry", X.as_double("gpv").alias("gpv"))
 
 
 def top_industries_by_gpv(t: Tables, k: int = 5) -> DataFrame:
