@@ -28,11 +28,6 @@ def dimension_side(tables, name: str, df: DataFrame) -> DataFrame:
     return F.broadcast(df) if can_broadcast(tables, name) else df
 
 
-def sized_broadcast(df: DataFrame, rows: int, spark) -> DataFrame:
-    """Broadcast hint for a side whose row count ``rows`` was measured."""
-    return F.broadcast(df) if rows <= broadcast_limit(spark) else df
-
-
 def rollup_through_dimension(tables, fact: DataFrame, dim_name: str, key: str,
                              fact_keys: list[str], dim_keys: list[str],
                              sums: dict[str, Column]) -> DataFrame:
@@ -56,8 +51,3 @@ def rollup_through_dimension(tables, fact: DataFrame, dim_name: str, key: str,
     joined = pre.join(dim, key)
     return joined.groupBy(*fact_keys, *dim_keys).agg(
         *[F.sum(name).alias(name) for name in sums])
-
-
-def scalar_value(df: DataFrame) -> Column:
-    """An uncorrelated scalar subquery over a one-row, one-column DataFrame."""
-    return df.scalar()

@@ -27,18 +27,17 @@ def _parts(df: DataFrame, n_parts: int | None) -> int:
 def global_order(df: DataFrame, order: list[Column], *, row_number: str | None = None,
                  rank: str | None = None, dense_rank: str | None = None,
                  running_sums: dict[str, str] | None = None,
-                 n_parts: int | None = None, input_written: bool = False) -> DataFrame:
+                 n_parts: int | None = None) -> DataFrame:
     """Add global row_number / rank / dense_rank / running sums over ``order``.
 
     ``running_sums`` maps output name -> numeric column; the output is the
-    inclusive running sum in ``order``. The input is written once first
-    (unless ``input_written``): range partitioning samples its input in a
-    separate job, which would otherwise recompute the upstream plan.
+    inclusive running sum in ``order``. The input is written once first (a
+    no-op for an already written table): range partitioning samples its input
+    in a separate job, which would otherwise recompute the upstream plan.
     """
     running_sums = running_sums or {}
     n = _parts(df, n_parts)
-    if not input_written:
-        df = materialize(df, "order-input")
+    df = materialize(df, "order-input")
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*order)
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

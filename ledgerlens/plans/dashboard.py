@@ -8,7 +8,6 @@ plans as a partial top-k before the shuffle (WindowGroupLimit).
 """
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

@@ -43,6 +43,7 @@ GBT_PARAMS = dict(maxIter=100, stepSize=0.05, maxDepth=3)
 KNN_NEIGHBOURS = 15
 PERMUTATION_REPEATS = 8
 MODEL_ORDER = ["random_forest", "gradient_boosting", "knn"]
+EV_ORDER_FALLBACK = ["gradient_boosting", "random_forest"]  # persisted pipelines, when KNN is best
 KNN_BLOCK_ROWS = 20_000
 KNN_CHUNK = 512
 
@@ -104,7 +105,6 @@ def _standardize(train: DataFrame, test: DataFrame, names: list[str]):
 
 
 def knn_scores(train: DataFrame, test: DataFrame, names: list[str], k: int = KNN_NEIGHBOURS) -> DataFrame:
-    spark = train.sparkSession
     tr, te = _standardize(train, test, names)
     n_tr = tr.count()
     n_te = te.count()
@@ -158,7 +158,6 @@ def knn_scores(train: DataFrame, test: DataFrame, names: list[str], k: int = KNN
     weight = F.when(F.col("has_zero") == 1, F.when(F.col("dist") == 0, 1.0).otherwise(0.0)).otherwise(
         1.0 / F.col("dist"))
     top = top.withColumn("w", weight)
-    _ = spark
     return top.groupBy(*keys).agg((F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("score"))
 
 
@@ -404,8 +403,6 @@ def q_outreach_model_scores(t: Tables) -> DataFrame:
     return score_latest_week(t, card)
 
 
-EV_ORDER_FALLBACK = ["gradient_boosting", "random_forest"]
-
 
 def q_feature_table_roundtrip(t: Tables) -> DataFrame:
     """Write the feature table, read it back; any difference is an error."""
