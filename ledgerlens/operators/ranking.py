@@ -4,7 +4,9 @@ An unpartitioned window (``Window.orderBy(...)``) sends every row to one task.
 ``global_order`` instead range-partitions on the order keys (balanced when
 the keys are unique), ranks inside each range with a partitioned window, and
 adds per-range offsets taken from a table with one row per range (its size is
-bounded by the partition count, so it is broadcast).
+bounded by the partition count, so it is broadcast). Like a broadcast, the
+one-task window is used only behind a measured size check
+(``ledgerlens.order.singleTaskMaxRows``, default 1,000,000 rows).
 
 Equal keys always land in the same range, so ``rank`` and ``dense_rank`` are
 exact too; for heavily tied keys rank the distinct values (see
@@ -18,6 +20,14 @@ from pyspark.sql import functions as F
 from .lineage import materialize
 
 
+DEFAULT_SINGLE_TASK_ROWS = 1_000_000
+
+
+def single_task_limit(spark) -> int:
+    """Inputs up to this many rows (a measured count) are ordered in one task."""
+    return int(spark.conf.get("ledgerlens.order.singleTaskMaxRows", str(DEFAULT_SINGLE_TASK_ROWS)))
+
+
 def _parts(df: DataFrame, n_parts: int | None) -> int:
     if n_parts:
         return n_parts
@@ -38,6 +48,8 @@ def global_order(df: DataFrame, order: list[Column], *, row_number: str | None =
     running_sums = running_sums or {}
     n = _parts(df, n_parts)
     df = materialize(df, "order-input")
+    if df.count() <= single_task_limit(df.sparkSession):  # count of a written table: cheap
+        return _ordered_in_one_task(df, order, row_number, rank, dense_rank, running_sums)
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*order)
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -84,6 +96,22 @@ def global_order(df: DataFrame, order: list[Column], *, row_number: str | None =
     return out.drop(*drop)
 
 
+def _ordered_in_one_task(df, order, row_number, rank, dense_rank, running_sums) -> DataFrame:
+    """Plain window for an input whose measured size is under the single-task limit."""
+    w = Window.orderBy(*order)
+    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df
+    if row_number:
+        out = out.withColumn(row_number, F.row_number().over(w).cast("bigint"))
+    if rank:
+        out = out.withColumn(rank, F.rank().over(w).cast("bigint"))
+    if dense_rank:
+        out = out.withColumn(dense_rank, F.dense_rank().over(w).cast("bigint"))
+    for o, c in running_sums.items():
+        out = out.withColumn(o, F.sum(c).over(cum))
+    return out
+
+
 def dense_rank_by_value(df: DataFrame, value: str, out: str, *, descending: bool = True,
                         n_parts: int | None = None) -> DataFrame:
     """DENSE_RANK over one column, NULLs last, robust to hot (heavily tied) values.

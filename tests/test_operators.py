@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.ranking import dense_rank_by_value, global_order, rank_by_value
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16])
+@pytest.fixture
+def range_path(spark):
+    """Force the range-partitioned path (no single-task shortcut)."""
+    spark.conf.set("ledgerlens.order.singleTaskMaxRows", "0")
+    yield
+    spark.conf.unset("ledgerlens.order.singleTaskMaxRows")
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16, "single-task"])
 def test_global_order_matches_window(spark, parts):
+    if parts != "single-task":
+        spark.conf.set("ledgerlens.order.singleTaskMaxRows", "0")
+    else:
+        parts = 4
     rnd = random.Random(parts)
     data = [(i, rnd.choice([None, 1.0, 2.0, 2.0, 3.5, 7.0]), rnd.randint(0, 5)) for i in range(500)]
     df = spark.createDataFrame(data, "id bigint, v double, w int")
@@ -20,11 +32,12 @@ def test_global_order_matches_window(spark, parts):
     ref = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn_ref"),
                     F.sum("w").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).alias("cw_ref"))
     j = got.join(ref, "id").collect()
+    spark.conf.unset("ledgerlens.order.singleTaskMaxRows")
     assert len(j) == 500
     assert all(r["rn"] == r["rn_ref"] and r["cw"] == r["cw_ref"] for r in j)
 
 
-def test_rank_and_dense_rank_by_value(spark):
+def test_rank_and_dense_rank_by_value(spark, range_path):
     rnd = random.Random(3)
     data = [(i, rnd.choice([None, 1.0, 2.0, 5.0])) for i in range(300)]
     df = spark.createDataFrame(data, "id bigint, v double")
