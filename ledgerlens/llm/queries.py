@@ -3,9 +3,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, token_files
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,11 @@ def query(name: str, sql: str | None = None):
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents by block naming."""
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_files(read(spark, sf_dir, "documents"), path).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
