@@ -5,8 +5,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, token_files
+from . import chat, exact_dedup, token_files
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,33 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.token_files(read(spark, sf_dir, "documents"), path).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op5_chat_format", r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    sized AS (
+        SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AS follows,
+               length(text) + len(regexp_extract_all(text, '[\\<#:]')) AS n_text,
+               length(role) + len(regexp_extract_all(role, '[\\<#:]')) AS n_role
+        FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(n_text + CASE WHEN follows THEN 6 ELSE 4 + n_role + 2 + 8 END) AS BIGINT) AS formatted_chars
+    FROM sized GROUP BY conv_id""")
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted and read back."""
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    back = chat.read_back(chat.format_conversations(turns))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"))
