@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language_id, token_files
+from . import chat, exact_dedup, html_extract, language_id, token_files
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the labelled ones that are not held out."""
     return language_id.identify(read(spark, sf_dir, "documents"))
+
+
+@query("op10_html_extract")
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract_text(read(spark, sf_dir, "pages"))
