@@ -24,9 +24,12 @@ import uuid
 import zlib
 from array import array
 from dataclasses import dataclass
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +40,11 @@ SEQ_LEN = 2048
 BATCH_SEQUENCES = 64
 END_ID = 0
 #: Pieces kept by an encoder, about 200 bytes each.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 1_000_000
+#: Pieces encoded in one call.
+JOINED_WORDS = 500
 #: Documents encoded together.
-GROUP_DOCS = 1000
+GROUP_DOCS = 2000
 
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 WRITTEN_DDL = "shard int, folder string, n_docs bigint, n_tokens bigint"
@@ -61,8 +66,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.model._resize_cache(0)  # pieces are kept here, each is encoded once
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.spaced: dict[str, bytes] = {}
+        self.line_break, = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     @classmethod
     def get(cls, path: str) -> Encoder:
@@ -75,24 +82,53 @@ class Encoder:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word_bytes(self, words: list[str]) -> list[bytes]:
+        """The ids of a blank and each word (no line break in them), many in one text with line breaks between."""
+        joined = ["\n".join([" " + w for w in words[i:i + JOINED_WORDS]]) for i in range(0, len(words), JOINED_WORDS)]
+        out = []
+        for ids in self._bytes(joined):
+            at, size = 0, array(self.code).itemsize
+            for cut in np.flatnonzero(np.frombuffer(ids, self.code) == self.line_break).tolist():
+                out.append(ids[at:cut * size])
+                at = (cut + 1) * size
+            out.append(ids[at:])
+        return out
+
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        """The ids of a blank and each of these different words."""
+        known = self.spaced
+        found = list(map(known.get, words))
+        new = list(compress(words, map(not_, found)))
+        broken = [x for x in new if "\n" in x or not x]
+        plain = [x for x in new if "\n" not in x and x]
+        fresh = dict(zip(broken, self._bytes([" " + x for x in broken]), strict=True))
+        fresh.update(zip(plain, self._word_bytes(plain), strict=True))
+        if len(known) + len(fresh) <= CACHED_PIECES:
+            known.update(fresh)
+        return [ids or fresh[x] for x, ids in zip(words, found, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The little-endian ids of each text."""
-        if len(self.spaced) > CACHED_PIECES:
-            self.spaced.clear()
-        split, heads = [], []
+        split = []
         for text in texts:
             if _BLANK_THEN_BLANK.search(text):
                 parts = _BEFORE_WORD.split(text)
-                head, *rest = parts if not parts[0].startswith(" ") or len(parts[0]) == 1 else ["", *parts]
-                rest = [x[1:] for x in rest]
+                parts = parts if not parts[0].startswith(" ") or len(parts[0]) == 1 else ["", *parts]
+                split.append([parts[0], *(x[1:] for x in parts[1:])])
             else:
-                head, *rest = text.split(" ")
-            heads.append(head)
-            split.append(rest)
-        new = list(set().union(*split) - self.spaced.keys())
-        self.spaced.update(zip(new, self._bytes([" " + x for x in new]), strict=True))
-        get = self.spaced.__getitem__
-        return [head + b"".join(map(get, rest)) for head, rest in zip(self._bytes(heads), split, strict=True)]
+                split.append(None)
+        plain = pc.split_pattern(pa.array([t if x is None else "" for t, x in zip(texts, split, strict=True)], pa.large_string()), " ")
+        words = plain.flatten().dictionary_encode()
+        ids = pa.array(self._lookup(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        data, at = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64)
+        bounds = plain.offsets.to_pylist()
+        firsts = plain.flatten().take(pa.array(bounds[:-1], pa.int64())).to_pylist() if texts else []
+        heads = self._bytes([x[0] if x else first for x, first in zip(split, firsts, strict=True)])
+        out = []
+        for head, x, a, b in zip(heads, split, bounds, bounds[1:], strict=False):
+            rest = data[at[a + 1]:at[b]] if x is None else b"".join(self._lookup([w])[0] for w in x[1:])
+            out.append(head + rest)
+        return out
 
 
 @dataclass(frozen=True)
