@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, language_id, token_files, topk
+from . import chat, exact_dedup, html_extract, language_id, pieces, token_files, topk
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five rows of highest integer inner product for every fiftieth vector."""
     return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-best segmentation of every document, and the digest of the text decoded from the best."""
+    return pieces.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
