@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, language_id, pieces, token_files, topk
+from . import chat, exact_dedup, html_extract, language_id, mixing, pieces, token_files, topk
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,14 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N-best segmentation of every document, and the digest of the text decoded from the best."""
     return pieces.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+#: Shares of the tokens wanted of each domain.
+TARGETS = {"high": 0.95, "low": 0.05, "toxic": 0.0}
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rates and copies of all documents for the target weights."""
+    labelled = mixing.quality_domains(read(spark, sf_dir, "labels"))
+    return mixing.mix(read(spark, sf_dir, "documents"), labelled, TARGETS)
