@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, language_id, mixing, pieces, token_files, topk
+from . import chat, exact_dedup, html_extract, jaccard_join, language_id, mixing, pieces, token_files, topk
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,20 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors, rates and copies of all documents for the target weights."""
     labelled = mixing.quality_domains(read(spark, sf_dir, "labels"))
     return mixing.mix(read(spark, sf_dir, "documents"), labelled, TARGETS)
+
+
+@query("op7_jaccard_join", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3),
+               lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+    x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, p.b FROM r JOIN p ON p.a = r.reached)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.reached) AS component_id
+    FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s""")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near duplicates of all documents."""
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
