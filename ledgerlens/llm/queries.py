@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, jaccard_join, language_id, mixing, pieces, token_files, topk
+from . import chat, exact_dedup, html_extract, jaccard_join, language_id, mixing, pieces, substring_dedup, token_files, topk
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,17 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near duplicates of all documents."""
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op6_substring_dedup", r"""
+    WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+               FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w)),
+    d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS n FROM g) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM d),
+    x AS (SELECT w.doc_id, w, coalesce(r, []) AS r FROM w LEFT JOIN (SELECT doc_id, list(i) AS r FROM gone GROUP BY doc_id) q USING (doc_id))
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(r) AS BIGINT) AS n_removed, sha256(array_to_string(list_transform(
+           list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(r, i)), lambda i: w[i]), ' ')) AS kept_sha256 FROM x""")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without those in repeated passages."""
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
