@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,10 @@ PULL = 1e-3
 MAX_STEPS = 60
 TOLERANCE = 1e-4
 GROUP_DOCS, GROUP_CHARS = 2000, 8_000_000
+#: Signs of a word's end that tell endings apart.
+MAX_SIGNS = 8
+#: The bucket of a word without signs at its end.
+NO_ENDING = 0
 
 COUNTS_DDL = "domain string, bucket int, n bigint"
 COUNTS = pa.schema([("domain", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
@@ -45,18 +50,24 @@ SCORED_DDL = "doc_id bigint, n_tokens bigint, posterior array<int>"
 SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("posterior", pa.list_(pa.int32()))])
 #: Bucket in which the number of documents of a domain is counted.
 ALL = FEATURE_BUCKETS
-ENDINGS = ".,;:!?\"'()[]"
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _bucket(name: str) -> int:
-    return xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) & (FEATURE_BUCKETS - 1)
+    return xxhash.xxh3_64_intdigest(name) & (FEATURE_BUCKETS - 1)
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(100_000)
+def _ending(signs: str) -> int:
+    return _bucket("e" + signs[:MAX_SIGNS])
+
+
+def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, bucket) of each feature present, once each, and the number of words of each text.
 
     Features: lower-case words without the signs around them, the signs at a
-    word's end, whether all is upper case, and how often words repeat.
+    word's end, whether all is upper case, and how often words repeat. With
+    ``wanted`` (a flag for each bucket) only those are given.
     """
     trimmed = pc.ascii_trim_whitespace(pa.array(texts, pa.large_string()))
     split = pc.ascii_split_whitespace(trimmed)  # an empty text has one empty word here
@@ -65,20 +76,21 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     coded = flat.dictionary_encode()
     words, ends = [], []
     for word in coded.dictionary.to_pylist():
-        core = word.rstrip("".join({c for c in word if not c.isalnum()})) if word and not word[-1].isalnum() else word
-        words.append(_bucket("w" + core.lower().strip(ENDINGS)))
-        ends.append(_bucket("e" + word[len(core):]))
-    doc = np.repeat(np.arange(len(texts)), lengths)
+        core = word.rstrip(SIGNS)
+        words.append(_bucket(core.lstrip(SIGNS).lower()))
+        ends.append(_ending(word[len(core):]) if len(core) < len(word) else NO_ENDING)
+    words, ends = np.array(words, np.int64), np.array(ends, np.int64)
     size = max(1, len(words))
-    pairs = np.unique(doc * size + coded.indices.to_numpy())
-    doc, at = np.divmod(pairs, size)
+    pairs = np.sort(np.repeat(np.arange(len(texts)), lengths) * size + coded.indices.to_numpy())
+    doc, at = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]], size)
     distinct = np.bincount(doc, minlength=len(texts))
-    shape = [_bucket(f"s{t.isupper()},{int(4 * math.log2(max(1, n) / max(1, d)))}") for t, n, d in zip(
-        texts, n_words.tolist(), distinct.tolist(), strict=True)]
-    both = np.concatenate([doc * FEATURE_BUCKETS + np.array(words, np.int64)[at] if len(words) else doc,
-                           doc * FEATURE_BUCKETS + np.array(ends, np.int64)[at] if len(words) else doc,
-                           np.arange(len(texts)) * FEATURE_BUCKETS + np.array(shape, np.int64)])
-    return *np.divmod(np.unique(both), FEATURE_BUCKETS), n_words
+    shape = np.array([_bucket(f"s{t.isupper()},{int(4 * math.log2(max(1, n) / max(1, d)))}") for t, n, d in zip(
+        texts, n_words.tolist(), distinct.tolist(), strict=True)], np.int64)
+    owner, bucket = np.concatenate([doc, doc, np.arange(len(texts))]), np.concatenate([words[at], ends[at], shape])
+    if wanted is not None:
+        owner, bucket = owner[wanted[bucket]], bucket[wanted[bucket]]
+    both = np.sort(owner * FEATURE_BUCKETS + bucket)
+    return *np.divmod(both[np.append(True, both[1:] != both[:-1])[:len(both)]], FEATURE_BUCKETS), n_words
 
 
 def _groups(texts: list[str]):
@@ -160,10 +172,12 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        wanted = np.zeros(FEATURE_BUCKETS, bool)
+        wanted[sent.value.buckets] = True
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _groups(texts):
-                doc, bucket, n = features(texts[a:b])
+                doc, bucket, n = features(texts[a:b], wanted)
                 yield record_batch(SCORED, [ids.slice(a, b - a), n, sent.value.posterior(doc, bucket, b - a).tolist()])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SCORED_DDL)
 
