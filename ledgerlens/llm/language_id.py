@@ -150,36 +150,53 @@ def choose(p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return chosen, share
 
 
-def _predict(batches, model):
-    langs, p = model.value
-    names = np.array(langs, dtype=object)
-    columns = np.ascontiguousarray(p.T)
-    for batch in batches:
-        ids = batch.column(0).to_pylist()
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        out: list[tuple] = []
-        for a, b in _groups(texts):
-            buckets, ends = trigrams(texts[a:b])
-            begin = 0
-            for i, end in zip(range(a, b), ends.tolist(), strict=True):
-                terms, n = np.unique(buckets[begin:end], return_counts=True)
-                begin = end
-                if not len(terms) or not langs:
-                    out.append((ids[i], UNDETERMINED, 0.0, [], []))
-                    continue
-                chosen, share = choose(columns[terms], n.astype(float))
-                order = np.argsort(-share, kind="stable")
-                best = order[0]
-                out.append((ids[i], langs[chosen[best]], float(min(1.0, share[best])), names[chosen[order]].tolist(),
-                            share[order].tolist()))
-        yield record_batch(PREDICTED, zip(*out, strict=True) if out else [[]] * 5)
+def predict_texts(texts: list[str], model: tuple[list[str], np.ndarray]) -> list[tuple[str, float, list[str], list[float]]]:
+    """(prediction, its proportion, languages chosen, their proportions) of each text."""
+    langs, p = model
+    columns = p.T
+    out: list[tuple] = []
+    for a, b in _groups(texts):
+        buckets, ends = trigrams(texts[a:b])
+        begin = 0
+        for end in ends.tolist():
+            terms, n = np.unique(buckets[begin:end], return_counts=True)
+            begin = end
+            if not len(terms) or not langs:
+                out.append((UNDETERMINED, 0.0, [], []))
+                continue
+            chosen, share = choose(columns[terms], n.astype(float))
+            order = np.argsort(-share, kind="stable")
+            names = [langs[k] for k in chosen[order].tolist()]
+            out.append((names[0], float(min(1.0, share[order[0]])), names, share[order].tolist()))
+    return out
+
+
+def _sent(spark: SparkSession, model: tuple[list[str], np.ndarray]):
+    """The model broadcast, with the probabilities of a bucket side by side."""
+    return spark.sparkContext.broadcast((model[0], np.asfortranarray(model[1])))
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     """doc_id, lang_pred, score (its proportion), langs and shares of the chosen set; the text is all that counts."""
-    sent = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(lambda it: _predict(it, sent), PREDICTED_DDL)
+    sent = _sent(spark, model)
+
+    def run(batches):
+        for batch in batches:
+            found = predict_texts([t or "" for t in batch.column(1).to_pylist()], sent.value)
+            yield record_batch(PREDICTED, [batch.column(0), *(zip(*found, strict=True) if found else [[]] * 4)])
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, PREDICTED_DDL)
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, in which a language is found; learned as in ``identify``."""
+    sent = _sent(docs.sparkSession, train(docs.where(F.col("doc_id").isNotNull() & ~held_out())))
+    text = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            found = predict_texts([t or "" for t in batch.column(text).to_pylist()], sent.value)
+            yield batch.filter(pa.array([x[0] != UNDETERMINED for x in found], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out():
