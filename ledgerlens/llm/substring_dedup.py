@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import record_batch, shuffle_parts
-from .wordhash import groups, mix, run_hashes, word_hashes
+from .wordhash import mix, run_hashes, text_groups, word_hashes
 
 WINDOW = 35
 GRAM = 8
@@ -45,6 +45,8 @@ FREQUENT_IN_BATCH = 3
 #: An anchor with more regions than this is dealt out by window.
 HOT_REGIONS = 20_000
 BUCKETS_PER_PART = 4
+#: Texts of documents handled together.
+TEXT_BYTES = 1 << 22
 #: Words of the passages of one automaton.
 AUTOMATON_WORDS = 1_000_000
 
@@ -75,10 +77,6 @@ class Settings:
     automaton_words: int = AUTOMATON_WORDS
 
 
-def _texts(column) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
-
-
 def document_key(doc_id: int | None, text: bytes) -> tuple[int, int]:
     """128 bits that tell rows apart; only rows with the same doc_id and text share them."""
     digest = xxhash.xxh3_128_digest(b"%s\n" % str(doc_id).encode() + text)
@@ -120,8 +118,7 @@ def packed_rows(bucket: np.ndarray, entries: np.ndarray):
 def _frequent(batches, s):
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
     for batch in batches:
-        texts = _texts(batch.column(1))
-        found = [anchors(texts[a:b], s)[1] for a, b in groups(texts)]
+        found = [anchors(texts, s)[1] for _, texts in text_groups(batch.column(1))]
         if found:
             grams, n = np.unique(np.concatenate(found), return_counts=True)
             many = n >= FREQUENT_IN_BATCH
@@ -140,14 +137,14 @@ def frequent_anchors(docs: DataFrame, s: Settings, n_docs: int) -> np.ndarray:
 
 def _anchor_rows(batches, s, frequent):
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), _texts(batch.column(1))
+        ids = batch.column(0).to_pylist()
         parts, where = [], []
-        for a, b in groups(texts):
-            owner, gram, first, n = anchors(texts[a:b], s)
-            keys = np.array([document_key(i, t) for i, t in zip(ids[a:b], texts[a:b], strict=True)], np.uint64).reshape(-1, 2)
+        for at, texts in text_groups(batch.column(1)):
+            owner, gram, first, n = anchors(texts, s)
+            keys = np.array([document_key(i, t) for i, t in zip(ids[at:], texts, strict=False)], np.uint64).reshape(-1, 2)
             out = np.zeros(len(owner), ANCHOR)
-            at = np.minimum(np.searchsorted(frequent, gram), max(0, len(frequent) - 1))
-            hot = frequent[at] == gram if len(frequent) else np.zeros(len(gram), bool)
+            near = np.minimum(np.searchsorted(frequent, gram), max(0, len(frequent) - 1))
+            hot = frequent[near] == gram if len(frequent) else np.zeros(len(gram), bool)
             out["k0"], out["k1"], out["first"] = keys[owner, 0], keys[owner, 1], first
             out["gram"] = np.where(hot, 0, gram & np.uint64(0xFFFFFFFF))
             out["n"] = n + np.where(hot, _HOT, 0)
@@ -205,17 +202,18 @@ def _recurring_rows(batches, s):
 def _document_rows(batches, s):
     zipper = zstandard.ZstdCompressor(level=1)
     for batch in batches:
-        texts = _texts(batch.column(1))
-        buckets = [document_key(i, t)[0] % s.buckets for i, t in zip(batch.column(0).to_pylist(), texts, strict=True)]
-        size = len(texts)
-        yield record_batch(MIXED, [np.array(buckets, np.int32), np.ones(size, np.int32), pa.nulls(size, pa.binary()), batch.column(0),
-                                   [zipper.compress(t) for t in texts]])
+        for at, texts in text_groups(batch.column(1)):
+            size = len(texts)
+            ids = batch.column(0).slice(at, size)
+            buckets = [document_key(i, t)[0] % s.buckets for i, t in zip(ids.to_pylist(), texts, strict=True)]
+            yield record_batch(MIXED, [np.array(buckets, np.int32), np.ones(size, np.int32), pa.nulls(size, pa.binary()), ids,
+                                       [zipper.compress(t) for t in texts]])
 
 
 def _with_entries(batches, kinds):
-    """Lists of (doc_id, key, text, own entries) from rows sorted by (bucket, kind): entries first, then documents."""
+    """Lists of (doc_id, key, text, own entries), of about TEXT_BYTES, from rows sorted by (bucket, kind): entries first, then documents."""
     unzip = zstandard.ZstdDecompressor()
-    now, parts, table = None, [], None
+    now, parts, table, size = None, [], None, 0
     for batch in batches:
         out = []
         buckets, kind, packed, ids, texts = (batch.column(i) for i in range(5))
@@ -234,6 +232,10 @@ def _with_entries(batches, kinds):
             text, doc_id = unzip.decompress(texts[k].as_py()), ids[k].as_py()
             key = document_key(doc_id, text)
             out.append((doc_id, key, text, table.get(key)))
+            size += len(text)
+            if size > TEXT_BYTES:
+                yield out
+                out, size = [], 0
         if out:
             yield out
 

@@ -5,9 +5,11 @@ Words are runs of bytes other than space and the control characters 9 to 13.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text handled together, in bytes; each byte needs about 50 bytes of memory.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES, GROUP_ROWS = 1 << 20, 1000
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -37,6 +39,15 @@ def groups(texts: list[bytes]):
         yield start, len(texts)
 
 
+def text_groups(column: pa.Array):
+    """(row of the first, UTF-8 of consecutive texts of about GROUP_BYTES); null is empty."""
+    for start in range(0, len(column), GROUP_ROWS):
+        part = pc.fill_null(column.slice(start, GROUP_ROWS).cast(pa.large_string()), "")
+        texts = part.cast(pa.large_binary()).to_pylist()
+        for a, b in groups(texts):
+            yield start + a, texts[a:b]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and first byte (in the texts joined by one blank) of every word; word bounds of the texts (one more than texts)."""
     global _powers
