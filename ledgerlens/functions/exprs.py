@@ -4,6 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Low bits of money units summed apart: 2 ** 43 rows fit either sum.
+LOW_BITS = 20
+
+
 def __getattr__(name: str):
     # Built lazily: a Column needs an active SparkContext.
     if name == "APPROVED":
@@ -22,17 +26,20 @@ def as_double(c) -> Column:
 def money_sum(value="amount", cond: Column | None = None, scale: int = 2, zero: bool = False) -> Column:
     """Exact SUM of a money column with ``scale`` decimals, as decimal(38, scale).
 
-    The sum runs on integer units (cents, micro-units) in a bigint aggregation
-    buffer, which stays on primitive longs; a decimal SUM widens past 18 digits
-    and falls back to BigDecimal arithmetic. Only the aggregated value is
-    turned back into a decimal. ``cond`` keeps FILTER semantics (NULL when no
-    row matches) unless ``zero`` asks for CASE ... ELSE 0 semantics.
+    The sum runs on integer units (cents, micro-units) in two bigint buffers, of
+    the units' high and low parts, so it stays on primitive longs and no group
+    overflows (a decimal SUM widens past 18 digits and falls back to BigDecimal
+    arithmetic). Only the aggregated value is turned back into a decimal.
+    ``cond`` keeps FILTER semantics (NULL when no row matches) unless ``zero``
+    asks for CASE ... ELSE 0 semantics.
     """
     units = (col(value) * F.lit(10 ** scale)).cast("bigint")
     if cond is not None:
         units = F.when(cond, units).otherwise(F.lit(0).cast("bigint")) if zero else F.when(cond, units)
     unit = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({scale},{scale})")
-    return F.sum(units).cast("decimal(38,0)") * unit
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(38,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(38,0)")
+    return ((high * F.lit(1 << LOW_BITS) + low).cast("decimal(38,0)") * unit).cast(f"decimal(38,{scale})")
 
 
 def fee_sum(cond: Column | None = None) -> Column:

@@ -1,7 +1,8 @@
 """Join plans with a checked broadcast side.
 
-A side is broadcast only after its row count was measured to be under a
-limit (``ledgerlens.broadcast.maxRows``, default 1,000,000). Beyond the limit
+A side is broadcast only if the files (or rows) its plan reads are under a
+limit of bytes (``ledgerlens.broadcast.maxBytes``, default 32 MB), which Spark's
+statistics tell without a job. Beyond the limit
 the fact is pre-aggregated on the join key (partial aggregation map-side)
 and joined with a shuffle; AQE may still turn that into a broadcast join
 from runtime statistics, and splits skewed partitions.
@@ -11,20 +12,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
 
 
 def broadcast_limit(spark) -> int:
-    return int(spark.conf.get("ledgerlens.broadcast.maxRows", str(DEFAULT_MAX_BROADCAST_ROWS)))
+    return int(spark.conf.get("ledgerlens.broadcast.maxBytes", str(DEFAULT_MAX_BROADCAST_BYTES)))
+
+
+def read_bytes(df: DataFrame) -> int:
+    """Bytes of all tables the plan of ``df`` reads, by Spark's statistics."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def can_broadcast(tables, name: str) -> bool:
-    return tables.row_count(name) <= broadcast_limit(tables.spark)
+    """Whether a dimension (at most as many rows as its largest input) is small."""
+    return read_bytes(tables.table(name)) <= broadcast_limit(tables.spark)
 
 
 def dimension_side(tables, name: str, df: DataFrame) -> DataFrame:
     """A projection of dimension ``name`` as a join side: broadcast when the
-    dimension's measured row count is under the limit, else left to a shuffle join."""
+    dimension reads less than the limit, else left to a shuffle join."""
     return F.broadcast(df) if can_broadcast(tables, name) else df
 
 

@@ -1,16 +1,11 @@
 """Global ordering without pulling all rows into one task.
 
 An unpartitioned window (``Window.orderBy(...)``) sends every row to one task.
-``global_order`` instead range-partitions on the order keys (balanced when
-the keys are unique), ranks inside each range with a partitioned window, and
-adds per-range offsets taken from a table with one row per range (its size is
-bounded by the partition count, so it is broadcast). Like a broadcast, the
-one-task window is used only behind a measured size check
-(``ledgerlens.order.singleTaskMaxRows``, default 1,000,000 rows).
-
-Equal keys always land in the same range, so ``rank`` and ``dense_rank`` are
-exact too; for heavily tied keys rank the distinct values (see
-``dense_rank_by_value``) so no single range holds a hot value.
+``global_order`` range-partitions on the order keys instead, sorts inside the
+ranges and numbers rows with ``monotonically_increasing_id``, whose high bits
+are the range and whose low bits the place in it; a table with one row per range
+(as many as there are partitions, so it is broadcast) turns that into a global
+row number. Row numbers need one exchange; running sums one more, by range.
 """
 from __future__ import annotations
 
@@ -19,120 +14,55 @@ from pyspark.sql import functions as F
 
 from .lineage import materialize
 
-
-DEFAULT_SINGLE_TASK_ROWS = 1_000_000
-
-
-def single_task_limit(spark) -> int:
-    """Inputs up to this many rows (a measured count) are ordered in one task."""
-    return int(spark.conf.get("ledgerlens.order.singleTaskMaxRows", str(DEFAULT_SINGLE_TASK_ROWS)))
-
-
-def _parts(df: DataFrame, n_parts: int | None) -> int:
-    if n_parts:
-        return n_parts
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+#: monotonically_increasing_id has the partition above and the row below this many bits.
+PLACE_BITS = 33
 
 
 def global_order(df: DataFrame, order: list[Column], *, row_number: str | None = None,
-                 rank: str | None = None, dense_rank: str | None = None,
-                 running_sums: dict[str, str] | None = None,
-                 n_parts: int | None = None) -> DataFrame:
-    """Add global row_number / rank / dense_rank / running sums over ``order``.
+                 running_sums: dict[str, str] | None = None, n_parts: int | None = None) -> DataFrame:
+    """Add a global row_number and inclusive running sums over ``order``.
 
-    ``running_sums`` maps output name -> numeric column; the output is the
-    inclusive running sum in ``order``. The input is written once first (a
-    no-op for an already written table): range partitioning samples its input
-    in a separate job, which would otherwise recompute the upstream plan.
+    ``running_sums`` maps output name -> numeric column. The order keys must be
+    unique for a repeatable result. The input is written once first (a no-op for
+    a written table): range partitioning samples it in a job of its own.
     """
     running_sums = running_sums or {}
-    n = _parts(df, n_parts)
-    df = materialize(df, "order-input")
-    if df.count() <= single_task_limit(df.sparkSession):  # count of a written table: cheap
-        return _ordered_in_one_task(df, order, row_number, rank, dense_rank, running_sums)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order)
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_lrn", F.row_number().over(w))
-    if rank:
-        local = local.withColumn("_lrank", F.rank().over(w))
-    if dense_rank:
-        local = local.withColumn("_ldense", F.dense_rank().over(w))
-    for out, c in running_sums.items():
-        local = local.withColumn(f"_lsum_{out}", F.sum(c).over(cum))
-    # Written once: range bounds come from a sample seeded per RDD, so the
-    # ranked rows and the per-range totals must read the same materialized
-    # assignment of rows to ranges rather than two separate computations.
-    local = materialize(local, "order")
-
-    totals_aggs = [F.count(F.lit(1)).alias("_n")]
-    if dense_rank:
-        totals_aggs.append(F.max("_ldense").alias("_nd"))
-    for out, c in running_sums.items():
-        totals_aggs.append(F.sum(c).alias(f"_t_{out}"))
-    totals = local.groupBy("_pid").agg(*totals_aggs)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
-    offs = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n")]
-    if dense_rank:
-        offs.append(F.coalesce(F.sum("_nd").over(before), F.lit(0)).alias("_off_nd"))
-    for out in running_sums:
-        offs.append(F.sum(f"_t_{out}").over(before).alias(f"_off_{out}"))
-    offsets = totals.select("_pid", *offs)
-
-    out = local.join(F.broadcast(offsets), "_pid")
-    drop = ["_pid", "_lrn", "_off_n"]
-    if row_number:
-        out = out.withColumn(row_number, (F.col("_off_n") + F.col("_lrn")).cast("bigint"))
-    if rank:
-        out = out.withColumn(rank, (F.col("_off_n") + F.col("_lrank")).cast("bigint"))
-        drop.append("_lrank")
-    if dense_rank:
-        out = out.withColumn(dense_rank, (F.col("_off_nd") + F.col("_ldense")).cast("bigint"))
-        drop += ["_ldense", "_off_nd"]
-    for o in running_sums:
-        lsum, off = F.col(f"_lsum_{o}"), F.col(f"_off_{o}")
-        out = out.withColumn(o, F.when(off.isNull(), lsum).otherwise(lsum + off))
-        drop += [f"_lsum_{o}", f"_off_{o}"]
-    return out.drop(*drop)
-
-
-def _ordered_in_one_task(df, order, row_number, rank, dense_rank, running_sums) -> DataFrame:
-    """Plain window for an input whose measured size is under the single-task limit."""
-    w = Window.orderBy(*order)
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df, "order-input").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Written once: the rows and the totals per range must see the same ranges.
+    local = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "order")
+    local = local.withColumn("_range", F.shiftright("_at", PLACE_BITS))
+    totals = local.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{o}") for o, c in running_sums.items()])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
+    offsets = totals.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                            *[F.sum(f"_t_{o}").over(before).alias(f"_off_{o}") for o in running_sums])
+    if running_sums:
+        upto = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for out, c in running_sums.items():
+            local = local.withColumn(f"_sum_{out}", F.sum(c).over(upto))
+    result = local.join(F.broadcast(offsets), "_range")
     if row_number:
-        out = out.withColumn(row_number, F.row_number().over(w).cast("bigint"))
-    if rank:
-        out = out.withColumn(rank, F.rank().over(w).cast("bigint"))
-    if dense_rank:
-        out = out.withColumn(dense_rank, F.dense_rank().over(w).cast("bigint"))
-    for o, c in running_sums.items():
-        out = out.withColumn(o, F.sum(c).over(cum))
-    return out
+        place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+        result = result.withColumn(row_number, (F.col("_before") + place + 1).cast("bigint"))
+    for out in running_sums:
+        own, off = F.col(f"_sum_{out}"), F.col(f"_off_{out}")
+        result = result.withColumn(out, F.when(off.isNull(), own).otherwise(own + off))
+    return result.drop("_at", "_range", "_before", *[f"_{k}_{o}" for o in running_sums for k in ("sum", "off")])
 
 
 def dense_rank_by_value(df: DataFrame, value: str, out: str, *, descending: bool = True,
                         n_parts: int | None = None) -> DataFrame:
-    """DENSE_RANK over one column, NULLs last, robust to hot (heavily tied) values.
+    """DENSE_RANK over one column, NULLs last.
 
-    The distinct values are ranked (one row per value, so no range is hot),
-    then the rank is joined back with a null-safe equi-join. The input is
-    written once so it is not recomputed for the values and the join.
+    The distinct values are ranked (one row per value, so no range is hot) and
+    joined back on one row per value, so Spark can split the rows of a hot value.
+    Rows without a value take the rank after the last and are not joined. The
+    input is written once, as it is read for the values and for the rows.
     """
     df = materialize(df, "rank-input")
-    values = df.select(value).distinct()
-    o = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    ranked = global_order(values, [o], row_number=out, n_parts=n_parts).withColumnRenamed(value, "_v")
-    return df.join(ranked, df[value].eqNullSafe(ranked["_v"])).drop("_v")
-
-
-def rank_by_value(df: DataFrame, value: str, out: str, *, descending: bool = True,
-                  n_parts: int | None = None) -> DataFrame:
-    """RANK over one column, NULLs last: 1 + number of rows with a larger value."""
-    df = materialize(df, "rank-input")
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    o = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    ranked = global_order(counts, [o], running_sums={"_cum": "_c"}, n_parts=n_parts)
-    ranked = ranked.select(F.col(value).alias("_v"), (F.col("_cum") - F.col("_c") + 1).cast("bigint").alias(out))
-    return df.join(ranked, df[value].eqNullSafe(ranked["_v"])).drop("_v")
+    some = df.where(F.col(value).isNotNull())
+    values = materialize(some.select(F.col(value).alias("_v")).distinct(), "rank-values")
+    ranked = global_order(values, [F.col("_v").desc() if descending else F.col("_v").asc()], row_number=out, n_parts=n_parts)
+    last = F.lit(values.count() + 1).cast("bigint")
+    joined = some.join(ranked, F.col(value) == F.col("_v")).drop("_v")
+    return joined.unionByName(df.where(F.col(value).isNull()).withColumn(out, last))

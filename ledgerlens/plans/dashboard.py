@@ -23,7 +23,6 @@ TOP_SHARE_NS = (10, 50)
 TOP_INDUSTRIES = 3
 RISK_RETENTION = 0.4
 CHECKPOINT_MONTHS = (1, 3, 6)
-EXPOSED_PER_REASON = 10
 MOM_DECLINE_LIMIT = -0.10
 TOP_MERCHANTS_FOR_MOM = 50
 LOW_YIELD = 0.015
@@ -167,12 +166,20 @@ def decline_contribution(t: Tables) -> DataFrame:
     return g.select("decline_reason", "declined_txns", X.safe_div("declined_txns", tot).alias("contribution"))
 
 
-def decline_exposed_merchants(t: Tables, k: int = EXPOSED_PER_REASON) -> DataFrame:
+def decline_exposed_merchants(t: Tables) -> DataFrame:
+    """Every merchant with declines, ranked within each reason by their number (ties by merchant_id).
+
+    One global ordering by reason; a reason's rank starts after the merchants of the reasons before.
+    """
     g = t.transactions.where(F.col("decline_reason").isNotNull()).groupBy("decline_reason", "merchant_id").agg(
         F.count(F.lit(1)).alias("declined_txns"))
-    w = Window.partitionBy("decline_reason").orderBy(F.col("declined_txns").desc(), "merchant_id")
-    return g.withColumn("exposure_rank", F.row_number().over(w)).where(F.col("exposure_rank") <= k).withColumn(
-        "exposure_rank", F.col("exposure_rank").cast("bigint"))
+    g = materialize(g, "exposed")
+    ordered = global_order(g, [F.col("decline_reason"), F.col("declined_txns").desc(), F.col("merchant_id")], row_number="rn")
+    earlier = Window.orderBy("decline_reason").rowsBetween(Window.unboundedPreceding, -1)  # one row per reason
+    starts = g.groupBy("decline_reason").agg(F.count(F.lit(1)).alias("n")).select(
+        "decline_reason", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    return ordered.join(F.broadcast(starts), "decline_reason").select(
+        "decline_reason", "merchant_id", "declined_txns", (F.col("rn") - F.col("start")).alias("exposure_rank"))
 
 
 def cohort_size(t: Tables) -> DataFrame:

@@ -100,13 +100,12 @@ def transactions_from_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Access to the three payments tables plus size facts used by join plans."""
+    """Access to the three payments tables."""
 
     def __init__(self, spark: SparkSession, loader, label: str):
         self.spark = spark
         self._loader = loader
         self.label = label
-        self._counts: dict[str, int] = {}
 
     @classmethod
     def from_raw(cls, spark: SparkSession, sf_dir: str) -> "Tables":
@@ -151,9 +150,3 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
-
-    def row_count(self, name: str) -> int:
-        """Row count of a dimension, computed once (a cheap job over key columns)."""
-        if name not in self._counts:
-            self._counts[name] = self.table(name).count()
-        return self._counts[name]

@@ -7,23 +7,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.ranking import dense_rank_by_value, global_order, rank_by_value
+from ledgerlens.operators.ranking import dense_rank_by_value, global_order
 
 
-@pytest.fixture
-def range_path(spark):
-    """Force the range-partitioned path (no single-task shortcut)."""
-    spark.conf.set("ledgerlens.order.singleTaskMaxRows", "0")
-    yield
-    spark.conf.unset("ledgerlens.order.singleTaskMaxRows")
-
-
-@pytest.mark.parametrize("parts", [1, 3, 16, "single-task"])
+@pytest.mark.parametrize("parts", [1, 3, 16])
 def test_global_order_matches_window(spark, parts):
-    if parts != "single-task":
-        spark.conf.set("ledgerlens.order.singleTaskMaxRows", "0")
-    else:
-        parts = 4
     rnd = random.Random(parts)
     data = [(i, rnd.choice([None, 1.0, 2.0, 2.0, 3.5, 7.0]), rnd.randint(0, 5)) for i in range(500)]
     df = spark.createDataFrame(data, "id bigint, v double, w int")
@@ -32,21 +20,36 @@ def test_global_order_matches_window(spark, parts):
     ref = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn_ref"),
                     F.sum("w").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).alias("cw_ref"))
     j = got.join(ref, "id").collect()
-    spark.conf.unset("ledgerlens.order.singleTaskMaxRows")
     assert len(j) == 500
     assert all(r["rn"] == r["rn_ref"] and r["cw"] == r["cw_ref"] for r in j)
 
 
-def test_rank_and_dense_rank_by_value(spark, range_path):
+def test_row_numbers_need_one_exchange(spark):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    plan = global_order(df, [F.col("v"), F.col("id")], row_number="rn")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan and "hashpartitioning(v" not in plan
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_dense_rank_by_value(spark, descending):
     rnd = random.Random(3)
     data = [(i, rnd.choice([None, 1.0, 2.0, 5.0])) for i in range(300)]
     df = spark.createDataFrame(data, "id bigint, v double")
-    w = Window.orderBy(F.col("v").desc_nulls_last())
-    ref = {r["id"]: (r["r"], r["d"]) for r in df.select("id", F.rank().over(w).alias("r"),
-                                                        F.dense_rank().over(w).alias("d")).collect()}
-    r1 = {r["id"]: r["rk"] for r in rank_by_value(df, "v", "rk", n_parts=4).collect()}
-    d1 = {r["id"]: r["dr"] for r in dense_rank_by_value(df, "v", "dr", n_parts=4).collect()}
-    assert all(ref[i] == (r1[i], d1[i]) for i in ref)
+    w = Window.orderBy(F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last())
+    ref = {r["id"]: r["d"] for r in df.select("id", F.dense_rank().over(w).alias("d")).collect()}
+    got = {r["id"]: r["dr"] for r in dense_rank_by_value(df, "v", "dr", descending=descending, n_parts=4).collect()}
+    assert got == ref
+
+
+@pytest.mark.parametrize("scale", [2, 6])
+def test_money_sum_of_a_group_beyond_a_long(spark, scale):
+    from decimal import Decimal
+
+    from ledgerlens.functions import exprs as X
+    values = [Decimal(9 * 10 ** (17 - scale)) + Decimal(i).scaleb(-scale) for i in range(40)] + [Decimal(-1).scaleb(-scale)]
+    df = spark.createDataFrame([(1, v) for v in values] + [(2, None)], f"k int, amount decimal(18,{scale})")
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(X.money_sum("amount", scale=scale).alias("s")).collect()}
+    assert got == {1: sum(values), 2: None} and sum(values).scaleb(scale) > 2 ** 63
 
 
 def test_knn_exact_against_brute_force(spark):
