@@ -68,11 +68,20 @@ class RunPaths:
         return f"{self.base}/ml/scores_latest_week"
 
 
-def load_tables(spark: SparkSession, sf_dir: str, paths: RunPaths) -> Tables:
-    """Input presence check, then the typed full-refresh load."""
+def load_tables(spark: SparkSession, source: str, paths: RunPaths, layout: str = "payments") -> Tables:
+    """Input presence check, then the typed full-refresh load.
+
+    layout "payments": merchants.parquet, customers.parquet and a transactions/year=/month=
+    tree under ``source``; "fixtures": the tables of FIXTURES.md.
+    """
+    base = source.rstrip("/")
+    if layout == "payments":
+        for name in ("merchants.parquet", "customers.parquet", "transactions"):
+            W.require_input(spark, f"{base}/{name}", name)
+        return W.load_warehouse(Tables.from_payments(spark, base), paths.warehouse)
     for name in ("supplier", "customer", "lineitem", "orders", "nation", "region"):
-        W.require_input(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name)
-    return W.load_warehouse(Tables.from_raw(spark, sf_dir), paths.warehouse)
+        W.require_input(spark, f"{base}/{name}.parquet", name)
+    return W.load_warehouse(Tables.from_raw(spark, base), paths.warehouse)
 
 
 def summarize(t: Tables) -> DataFrame:
@@ -118,41 +127,42 @@ def make_labels(t: Tables, paths: RunPaths, horizon: int = FT.HORIZON) -> DataFr
     return t.spark.read.parquet(paths.training)
 
 
-def train_and_evaluate(t: Tables, paths: RunPaths, label: str = models.LABEL) -> dict:
-    run = models.trained(t, label)
+def train_and_evaluate(t: Tables, paths: RunPaths, label: str = models.LABEL, train_end_date: str | None = None,
+                       search: bool = False) -> dict:
+    """Fit and compare the models on the saved training table, and save them with metrics and card."""
+    run = models.TrainRun(t, label, train_end_date, training=t.spark.read.parquet(paths.training))
+    if search:
+        run.search()
     model_paths = run.save(paths.models)
     W.write_json(models.eval_metrics(run), paths.metrics)
-    best = run.best()
-    W.export_csv(EV.lift_table(run.predictions[best]).orderBy("decile"), paths.lift)
+    W.export_csv(EV.lift_table(run.prediction(run.best())).orderBy("decile"), paths.lift)
     W.export_csv(models.feature_importance(run).orderBy("importance", ascending=False), paths.importance)
     card = models.model_card(run, model_paths)
-    if card["best_model"]["path"] is None:
-        fallback = [m for m in models.EV_ORDER_FALLBACK if m in model_paths][0]
-        card["best_model"]["scoring_model"] = fallback
-        card["best_model"]["path"] = model_paths[fallback]
     models.write_model_card(card, paths.card, t.spark)
     return card
 
 
 def score_latest_week(t: Tables, paths: RunPaths) -> DataFrame:
+    """The outreach list, from the saved features and the saved best model."""
     card = models.read_model_card(paths.card, t.spark)
-    outreach = models.score_latest_week(t, card)
+    outreach = models.score_latest_week(t, card, t.spark.read.parquet(paths.features))
     W.export_csv(outreach.orderBy("rank"), paths.scores)
     return outreach
 
 
-def run_all(spark: SparkSession, sf_dir: str, out_base: str, label: str = models.LABEL,
-            score_latest: bool = True) -> dict:
+def run_all(spark: SparkSession, source: str, out_base: str, label: str = models.LABEL,
+            score_latest: bool = True, train_end_date: str | None = None, search: bool = False,
+            layout: str = "payments") -> dict:
     ensure_checkpoint_dir(spark)
     paths = RunPaths(out_base)
-    t = load_tables(spark, sf_dir, paths)
+    t = load_tables(spark, source, paths, layout)
     quality.enforce(t)
     register_kpi_views(t)
     summary = [r.asDict() for r in summarize(t).collect()]  # one row
     marts = {r["mart"]: r["rows"] for r in build_and_export_marts(t, paths).collect()}  # six rows
     build_features(t, paths)
     make_labels(t, paths)
-    card = train_and_evaluate(t, paths, label)
+    card = train_and_evaluate(t, paths, label, train_end_date, search)
     result = {"summary": summary, "marts": marts, "card": card}
     if score_latest:
         result["outreach_rows"] = score_latest_week(t, paths).count()

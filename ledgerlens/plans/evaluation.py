@@ -38,10 +38,11 @@ VOLUME_RULE_SHARE_OF_MEDIAN = 0.6
 LOW_ACTIVITY_FREQUENCY = 1
 CARD_HEAVY_SHARE = 0.9
 SEARCH_RECENT_WEEKS = 26
-SEARCH_MIN_RECENT_ROWS = 5000
+#: Labelled rows a classifier is fitted on by default in the model search.
 SEARCH_MAX_ROWS = 200_000
 SEED = 42
 ID_COLS = ["merchant_id", "week_start_date"]
+EXPLICIT_TRAIN_END = "1997-06-30"
 
 
 # ---------------------------------------------------------------- split
@@ -59,21 +60,22 @@ def split_fallback_quantile_of(lab: DataFrame) -> DataFrame:
 
 
 def split_date_value(lab: DataFrame, train_end_date: str | None = None):
-    """Explicit date, else latest labelled week - 8 weeks; the 0.8 quantile when
-    no labelled row lies after that cut. One small aggregate plus an existence
-    check; the single date is used as a literal."""
+    """The last training week: the explicit date, else latest labelled week - 8 weeks;
+    the 0.8 quantile of the weeks if no labelled row lies after that. A ValueError if
+    a side has no rows. One small aggregate; the single date is used as a literal."""
     import datetime as dt
 
-    if train_end_date:
-        return dt.date.fromisoformat(str(train_end_date)[:10])
     q = F.percentile(F.unix_date("week_start_date"), F.lit(FALLBACK_QUANTILE))
-    row = lab.agg(F.max("week_start_date").alias("latest"),
+    row = lab.agg(F.min("week_start_date").alias("first"), F.max("week_start_date").alias("latest"),
                   F.date_from_unix_date(F.floor(q).cast("int")).alias("q")).first()
     if row["latest"] is None:
         raise ValueError("no labelled rows")
-    cut = row["latest"] - dt.timedelta(weeks=SPLIT_WEEKS_BACK)
-    has_after = lab.where(F.col("week_start_date") > F.lit(cut)).limit(1).count() > 0
-    return cut if has_after else row["q"]
+    cut = dt.date.fromisoformat(str(train_end_date)[:10]) if train_end_date else row["latest"] - dt.timedelta(weeks=SPLIT_WEEKS_BACK)
+    if cut >= row["latest"]:
+        cut = row["q"]
+    if not row["first"] <= cut < row["latest"]:
+        raise ValueError(f"the split at {cut} leaves no training or no holdout rows")
+    return cut
 
 
 def with_side(lab: DataFrame, train_end_date: str | None = None) -> DataFrame:
@@ -273,39 +275,61 @@ def outreach(features: DataFrame, scored_latest: DataFrame) -> DataFrame:
     return global_order(rows, order, row_number="rank")
 
 
-def search_training_sample(train: DataFrame) -> DataFrame:
-    """Model-search sample: the last 26 train weeks when that slice has >= 5,000
-    rows, else all train rows; then at most 200,000 rows chosen by a seeded hash
-    (the row cap is the operator's purpose)."""
-    latest = train.agg(F.max("week_start_date")).first()[0]
-    recent_cond = F.col("week_start_date") >= F.date_sub(F.lit(latest), 7 * SEARCH_RECENT_WEEKS)
-    n_recent = train.where(recent_cond).count()
-    pool = train.where(recent_cond) if n_recent >= SEARCH_MIN_RECENT_ROWS else train
-    return pool.orderBy(F.xxhash64(F.lit(SEED), *ID_COLS)).limit(SEARCH_MAX_ROWS)
+def bounded_sample(df: DataFrame, max_rows: int | None, keys: list[str] = ID_COLS) -> DataFrame:
+    """About ``max_rows`` rows (all, if there are no more), those whose seeded hash of the keys is low.
+
+    A threshold on the hash, so no task sorts or gathers the rows.
+    """
+    n = df.count() if max_rows else 0
+    if not max_rows or n <= max_rows:
+        return df
+    share = F.pmod(F.xxhash64(F.lit(SEED), *keys), F.lit(1 << 30))
+    return df.where(share < int(max_rows / n * (1 << 30)))
+
+
+def search_training_sample(train: DataFrame, recent_weeks: int | None = None,
+                           max_rows: int = SEARCH_MAX_ROWS) -> DataFrame:
+    """Rows the model search is fitted on: of the last ``recent_weeks`` weeks of the training side if
+    given (else of all), about ``max_rows`` at most by a seeded hash.
+
+    Both are choices of the caller; neither depends on the number of rows.
+    """
+    if recent_weeks:
+        latest = train.agg(F.max("week_start_date")).first()[0]
+        train = train.where(F.col("week_start_date") >= F.date_sub(F.lit(latest), 7 * recent_weeks))
+    return bounded_sample(train, max_rows)
 
 
 # ---------------------------------------------------------------- query keys
-def _training(t: Tables) -> DataFrame:
-    """The persisted training table (written once, then read by every metric job)."""
-    return materialize(FT.training_table(t), "training")
+SCORE_COLUMNS = ["decline_rate", "txn_frequency", "share_card", "week_of_year"]
+
 
+def _labelled_rows(t: Tables, *columns: str, label: str = "churn_4w") -> DataFrame:
+    """Key, label and the named columns of the labelled rows, written once."""
+    return materialize(labelled(FT.training_table(t).select(*ID_COLS, label, *columns), label), "labelled")
 
-def _features(t: Tables) -> DataFrame:
-    """The persisted merchant-week feature table."""
-    return materialize(FT.merchant_week_features(t), "features")
+
+def _score_rows(t: Tables) -> DataFrame:
+    """The columns that scores and outreach rules use of all merchant weeks, written once."""
+    return materialize(FT.merchant_week_features(t).select(*ID_COLS, "gpv", *SCORE_COLUMNS), "score-columns")
 
 
 def _holdout(t: Tables, model: str = "decline_signal", training: DataFrame | None = None) -> DataFrame:
-    tr = training if training is not None else _training(t)
-    return materialize(scored_holdout(tr, model=model), "scored")
+    tr = training if training is not None else _labelled_rows(t, *SCORE_COLUMNS)
+    return scored_holdout(tr, model=model)
 
 
 def q_train_test_split_stats(t: Tables) -> DataFrame:
-    return split_stats(_training(t))
+    return split_stats(_labelled_rows(t))
+
+
+def q_train_test_split_explicit(t: Tables) -> DataFrame:
+    """The split at an explicit date."""
+    return split_stats(_labelled_rows(t), train_end_date=EXPLICIT_TRAIN_END)
 
 
 def q_split_fallback_quantile(t: Tables) -> DataFrame:
-    return split_fallback_quantile_of(labelled(_training(t), "churn_4w"))
+    return split_fallback_quantile_of(labelled(FT.training_table(t), "churn_4w"))
 
 
 def q_roc_auc(t: Tables) -> DataFrame:
@@ -325,7 +349,7 @@ def q_lift_table(t: Tables) -> DataFrame:
 
 
 def q_standin_metrics(t: Tables) -> DataFrame:
-    tr = _training(t)
+    tr = _labelled_rows(t, *SCORE_COLUMNS)
     return reduce(DataFrame.unionByName,
                   [model_metrics(_holdout(t, m, tr), m) for m in STANDIN_ORDER])
 
@@ -338,32 +362,52 @@ def q_best_model(t: Tables) -> DataFrame:
 
 
 def q_balanced_class_weights(t: Tables) -> DataFrame:
-    lab = labelled(_training(t), "churn_4w")
-    train = with_side(lab).where(F.col("side") == "train")
+    train = with_side(_labelled_rows(t)).where(F.col("side") == "train")
     per = train.groupBy(F.col("churn_4w").cast("int").alias("class")).agg(F.count(F.lit(1)).alias("rows"))
     total = F.sum("rows").over(Window.partitionBy())  # one row per class
     return per.withColumn("weight", total / (F.lit(2.0) * F.col("rows")))
 
 
 def q_feature_median(t: Tables) -> DataFrame:
-    return exact_median(_features(t), "gpv")
+    return exact_median(FT.merchant_week_features(t).select("gpv"), "gpv")
+
+
+def latest_week_tables(t: Tables) -> Tables:
+    """The tables with the transactions of the latest week alone.
+
+    The week is a range of dates, and of years and months, so a scan reads few
+    partitions and pushes the range down.
+    """
+    import datetime as dt
+
+    first = t.transactions.agg(F.trunc(F.max("txn_date"), "week")).first()[0]
+    if first is None:
+        return t
+    days = [first + dt.timedelta(days=i) for i in (0, 7)]
+    months = sorted({(d.year, d.month) for d in (days[0], days[1] - dt.timedelta(days=1))})
+    in_months = reduce(lambda a, b: a | b, [(F.col("partition_year") == y) & (F.col("partition_month") == m) for y, m in months])
+    return t.replace(transactions=t.transactions.where(
+        in_months & (F.col("txn_date") >= F.lit(days[0])) & (F.col("txn_date") < F.lit(days[1]))))
 
 
 def q_latest_week_features(t: Tables) -> DataFrame:
-    # the latest feature week is the week of the latest transaction: one column scan
-    latest = t.transactions.agg(F.trunc(F.max("txn_date"), "week")).first()[0]
-    return latest_week(FT.merchant_week_features(t), latest)
+    return FT.merchant_week_features(latest_week_tables(t))
 
 
 def _latest_standin(t: Tables) -> tuple[DataFrame, DataFrame]:
-    feats = _features(t)
+    feats = _score_rows(t)
     latest = latest_week(feats)
     return feats, latest.withColumn("score", standin_scores(latest)["decline_signal"])
 
 
+def _latest_scored(t: Tables) -> DataFrame:
+    """The latest week alone, scored; other weeks are not read."""
+    latest = FT.merchant_week_features(latest_week_tables(t))
+    return latest.withColumn("score", standin_scores(latest)["decline_signal"])
+
+
 def q_risk_bucket(t: Tables) -> DataFrame:
-    _, latest = _latest_standin(t)
-    return latest.select("merchant_id", "score", risk_bucket(F.col("score")).alias("risk_bucket"))
+    return _latest_scored(t).select("merchant_id", "score", risk_bucket(F.col("score")).alias("risk_bucket"))
 
 
 def q_recommended_action(t: Tables) -> DataFrame:
@@ -378,18 +422,19 @@ def q_outreach_scores(t: Tables) -> DataFrame:
 
 
 def q_score_minmax(t: Tables) -> DataFrame:
-    _, latest = _latest_standin(t)
+    latest = materialize(_latest_scored(t).select("merchant_id", "decline_rate", "txn_frequency"), "latest")
     raw = latest.withColumn("raw", F.col("decline_rate") * 10 - F.col("txn_frequency"))
     return minmax_scale(raw, "raw", "scaled_score").select("merchant_id", "raw", "scaled_score")
 
 
 def q_search_training_sample(t: Tables) -> DataFrame:
-    train = with_side(labelled(_training(t), "churn_4w")).where(F.col("side") == "train")
-    return search_training_sample(train).select(*ID_COLS, "churn_4w")
+    train = with_side(_labelled_rows(t)).where(F.col("side") == "train")
+    return search_training_sample(train, recent_weeks=SEARCH_RECENT_WEEKS).select(*ID_COLS, "churn_4w")
 
 
 QUERIES = {
     "train_test_split_stats": q_train_test_split_stats,
+    "train_test_split_explicit": q_train_test_split_explicit,
     "split_fallback_quantile": q_split_fallback_quantile,
     "roc_auc": q_roc_auc,
     "average_precision": q_average_precision,

@@ -44,6 +44,16 @@ def scan_partitioned(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("rows"))
 
 
+def payments_layout(t: Tables) -> DataFrame:
+    """Write the raw payments layout (dimension files and a year=/month= tree of the fact
+    without its derived columns) and load the fact from it."""
+    base = shared_work_dir(t.spark, "payments")
+    W.typed(t.merchants, schemas.MERCHANTS).write.mode("overwrite").parquet(f"{base}/merchants.parquet")
+    W.typed(t.customers, schemas.CUSTOMERS).write.mode("overwrite").parquet(f"{base}/customers.parquet")
+    W.write_year_month_layout(W.typed(t.transactions, schemas.TRANSACTIONS).drop("txn_date"), f"{base}/transactions")
+    return load_transactions(Tables.from_payments(t.spark, base))
+
+
 def table_row_counts(t: Tables) -> DataFrame:
     parts = [t.table(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
              for n in ("merchants", "customers", "transactions")]
@@ -69,6 +79,7 @@ def mart_export_counts(t: Tables) -> DataFrame:
 
 QUERIES = {
     "load_transactions": load_transactions,
+    "payments_layout": payments_layout,
     "load_merchants": load_merchants,
     "load_customers": load_customers,
     "scan_partitioned": scan_partitioned,

@@ -1,23 +1,18 @@
-"""Churn models on Spark ML: training, scoring, evaluation, importances,
-model card and the model-scored outreach list.
+"""Churn models: training, scoring, evaluation, importances, model card and the
+model-scored outreach list.
 
 * Random forest and gradient boosting are Spark ML pipelines (median Imputer
-  -> VectorAssembler -> classifier), class-balanced through ``weightCol``.
-* KNN (15 neighbours, inverse-distance vote) is exact: train and test rows are
-  split into blocks, each (train block, test block) pair is one task that
-  keeps the 15 nearest train rows per test row, and a per-test-row top-15
-  merges the blocks. Only 15 candidates per test row per block leave a task.
-* Permutation importance scores every (feature, repeat) permuted copy of the
-  holdout in one distributed pass and computes all AUCs with one grouped
-  global ordering.
+  -> VectorAssembler -> classifier); the forest is class-balanced by ``weightCol``.
+* KNN has a saved form of its own (``plans/knn.py``).
+* The winner of the model search can join them as a fourth candidate.
+* ``score`` scores rows with any of them, so whichever is best is evaluated,
+  explained, saved, loaded and used for outreach in the same way.
 """
 from __future__ import annotations
 
 import json
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -26,7 +21,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.lineage import materialize
 from ..operators.ranking import global_order
@@ -34,18 +28,18 @@ from ..session import shared_work_dir
 from ..sources.fixtures import Tables
 from . import evaluation as EV
 from . import features as FT
+from .knn import KnnModel
 
 SEED = 42
 LABEL = "churn_4w"
 # Model settings.
 RF_PARAMS = dict(numTrees=300, maxDepth=6, minInstancesPerNode=20)
 GBT_PARAMS = dict(maxIter=100, stepSize=0.05, maxDepth=3)
-KNN_NEIGHBOURS = 15
 PERMUTATION_REPEATS = 8
 MODEL_ORDER = ["random_forest", "gradient_boosting", "knn"]
-EV_ORDER_FALLBACK = ["gradient_boosting", "random_forest"]  # persisted pipelines, when KNN is best
-KNN_BLOCK_ROWS = 20_000
-KNN_CHUNK = 512
+SEARCH = "model_search"
+# Kinds of importance.
+GINI, PERMUTATION = "random_forest_gini", "permutation_best_model"
 
 
 def feature_names(training: DataFrame) -> list[str]:
@@ -90,164 +84,119 @@ def positive_probability(model: PipelineModel, df: DataFrame, keep: list[str]) -
     return out.select(*keep, vector_to_array("probability")[1].alias("score"))
 
 
-# ---------------------------------------------------------------- exact KNN
-def _standardize(train: DataFrame, test: DataFrame, names: list[str]):
-    """Population-std standardisation fitted on train (zero variance -> scale 1)."""
-    stats = train.agg(*[F.avg(c).alias(f"m_{c}") for c in names],
-                      *[F.stddev_pop(c).alias(f"s_{c}") for c in names]).first()  # 2 x #features numbers
-    def scaled(df):
-        cols = []
-        for c in names:
-            m, s = stats[f"m_{c}"] or 0.0, stats[f"s_{c}"] or 0.0
-            cols.append(((F.coalesce(F.col(c), F.lit(m)) - F.lit(m)) / F.lit(s if s > 0 else 1.0)))
-        return df.withColumn("vec", F.array(*[c.cast("double") for c in cols]))
-    return scaled(train), scaled(test)
-
-
-def knn_scores(train: DataFrame, test: DataFrame, names: list[str], k: int = KNN_NEIGHBOURS) -> DataFrame:
-    tr, te = _standardize(train, test, names)
-    n_tr = tr.count()
-    n_te = te.count()
-    b_tr = max(1, -(-n_tr // KNN_BLOCK_ROWS))
-    b_te = max(1, -(-n_te // KNN_BLOCK_ROWS))
-    keys = FT.ID_COLUMNS
-    tr_rows = tr.select(F.col("label").alias("y"), "vec",
-                        F.pmod(F.xxhash64(*keys), F.lit(b_tr)).alias("bt"),
-                        F.explode(F.sequence(F.lit(0), F.lit(b_te - 1))).alias("bq"),
-                        F.xxhash64(*keys).alias("tid"))  # deterministic under recomputation
-    te_rows = te.select(*keys, "vec",
-                        F.explode(F.sequence(F.lit(0), F.lit(b_tr - 1))).alias("bt"),
-                        F.pmod(F.xxhash64(*keys), F.lit(b_te)).alias("bq"))
-    schema = T.StructType([T.StructField("merchant_id", T.LongType()),
-                           T.StructField("week_start_date", T.DateType()),
-                           T.StructField("dist", T.DoubleType()),
-                           T.StructField("tid", T.LongType()),
-                           T.StructField("y", T.DoubleType())])
-
-    def local_topk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({f.name: [] for f in schema.fields})
-        x = np.stack(left["vec"].to_numpy()).astype(np.float64)
-        y = left["y"].to_numpy()
-        tid = left["tid"].to_numpy()
-        q = np.stack(right["vec"].to_numpy()).astype(np.float64)
-        kk = min(k, len(x))
-        xx = (x * x).sum(axis=1)
-        outs = []
-        for s in range(0, len(q), KNN_CHUNK):
-            qc = q[s:s + KNN_CHUNK]
-            d2 = np.maximum((qc * qc).sum(axis=1)[:, None] + xx[None, :] - 2.0 * qc @ x.T, 0.0)
-            idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(qc)), kk)
-            cols = idx.reshape(-1)
-            # exact distances for the kept candidates
-            diff = qc[rows] - x[cols]
-            dist = np.sqrt((diff * diff).sum(axis=1))
-            outs.append(pd.DataFrame({
-                "merchant_id": right["merchant_id"].to_numpy()[s:s + KNN_CHUNK][rows],
-                "week_start_date": right["week_start_date"].to_numpy()[s:s + KNN_CHUNK][rows],
-                "dist": dist, "tid": tid[cols], "y": y[cols]}))
-        return pd.concat(outs, ignore_index=True)
-
-    cands = (tr_rows.groupBy("bt", "bq").cogroup(te_rows.groupBy("bt", "bq"))
-             .applyInPandas(local_topk, schema))
-    w = Window.partitionBy(*keys).orderBy("dist", "tid")  # <= k x blocks rows per test row
-    top = cands.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-    zero = F.max(F.when(F.col("dist") == 0, 1).otherwise(0)).over(Window.partitionBy(*keys))
-    top = top.withColumn("has_zero", zero)
-    weight = F.when(F.col("has_zero") == 1, F.when(F.col("dist") == 0, 1.0).otherwise(0.0)).otherwise(
-        1.0 / F.col("dist"))
-    top = top.withColumn("w", weight)
-    return top.groupBy(*keys).agg((F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("score"))
+def score(model, df: DataFrame, keep: list) -> DataFrame:
+    """``keep`` columns and score (probability of the positive class) by any of the models."""
+    return model.score(df, keep) if isinstance(model, KnnModel) else positive_probability(model, df, keep)
+
+
+def save_model(model, spark, path: str) -> None:
+    if isinstance(model, KnnModel):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark, name: str, path: str):
+    return KnnModel.load(spark, path) if name == "knn" else PipelineModel.load(path)
 
 
 # ---------------------------------------------------------------- training run
 class TrainRun:
-    """Fitted models, holdout predictions and the split facts for one label."""
+    """The split of one training table, and models fitted on it when first asked for.
+
+    ``training`` is a saved training table (by default built from ``t`` and written once).
+    """
 
     def __init__(self, t: Tables, label: str = LABEL, train_end_date: str | None = None,
-                 models: list[str] | None = None):
-        self.t = t
-        self.label = label
-        self.training = materialize(FT.training_table(t), "training")
+                 models: list[str] | None = None, training: DataFrame | None = None):
+        self.t, self.label, self.train_end_date = t, label, train_end_date
+        self.order = list(models or MODEL_ORDER)
+        self.training = training if training is not None else materialize(FT.training_table(t), "training")
         self.names = feature_names(self.training)
-        train, test = split_frames(self.training, label, train_end_date)
-        self.train = materialize(with_class_weights(train), "train")
-        self.test = materialize(test, "test")
-        self.models: dict[str, PipelineModel] = {}
-        self.predictions: dict[str, DataFrame] = {}
-        keep = FT.ID_COLUMNS + [F.col("label").cast("int").alias("y_true")]
-        for name in (models or MODEL_ORDER):
+        sided = EV.with_side(EV.labelled(self.training, label), train_end_date).withColumn("label", F.col(label).cast("double"))
+        self.train = with_class_weights(sided.where(F.col("side") == "train").drop("side"))
+        self.test = sided.where(F.col("side") == "test").drop("side")
+        self._models: dict = {}
+        self._predictions: dict[str, DataFrame] = {}
+
+    def model(self, name: str):
+        if name not in self._models:
             if name == "random_forest":
-                self.models[name] = random_forest(self.names).fit(self.train)
+                self._models[name] = random_forest(self.names).fit(self.train)
             elif name == "gradient_boosting":
-                self.models[name] = gradient_boosting(self.names).fit(self.train)
-            if name in self.models:
-                pred = positive_probability(self.models[name], self.test, keep)
+                self._models[name] = gradient_boosting(self.names).fit(self.train)
+            elif name == "knn":
+                self._models[name] = KnnModel.fit(self.train, self.names)
             else:
-                scores = knn_scores(self.train, self.test, self.names)
-                pred = self.test.select(*FT.ID_COLUMNS, F.col("label").cast("int").alias("y_true")).join(
-                    scores, FT.ID_COLUMNS)
-            self.predictions[name] = materialize(pred, f"pred-{name}")
+                raise KeyError(name)
+        return self._models[name]
+
+    def prediction(self, name: str) -> DataFrame:
+        """merchant_id, week_start_date, y_true and score of the holdout, written once."""
+        if name not in self._predictions:
+            keep = FT.ID_COLUMNS + [F.col("label").cast("int").alias("y_true")]
+            self._predictions[name] = materialize(score(self.model(name), self.test, keep), f"pred-{name}")
+        return self._predictions[name]
+
+    def search(self, **options) -> DataFrame:
+        """Run the model search; its winner becomes a candidate like the others."""
+        table, winner = model_search(self.train, self.names, **options)
+        self._models[SEARCH] = winner
+        self._predictions.pop(SEARCH, None)
+        if SEARCH not in self.order:
+            self.order.append(SEARCH)
+        return table
 
     def split_facts(self) -> DataFrame:
-        return EV.split_stats(self.training, self.label)
+        return EV.split_stats(self.training, self.label, self.train_end_date)
 
     def metrics(self) -> DataFrame:
-        return reduce(DataFrame.unionByName,
-                      [EV.model_metrics(p, m) for m, p in self.predictions.items()])
+        return reduce(DataFrame.unionByName, [EV.model_metrics(self.prediction(m), m) for m in self.order])
 
     def best(self) -> str:
-        order = list(self.predictions)
-        return EV.best_model(self.metrics(), order).first()["model"]  # one row
+        return EV.best_model(self.metrics(), self.order).first()["model"]  # one row
 
     def save(self, base: str) -> dict[str, str]:
-        paths = {}
-        for name, m in self.models.items():
-            paths[name] = f"{base.rstrip('/')}/{name}"
-            m.write().overwrite().save(paths[name])
+        paths = {name: f"{base.rstrip('/')}/{name}" for name in self.order}
+        for name, path in paths.items():
+            save_model(self.model(name), self.t.spark, path)
         return paths
 
 
 def gini_importance(run: TrainRun) -> DataFrame:
-    m = run.models.get("random_forest")
-    if m is None:
-        return run.t.spark.createDataFrame([], "feature string, importance double, importance_type string")
-    imp = m.stages[-1].featureImportances.toArray().tolist()  # one value per feature
-    rows = [(f, float(v), "random_forest_gini") for f, v in zip(run.names, imp)]
-    return run.t.spark.createDataFrame(rows, "feature string, importance double, importance_type string")
+    schema = "feature string, importance double, importance_type string"
+    if "random_forest" not in run.order:
+        return run.t.spark.createDataFrame([], schema)
+    imp = run.model("random_forest").stages[-1].featureImportances.toArray().tolist()  # one value per feature
+    return run.t.spark.createDataFrame([(f, float(v), GINI) for f, v in zip(run.names, imp, strict=True)], schema)
 
 
 def permutation_importance(run: TrainRun, model_name: str, repeats: int = PERMUTATION_REPEATS) -> DataFrame:
-    """Mean AUC drop when one feature is shuffled over the holdout, per feature."""
-    model = run.models[model_name]
+    """Mean AUC drop when one feature is shuffled over the holdout, per feature.
+
+    Each repeat has one permutation for all features: a row meets the row whose
+    values it gets once, and one feature after another is swapped in after that.
+    """
     names = run.names
-    hold = materialize(global_order(run.test.select(*FT.ID_COLUMNS, "label", *names),
-                                    [F.col("merchant_id"), F.col("week_start_date")], row_number="idx"), "hold")
-    n = hold.agg(F.count(F.lit(1))).scalar()
-    feat_ids = F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1)))
-    copies = (hold.select("idx", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep"))
-              .select("idx", "rep", feat_ids.alias("fid")))
-    keyed = copies.withColumn("rk", F.xxhash64(F.lit(SEED), "rep", "fid", "idx"))
-    # position of each row inside its (rep, fid) copy when sorted by the random key
-    ordered = global_order(keyed, [F.col("rep"), F.col("fid"), F.col("rk"), F.col("idx")], row_number="g")
-    n_f = len(names)
-    perm = ordered.select("rep", "fid", F.col("idx").alias("src"),
-                          (F.col("g") - (F.col("rep") * n_f + F.col("fid")) * n).alias("dst"))
-    vals = hold.select(F.col("idx").alias("src"),
-                       F.array(*[F.col(c).cast("double") for c in names]).alias("srcvec"))
-    moved = perm.join(vals, "src").select("rep", "fid", F.col("dst").alias("idx"),
-                                         F.element_at("srcvec", F.col("fid") + 1).alias("pv"))
-    base = hold.join(moved, "idx")
-    swapped = base.select("rep", "fid", "label",
-                          *[F.when(F.col("fid") == i, F.col("pv")).otherwise(F.col(c).cast("double")).alias(c)
-                            for i, c in enumerate(names)])
-    scored = positive_probability(model, swapped, ["rep", "fid", F.col("label").cast("int").alias("y_true")])
+    numbered = global_order(run.test.select(*FT.ID_COLUMNS, "label", *names),
+                            [F.col("merchant_id"), F.col("week_start_date")], row_number="idx")
+    hold = materialize(numbered, "hold")
+    n = hold.count()
+    copies = hold.select("idx", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep"))
+    shuffled = global_order(copies.withColumn("rk", F.xxhash64(F.lit(SEED), "rep", "idx")),
+                            [F.col("rep"), F.col("rk"), F.col("idx")], row_number="g")
+    moves = shuffled.select("rep", "idx", (F.col("g") - F.col("rep") * n).alias("to"))
+    values = hold.select(F.col("idx").alias("to"), F.array(*[F.col(c).cast("double") for c in names]).alias("other"))
+    met = moves.join(values, "to").join(hold, "idx")
+    swapped = met.select("rep", "label", "other", *names, F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("fid")).select(
+        "rep", "fid", "label", *[F.when(F.col("fid") == i, F.col("other")[i]).otherwise(F.col(c).cast("double")).alias(c)
+                                 for i, c in enumerate(names)])
+    scored = score(run.model(model_name), swapped, ["rep", "fid", F.col("label").cast("int").alias("y_true")])
     aucs = grouped_auc(materialize(scored, "perm-scored"), ["rep", "fid"])
-    base_auc = EV.roc_auc_average_precision(run.predictions[model_name]).select("roc_auc").scalar()
+    base = EV.roc_auc_average_precision(run.prediction(model_name)).first()["roc_auc"]
     fmap = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(i), F.lit(c))])
-    return aucs.groupBy("fid").agg(F.avg(base_auc - F.col("roc_auc")).alias("importance")).select(
-        fmap[F.col("fid")].alias("feature"), "importance", F.lit("permutation_best_model").alias("importance_type"))
+    return aucs.groupBy("fid").agg(F.avg(F.lit(base) - F.col("roc_auc")).alias("importance")).select(
+        fmap[F.col("fid")].alias("feature"), "importance", F.lit(PERMUTATION).alias("importance_type"))
 
 
 def grouped_auc(scored: DataFrame, groups: list[str]) -> DataFrame:
@@ -269,21 +218,16 @@ def grouped_auc(scored: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def feature_importance(run: TrainRun) -> DataFrame:
-    best = run.best()
-    parts = [gini_importance(run)]
-    if best in run.models:
-        parts.append(permutation_importance(run, best))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    """Gini importance of the forest and permutation importance of the best model, whichever it is."""
+    return gini_importance(run).unionByName(permutation_importance(run, run.best()))
 
 
 def eval_metrics(run: TrainRun) -> DataFrame:
-    """Metrics rows per model with label, split date and row counts of each side."""
-    facts = run.split_facts()
-    train_rows = facts.where(F.col("side") == "train").agg(F.sum("rows")).scalar()
-    test_rows = facts.where(F.col("side") == "test").agg(F.sum("rows")).scalar()
-    split = facts.agg(F.max("split_date")).scalar()
-    return run.metrics().select(F.lit(run.label).alias("label"), split.alias("split_date"),
-                                train_rows.alias("train_rows"), test_rows.alias("test_rows"), "*")
+    """Metrics rows per model with label, split date, and rows and date range of each side."""
+    facts = {r["side"]: r for r in run.split_facts().collect()}  # two rows
+    sides = [F.lit(facts[side][c]).alias(name) for side in ("train", "test")
+             for c, name in (("rows", f"{side}_rows"), ("start_date", f"{side}_start"), ("end_date", f"{side}_end"))]
+    return run.metrics().select(F.lit(run.label).alias("label"), F.lit(facts["train"]["split_date"]).alias("split_date"), *sides, "*")
 
 
 def model_card(run: TrainRun, model_paths: dict[str, str]) -> dict:
@@ -294,7 +238,7 @@ def model_card(run: TrainRun, model_paths: dict[str, str]) -> dict:
     return {
         "label": run.label,
         "feature_names": run.names,
-        "best_model": {"name": best, "path": model_paths.get(best), "metrics": m},
+        "best_model": {"name": best, "path": model_paths[best], "metrics": m},
         "training": {side: {"rows": v["rows"], "start": str(v["start_date"]), "end": str(v["end_date"]),
                             "split_date": str(v["split_date"])} for side, v in facts.items()},
     }
@@ -309,19 +253,19 @@ def read_model_card(path: str, spark) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
 
-def score_latest_week(t: Tables, card: dict) -> DataFrame:
-    """Latest week of the unexpanded features scored by the saved best model, ranked."""
-    feats = materialize(FT.merchant_week_features(t), "features")
-    latest = EV.latest_week(feats)
+def score_latest_week(t: Tables, card: dict, features: DataFrame | None = None) -> DataFrame:
+    """Latest week of the unexpanded features (saved, or built from ``t``) scored by the saved best model, ranked."""
+    feats = features if features is not None else materialize(FT.merchant_week_features(t), "features")
     best = card["best_model"]
-    model = PipelineModel.load(best["path"])
-    scored = positive_probability(model, latest, FT.ID_COLUMNS + card["feature_names"])
-    return EV.outreach(feats, scored)
+    model = load_model(t.spark, best["name"], best["path"])
+    return EV.outreach(feats, score(model, EV.latest_week(feats), FT.ID_COLUMNS + card["feature_names"]))
 
 
-def model_search(train: DataFrame, names: list[str]) -> DataFrame:
-    """3-fold cross-validated grid search on ROC AUC over the search sample."""
-    sample = EV.search_training_sample(train)
+def model_search(train: DataFrame, names: list[str], recent_weeks: int | None = EV.SEARCH_RECENT_WEEKS,
+                 max_rows: int = EV.SEARCH_MAX_ROWS) -> tuple[DataFrame, PipelineModel]:
+    """3-fold cross-validated grid search on ROC AUC over a bounded sample of the training rows
+    (``recent_weeks``, ``max_rows``): the score of each setting, and the best one fitted."""
+    sample = EV.search_training_sample(train, recent_weeks, max_rows)
     clf = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", seed=SEED,
                                  minInstancesPerNode=RF_PARAMS["minInstancesPerNode"])
     grid = ParamGridBuilder().addGrid(clf.numTrees, [20, 50]).addGrid(clf.maxDepth, [4, 6]).build()
@@ -329,39 +273,53 @@ def model_search(train: DataFrame, names: list[str]) -> DataFrame:
                         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
                         numFolds=3, seed=SEED, parallelism=2)
     fitted = cv.fit(sample)
-    rows = [(int(p[clf.numTrees]), int(p[clf.maxDepth]), float(m)) for p, m in zip(grid, fitted.avgMetrics)]
-    return train.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, cv_roc_auc double")
+    rows = [(int(p[clf.numTrees]), int(p[clf.maxDepth]), float(m)) for p, m in zip(grid, fitted.avgMetrics, strict=True)]
+    return train.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, cv_roc_auc double"), fitted.bestModel
 
 
 # ---------------------------------------------------------------- query keys (rows-only checks)
 _RUNS: dict[tuple, TrainRun] = {}
 
 
+def _files_as_they_are(t: Tables) -> tuple:
+    """Path, size and time of change of every input file."""
+    out, jvm, conf = [], t.spark.sparkContext._jvm, t.spark.sparkContext._jsc.hadoopConfiguration()
+    for f in sorted(t.transactions.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((f, status.getLen(), status.getModificationTime()))
+    return tuple(out)
+
+
 def trained(t: Tables, label: str = LABEL) -> TrainRun:
-    """One fitted run per session, input and label (models are trained once, then
-    evaluated, explained, carded and used for scoring)."""
-    key = (t.spark.sparkContext.applicationId, t.label, label)
-    if key not in _RUNS:
-        _RUNS[key] = TrainRun(t, label)
+    """A run over the input files as they are now: the keys below share its models as long as
+    neither the files nor the session changes and its training table is there."""
+    key = (t.spark.sparkContext.applicationId, label, _files_as_they_are(t))
+    run = _RUNS.get(key)
+    if run is not None:
+        path = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run.training.inputFiles()[0])
+        if path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return run
+    _RUNS.clear()
+    _RUNS[key] = TrainRun(t, label)
     return _RUNS[key]
 
 
 def q_rf_scores(t: Tables) -> DataFrame:
-    return trained(t).predictions["random_forest"]
+    return trained(t).prediction("random_forest")
 
 
 def q_gbt_scores(t: Tables) -> DataFrame:
-    return trained(t).predictions["gradient_boosting"]
+    return trained(t).prediction("gradient_boosting")
 
 
 def q_knn_scores(t: Tables) -> DataFrame:
-    return trained(t).predictions["knn"]
+    return trained(t).prediction("knn")
 
 
 def q_model_search(t: Tables) -> DataFrame:
-    run_train, _ = split_frames(materialize(FT.training_table(t), "training"))
-    train = with_class_weights(run_train)
-    return model_search(train, feature_names(FT.training_table(t)))
+    run = TrainRun(t, training=trained(t).training)
+    return run.search()
 
 
 def q_eval_metrics(t: Tables) -> DataFrame:
@@ -378,30 +336,26 @@ def q_feature_importance_gini(t: Tables) -> DataFrame:
 
 def q_feature_importance_permutation(t: Tables) -> DataFrame:
     run = trained(t)
-    best = run.best()
-    return permutation_importance(run, best if best in run.models else "gradient_boosting")
+    return permutation_importance(run, run.best())
 
 
-def q_model_card(t: Tables) -> DataFrame:
+def _saved_card(t: Tables) -> dict:
     run = trained(t)
     base = shared_work_dir(t.spark, "models")
-    card = model_card(run, run.save(base))
-    write_model_card(card, f"{base}/model_card", t.spark)
-    back = read_model_card(f"{base}/model_card", t.spark)
+    write_model_card(model_card(run, run.save(base)), f"{base}/model_card", t.spark)
+    return read_model_card(f"{base}/model_card", t.spark)
+
+
+def q_model_card(t: Tables) -> DataFrame:
+    back = _saved_card(t)
     return t.spark.createDataFrame([(back["label"], back["best_model"]["name"], len(back["feature_names"]),
                                      json.dumps(back, default=str))],
                                    "label string, best_model string, n_features int, card string")
 
 
 def q_outreach_model_scores(t: Tables) -> DataFrame:
-    run = trained(t)
-    base = shared_work_dir(t.spark, "models")
-    card = model_card(run, run.save(base))
-    if card["best_model"]["path"] is None:  # KNN has no persisted pipeline: use the best Spark ML model
-        ml = [m for m in EV_ORDER_FALLBACK if m in run.models][0]
-        card["best_model"] = {"name": ml, "path": f"{base}/{ml}"}
-    return score_latest_week(t, card)
-
+    card = _saved_card(t)
+    return score_latest_week(t, card).withColumn("model", F.lit(card["best_model"]["name"]))
 
 
 def q_feature_table_roundtrip(t: Tables) -> DataFrame:

@@ -150,3 +150,25 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    def replace(self, **frames: DataFrame) -> "Tables":
+        """These tables with some replaced."""
+        return Tables(self.spark, lambda name: frames.get(name, None) if name in frames else self.table(name), self.label)
+
+    @classmethod
+    def from_payments(cls, spark: SparkSession, path: str) -> "Tables":
+        """Tables over raw payments files: merchants.parquet, customers.parquet and a
+        transactions/year=/month= tree, cast to the warehouse schemas.
+
+        txn_date is the day of ts, and partition_year and partition_month come from the folders.
+        """
+        base = path.rstrip("/")
+
+        def load(name: str) -> DataFrame:
+            if name == "transactions":
+                raw = spark.read.option("recursiveFileLookup", "false").parquet(f"{base}/transactions")
+                raw = raw.withColumns({"txn_date": F.to_date("ts"), "partition_year": F.col("year"), "partition_month": F.col("month")})
+            else:
+                raw = spark.read.parquet(f"{base}/{name}.parquet")
+            return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[name].fields])
+        return cls(spark, load, f"payments:{base}")

@@ -15,11 +15,13 @@ from .fixtures import Tables
 
 
 def require_input(spark: SparkSession, path: str, what: str) -> None:
-    """Raise FileNotFoundError with a clear message when a parquet input is absent."""
+    """Raise FileNotFoundError with a clear message when an input is absent; other faults show when it is read."""
     try:
         spark.read.parquet(path).schema  # noqa: B018  (reads footers only)
     except AnalysisException as e:
-        raise FileNotFoundError(f"input for {what} missing at {path}") from e
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"input for {what} missing at {path}") from e
+        raise
 
 
 def typed(df: DataFrame, schema) -> DataFrame:

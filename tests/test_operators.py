@@ -52,8 +52,8 @@ def test_money_sum_of_a_group_beyond_a_long(spark, scale):
     assert got == {1: sum(values), 2: None} and sum(values).scaleb(scale) > 2 ** 63
 
 
-def test_knn_exact_against_brute_force(spark):
-    from ledgerlens.plans import models
+def test_knn_exact_against_brute_force(spark, tmp_path):
+    from ledgerlens.plans.knn import KnnModel
 
     rnd = np.random.default_rng(0)
     n_tr, n_te = 120, 15
@@ -65,7 +65,11 @@ def test_knn_exact_against_brute_force(spark):
                                "merchant_id bigint, week_start_date date, label double, a double, b double, c double")
     te = spark.createDataFrame([(1000 + i, base, 0.0, *map(float, x_te[i])) for i in range(n_te)],
                                "merchant_id bigint, week_start_date date, label double, a double, b double, c double")
-    got = {r["merchant_id"]: r["score"] for r in models.knn_scores(tr, te, ["a", "b", "c"], k=5).collect()}
+    model = KnnModel.fit(tr, ["a", "b", "c"], k=5)
+    got = {r["merchant_id"]: r["score"] for r in model.score(te, ["merchant_id"]).collect()}
+    model.save(spark, f"{tmp_path}/knn")
+    again = KnnModel.load(spark, f"{tmp_path}/knn")
+    assert got == {r["merchant_id"]: r["score"] for r in again.score(te, ["merchant_id"]).collect()}
     mu, sd = x_tr.mean(axis=0), x_tr.std(axis=0)
     ztr, zte = (x_tr - mu) / sd, (x_te - mu) / sd
     for i in range(n_te):
@@ -76,3 +80,12 @@ def test_knn_exact_against_brute_force(spark):
         else:
             w = 1 / dist[nn]
         assert got[1000 + i] == pytest.approx((w * y_tr[nn]).sum() / w.sum(), abs=1e-9)
+
+
+def test_knn_keeps_a_bounded_sample(spark):
+    from ledgerlens.plans.knn import KnnModel
+
+    tr = spark.range(5000).selectExpr("id AS merchant_id", "date'2024-01-01' AS week_start_date", "cast(id % 2 AS double) AS label",
+                                      "cast(id % 10 AS double) AS a")
+    assert 700 < len(KnnModel.fit(tr, ["a"], max_rows=1000).rows) < 1300
+    assert len(KnnModel.fit(tr, ["a"], max_rows=5000).rows) == 5000
