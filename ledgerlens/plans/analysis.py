@@ -104,8 +104,12 @@ def rolling_approval_rate(t: Tables) -> DataFrame:
 
 def merchant_month_growth(t: Tables) -> DataFrame:
     """Merchant x month gpv with growth vs the merchant's previous active month."""
-    mm = t.transactions.groupBy("merchant_id", X.month_start("txn_date").alias("month")).agg(
-        X.gpv_sum().alias("gpv"))
+    return month_growth(t.transactions.groupBy("merchant_id", X.month_start("txn_date").alias("month")).agg(
+        X.gpv_sum().alias("gpv")))
+
+
+def month_growth(mm: DataFrame) -> DataFrame:
+    """Growth of (merchant_id, month, gpv) rows."""
     w = Window.partitionBy("merchant_id").orderBy("month")  # <= one row per month per merchant
     return mm.select(
         "merchant_id", "month", X.as_double("gpv").alias("gpv"),

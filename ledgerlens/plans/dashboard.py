@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.joins import can_broadcast, dimension_side, rollup_through_dimension
+from ..operators.joins import dimension_side, rollup_through_dimension
 from ..operators.lineage import materialize
-from ..operators.ranking import global_order
+from ..operators.ranking import dense_rank_by_value, global_order
 from ..sources.fixtures import Tables
 from . import analysis, kpis
 
@@ -137,12 +137,13 @@ def _weekly_channel(t: Tables) -> DataFrame:
 
 
 def channel_wow_drop(t: Tables) -> DataFrame:
+    """Weekly change of each channel's approved amount, worst first."""
     w = Window.partitionBy("channel").orderBy("week_start_date")  # channels x calendar weeks
     g = _weekly_channel(t)
     return g.select("channel", "week_start_date", X.as_double("gpv").alias("gpv"),
                     X.safe_div("approved_txns", "txns").alias("approval_rate"),
                     X.as_double(F.lag("gpv").over(w)).alias("prev_gpv")).withColumn(
-        "wow_growth", X.growth("gpv", "prev_gpv"))
+        "wow_growth", X.growth("gpv", "prev_gpv")).orderBy(F.col("wow_growth").asc_nulls_last(), "channel", "week_start_date")
 
 
 def decline_share_by_reason_channel(t: Tables) -> DataFrame:
@@ -193,18 +194,24 @@ def retention_checkpoints(t: Tables, months=CHECKPOINT_MONTHS) -> DataFrame:
 
 
 def at_risk_cohorts(t: Tables, limit: float = RISK_RETENTION) -> DataFrame:
-    mc = kpis.merchant_cohorts(t).where(F.col("retention_rate") < limit)
-    sizes = kpis.merchant_cohort_sizes(t)
-    g = mc.groupBy("signup_month").agg(F.count(F.lit(1)).alias("at_risk_cells"),
-                                       F.sum("retained_merchants").alias("retained_in_at_risk_cells"),
-                                       F.min("retention_rate").alias("min_retention"))
-    return g.join(F.broadcast(sizes), "signup_month")  # one row per signup month
+    """Cohorts with months of low retention: how many such months, the merchants seen in at least
+    one of them (each once), and their visits."""
+    activity = kpis.merchant_cohort_activity(t).select("signup_month", "month_index", "merchant_id")
+    activity = materialize(activity, "cohort-activity")
+    cells = activity.groupBy("signup_month", "month_index").agg(F.count(F.lit(1)).alias("retained_merchants"))
+    sizes = F.broadcast(kpis.merchant_cohort_sizes(t))  # one row per signup month
+    risky = cells.join(sizes, "signup_month").withColumn(
+        "retention_rate", X.safe_div("retained_merchants", "cohort_merchants")).where(F.col("retention_rate") < limit)
+    merchants = activity.join(F.broadcast(risky.select("signup_month", "month_index")), ["signup_month", "month_index"]).select(
+        "signup_month", "merchant_id").distinct().groupBy("signup_month").agg(F.count(F.lit(1)).alias("at_risk_merchants"))
+    per = risky.groupBy("signup_month").agg(
+        F.count(F.lit(1)).alias("at_risk_cells"), F.sum("retained_merchants").alias("retained_in_at_risk_cells"),
+        F.min("retention_rate").alias("min_retention"), F.max("cohort_merchants").alias("cohort_merchants"))
+    return per.join(F.broadcast(merchants), "signup_month")
 
 
 def retention_by_size_region(t: Tables) -> DataFrame:
-    act = kpis.merchant_cohort_activity(t)
-    dims = t.merchants.select("merchant_id", "merchant_size", "region")
-    cells = act.join(dimension_side(t, "merchants", dims), "merchant_id").groupBy("merchant_size", "region", "month_index").agg(
+    cells = kpis.merchant_cohort_activity(t, ("merchant_size", "region")).groupBy("merchant_size", "region", "month_index").agg(
         F.count(F.lit(1)).alias("retained_merchants"))
     sizes = t.merchants.groupBy("merchant_size", "region").agg(F.count(F.lit(1)).alias("merchants"))
     return cells.join(F.broadcast(sizes), ["merchant_size", "region"]).select(  # sizes x regions
@@ -235,10 +242,8 @@ def cohort_delta(t: Tables) -> DataFrame:
 
 
 def cohort_members(t: Tables) -> DataFrame:
-    act = kpis.merchant_cohort_activity(t)
-    dims = t.merchants.select("merchant_id", "merchant_size", "region", "industry")
-    return act.join(dimension_side(t, "merchants", dims), "merchant_id").select("signup_month", "month_index", "merchant_id", "merchant_size",
-                                                "region", "industry")
+    return kpis.merchant_cohort_activity(t, ("merchant_size", "region", "industry")).select(
+        "signup_month", "month_index", "merchant_id", "merchant_size", "region", "industry")
 
 
 def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, regions=None, industries=None,
@@ -256,6 +261,10 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
         tx = tx.where(F.col("channel").isin(*channels))
     if methods:
         tx = tx.where(F.col("payment_method").isin(*methods))
+    # one scan: sums per merchant (partial map-side), then the merchants asked for, totals and the merchant count
+    sums = {"gpv": X.gpv_sum(), "txns": F.count(F.lit(1)), "approved_txns": X.count_when(X.APPROVED),
+            "amount_total": X.money_sum("amount"), "amount_n": F.count("amount"), "fees": X.fee_sum()}
+    per = tx.groupBy("merchant_id").agg(*[v.alias(k) for k, v in sums.items()])
     if regions or industries or sizes:
         dim = t.merchants
         if regions:
@@ -264,12 +273,7 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
             dim = dim.where(F.col("industry").isin(*industries))
         if sizes:
             dim = dim.where(F.col("merchant_size").isin(*sizes))
-        dim = dim.select("merchant_id")
-        tx = tx.join(F.broadcast(dim) if can_broadcast(t, "merchants") else dim, "merchant_id", "left_semi")
-    # one scan: partial sums per merchant (map-side), then totals and the merchant count
-    sums = {"gpv": X.gpv_sum(), "txns": F.count(F.lit(1)), "approved_txns": X.count_when(X.APPROVED),
-            "amount_total": X.money_sum("amount"), "amount_n": F.count("amount"), "fees": X.fee_sum()}
-    per = tx.groupBy("merchant_id").agg(*[v.alias(k) for k, v in sums.items()])
+        per = per.join(dimension_side(t, "merchants", dim.select("merchant_id")), "merchant_id", "left_semi")
     a = per.agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("active_merchants"))
     return a.select(X.as_double(F.coalesce("gpv", F.lit(0))).alias("gpv"),
                     F.coalesce(F.col("txns"), F.lit(0)).cast("bigint").alias("txns"),
@@ -298,15 +302,14 @@ def rolling_28d_gpv(t: Tables, days: int = ROLLING_DAYS) -> DataFrame:
 
 
 def decline_rate_decomposition(t: Tables) -> DataFrame:
+    """One rollup by reason, channel and industry; the totals of channel and industry are sums over it."""
     fact = t.transactions.withColumn("decline_reason", F.coalesce("decline_reason", F.lit("unknown")))
-    by_reason = rollup_through_dimension(
-        t, fact.where(~X.APPROVED | X.APPROVED.isNull()), "merchants", "merchant_id", ["decline_reason", "channel"],
-        ["industry"], {"declined_txns": F.count(F.lit(1))})
-    totals = rollup_through_dimension(t, t.transactions, "merchants", "merchant_id", ["channel"], ["industry"],
-                                      {"total_txns": F.count(F.lit(1))})
-    j = by_reason.join(F.broadcast(totals), ["channel", "industry"])  # channels x industries
-    return j.select("decline_reason", "channel", "industry", "declined_txns", "total_txns",
-                    X.safe_div("declined_txns", "total_txns").alias("decline_rate"))
+    cells = rollup_through_dimension(t, fact, "merchants", "merchant_id", ["decline_reason", "channel"], ["industry"],
+                                     {"declined_txns": X.count_unless(X.APPROVED), "txns": F.count(F.lit(1))})
+    whole = Window.partitionBy("channel", "industry")  # a row per reason
+    return cells.withColumn("total_txns", F.sum("txns").over(whole)).where(F.col("declined_txns") > 0).select(
+        "decline_reason", "channel", "industry", "declined_txns", "total_txns",
+        X.safe_div("declined_txns", "total_txns").alias("decline_rate"))
 
 
 def seasonal_surge(t: Tables) -> DataFrame:
@@ -348,9 +351,14 @@ def region_decline_vs_gpv_share(t: Tables) -> DataFrame:
 
 
 def mom_decliners_in_top(t: Tables, top: int = TOP_MERCHANTS_FOR_MOM, limit: float = MOM_DECLINE_LIMIT) -> DataFrame:
-    tm = kpis.top_merchants(t).where(F.col("gpv_rank") <= top).select("merchant_id", "gpv_rank")
-    g = analysis.merchant_month_growth(t).where(F.col("mom_growth") <= limit)
-    return g.join(tm, "merchant_id").select("merchant_id", "gpv_rank", "month", "gpv", "prev_gpv", "mom_growth")
+    """Months of decline of the top merchants; totals and months both follow from one table of merchant months."""
+    months = materialize(t.transactions.groupBy("merchant_id", X.month_start("txn_date").alias("month")).agg(
+        X.gpv_sum().alias("gpv")), "merchant-months")
+    totals = months.groupBy("merchant_id").agg(X.as_double(F.sum("gpv")).alias("gpv"))
+    known = totals.join(dimension_side(t, "merchants", t.merchants.select("merchant_id")), "merchant_id", "left_semi")
+    ranked = dense_rank_by_value(known, "gpv", "gpv_rank").where(F.col("gpv_rank") <= top).select("merchant_id", "gpv_rank")
+    return analysis.month_growth(months).where(F.col("mom_growth") <= limit).join(ranked, "merchant_id").select(
+        "merchant_id", "gpv_rank", "month", "gpv", "prev_gpv", "mom_growth")
 
 
 def low_yield_channels(t: Tables, limit: float = LOW_YIELD) -> DataFrame:

@@ -74,17 +74,17 @@ def industry_heatmap(t: Tables) -> DataFrame:
     )
 
 
-def merchant_cohort_activity(t: Tables) -> DataFrame:
-    """(signup_month, month_index, merchant_id) for approved activity on or after signup.
+def merchant_cohort_activity(t: Tables, attributes: tuple[str, ...] = ()) -> DataFrame:
+    """(signup_month, month_index, merchant_id) and attributes of the merchant for approved activity on or after signup.
 
     (merchant, activity month) is made distinct before the join, so each
     merchant appears once per cell and a plain count is a distinct count.
     """
     activity = (t.transactions.where(X.APPROVED)
                 .select("merchant_id", X.month_start("txn_date").alias("activity_month")).distinct())
-    cohort = t.merchants.select("merchant_id", X.month_start("signup_date").alias("signup_month"))
+    cohort = t.merchants.select("merchant_id", X.month_start("signup_date").alias("signup_month"), *attributes)
     joined = activity.join(dimension_side(t, "merchants", cohort), "merchant_id").where(F.col("activity_month") >= F.col("signup_month"))
-    return joined.select("signup_month", "activity_month", "merchant_id",
+    return joined.select("signup_month", "activity_month", "merchant_id", *attributes,
                          X.month_boundaries_between("signup_month", "activity_month").alias("month_index"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators.lineage import materialize
 from ..operators.joins import dimension_side, rollup_through_dimension
 from ..sources.fixtures import Tables
 
@@ -61,12 +62,14 @@ def dq_nulls_transactions(t: Tables) -> DataFrame:
         "customer_id": "customer_nulls", "amount": "amount_nulls", "approved": "approved_nulls"})
 
 
+def _range_counts() -> list:
+    # NOT IN over a NULL boolean yields NULL, never TRUE: the last check cannot fire.
+    return [X.count_when(F.col("amount") <= 0).alias("invalid_amounts"), X.count_when(F.col("fee") < 0).alias("invalid_fees"),
+            X.count_when(~F.col("approved").isin(True, False)).alias("invalid_approved")]
+
+
 def dq_range_checks(t: Tables) -> DataFrame:
-    # NOT IN over a NULL boolean yields NULL, never TRUE: this check cannot fire.
-    return t.transactions.agg(
-        X.count_when(F.col("amount") <= 0).alias("invalid_amounts"),
-        X.count_when(F.col("fee") < 0).alias("invalid_fees"),
-        X.count_when(~F.col("approved").isin(True, False)).alias("invalid_approved"))
+    return t.transactions.agg(*_range_counts())
 
 
 def _orphans(t: Tables, dim_name: str, key: str, out: str) -> DataFrame:
@@ -104,20 +107,43 @@ def _as_rows(one_row: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"), "check_name", F.col("violations").cast("bigint"))
 
 
+def _null_and_range_counts(t: Tables) -> DataFrame:
+    """The null and range checks of the fact in one aggregate."""
+    nulls = {"txn_id": "txn_id_nulls", "ts": "ts_nulls", "merchant_id": "merchant_nulls",
+             "customer_id": "customer_nulls", "amount": "amount_nulls", "approved": "approved_nulls"}
+    return t.transactions.agg(*[X.count_when(F.col(c).isNull()).alias(out) for c, out in nulls.items()], *_range_counts())
+
+
+def _key_counts(t: Tables) -> DataFrame:
+    """Orphans and repeated keys in one pass over the keys of each table: one row."""
+    key = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("id"))
+    held = t.merchants.select(key("merchants", "merchant_id").alias("k")).unionByName(
+        t.customers.select(key("customers", "customer_id").alias("k"))).groupBy("k.kind", "k.id").agg(F.count(F.lit(1)).alias("rows"))
+    used = t.transactions.select(F.explode(F.array(key("merchants", "merchant_id"), key("customers", "customer_id"),
+                                                   key("transactions", "txn_id"))).alias("k")).groupBy("k.kind", "k.id").agg(
+        F.count(F.lit(1)).alias("uses"))
+    both = used.join(held, (used.kind == held.kind) & (used.id == held.id), "full").select(
+        F.coalesce(used.kind, held.kind).alias("kind"), "uses", "rows")
+    of = lambda kind, cond: X.count_when((F.col("kind") == kind) & cond)
+    orphan, again = F.col("uses").isNotNull() & F.col("rows").isNull(), F.coalesce(F.col("rows") > 1, F.lit(False))
+    return both.agg(of("merchants", orphan).alias("missing_merchants"), of("customers", orphan).alias("missing_customers"),
+                    of("merchants", again).alias("merchants"), of("customers", again).alias("customers"),
+                    of("transactions", F.col("uses") > 1).alias("transactions"))
+
+
 def dq_report(t: Tables) -> DataFrame:
-    """All checks as rows: table_name, check_name, violations, passed."""
+    """All checks as rows: table_name, check_name, violations, passed. The fact is read twice: its keys, and its other columns."""
+    keys = materialize(_key_counts(t), "keycounts")
     parts = [
         _as_rows(dq_nulls_merchants(t), "merchants"),
         _as_rows(dq_nulls_customers(t), "customers"),
-        _as_rows(dq_nulls_transactions(t), "transactions"),
-        _as_rows(dq_range_checks(t), "transactions"),
-        _as_rows(dq_fk_merchant(t), "transactions"),
-        _as_rows(dq_fk_customer(t), "transactions"),
-        dq_pk_duplicates(t).select("table_name", F.lit("duplicate_keys").alias("check_name"),
-                                   F.col("duplicate_keys").alias("violations")),
+        _as_rows(_null_and_range_counts(t), "transactions"),
+        _as_rows(keys.select("missing_merchants", "missing_customers"), "transactions"),
+        keys.unpivot([], list(PRIMARY_KEYS), "table_name", "violations").select(
+            "table_name", F.lit("duplicate_keys").alias("check_name"), "violations"),
     ]
     report = reduce(DataFrame.unionByName, parts)
-    return report.withColumn("passed", F.col("violations") == 0)
+    return report.withColumn("violations", F.coalesce("violations", F.lit(0).cast("bigint"))).withColumn("passed", F.col("violations") == 0)
 
 
 class QualityError(ValueError):

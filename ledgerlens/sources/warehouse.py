@@ -72,4 +72,4 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
