@@ -7,15 +7,20 @@ hash, with the shingles that very many documents hold last. Only those prefix
 shingles are dealt out, packed, by hash; a shingle that one class alone holds
 goes no further.
 
-First each class is paired with the leader of its size band in the shingle
-groups it is in (the one it meets most often), which joins large groups of near
-copies without comparing all their pairs. Then, where a shingle group still
-holds classes of different components, its members are cut into tiles, and the
-tiles are compared: pairs of one component are skipped, sizes must allow the
+Candidates: each class is paired with the leader of its size band that it meets
+in most shingle groups, which joins large groups of near copies without
+comparing all their pairs. Then, where a shingle group still holds several
+components, its members are cut into tiles and compared: sizes must allow the
 similarity, and the bits that one signature lacks of the other bound the
-overlap from above. What passes is confirmed by intersecting the two sorted
-arrays, made anew from the texts. So every link between different components
-is found, and components are exact.
+overlap from above. A tile gives the edges of a forest of what may be linked;
+the connected parts are blocks that no link leaves.
+
+Links: the classes of a block, most often a few, come together with their
+sorted arrays, made anew from the texts, in tiles of a bounded number. Bitmaps of
+more bits bound the overlap, and the sorted arrays confirm it, best bound first;
+pairs that links already connect are skipped. Tiles of one block are compared
+only where their classes are in different components. So every link between
+different components is found, and components are exact.
 
 A set's bitmap has a power of two of bits, at least its size, and is folded to
 the length of a smaller set's. Shingles are told apart by 64-bit hashes, sets by
@@ -32,10 +37,11 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import materialize, record_batch, shuffle_parts
-from .components import components
-from .wordhash import groups, mix, run_hashes, word_hashes
+from .components import Forest, components
+from .wordhash import GROUP_ROWS, groups, mix, run_hashes, text_groups, word_hashes
 
 SHINGLE_WORDS = 5
 THRESHOLD = Fraction(4, 5)
@@ -43,7 +49,9 @@ THRESHOLD = Fraction(4, 5)
 FREQUENT_PART, FREQUENT_LEAST = Fraction(1, 1000), 64
 #: It must be in so many documents of one batch to be counted there at all.
 FREQUENT_IN_BATCH = 3
-TILE = 1024
+TILE = 512
+#: Bits for each shingle in the bitmaps of a tile with its sorted arrays.
+FINE_BITS = 8
 BUCKETS_PER_PART = 4
 #: Pairs whose bitmaps are compared in one step.
 PAIRS_AT_ONCE = 1 << 17
@@ -55,6 +63,8 @@ PACKED = pa.schema([("bucket", pa.int32()), ("packed", pa.binary())])
 MEMBERS_DDL = "shingle bigint, node bigint, leader bigint"
 MEMBERS = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("leader", pa.int64())])
 POSTING = np.dtype([("shingle", "<u4"), ("band", "u1"), ("node", "<i8")])
+ARRAYS_DDL = "block bigint, class bigint, shingles binary"
+ARRAYS = pa.schema([("block", pa.int64()), ("class", pa.int64()), ("shingles", pa.binary())])
 PAIR_DDL = "a bigint, b bigint"
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -111,25 +121,19 @@ def fold(bits: np.ndarray, length: int) -> np.ndarray:
     return bits
 
 
-def _texts(batch, column=1):
-    return [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(column).to_pylist()]
-
-
 def _describe(batches, rule):
     for batch in batches:
-        texts = _texts(batch)
-        for a, b in groups(texts):
-            sets = shingle_sets(texts[a:b], rule.words)
+        for at, texts in text_groups(batch.column(1)):
+            sets = shingle_sets(texts, rule.words)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            yield record_batch(SETS, [batch.column(0).slice(a, b - a), [len(s) for s in sets], digests,
+            yield record_batch(SETS, [batch.column(0).slice(at, len(texts)), [len(s) for s in sets], digests,
                                       [int.from_bytes(d[:8], "little", signed=True) for d in digests], list(map(bitmap, sets))])
 
 
 def _frequent(batches, rule):
     schema = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
     for batch in batches:
-        texts = _texts(batch)
-        sets = [s for a, b in groups(texts) for s in shingle_sets(texts[a:b], rule.words)]
+        sets = [s for _, texts in text_groups(batch.column(1)) for s in shingle_sets(texts, rule.words)]
         if sets:
             shingles, n = np.unique(np.concatenate(sets), return_counts=True)
             many = n >= FREQUENT_IN_BATCH
@@ -178,18 +182,19 @@ def prefix_postings(sets: list[np.ndarray], nodes: np.ndarray, rule: Rule, frequ
 
 def _pack(batches, rule, frequent, buckets):
     for batch in batches:
-        texts = _texts(batch)
         parts = []
         seen: set[bytes] = set()
-        for a, b in groups(texts):
+        for _, texts in text_groups(batch.column(1)):
             sets, nodes = [], []
-            for s in shingle_sets(texts[a:b], rule.words):
+            for s in shingle_sets(texts, rule.words):
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 if len(s) and digest not in seen:  # copies in one batch count once
                     seen.add(digest)
                     sets.append(s)
                     nodes.append(int.from_bytes(digest[:8], "little", signed=True))
             parts.append(prefix_postings(sets, np.array(nodes, np.int64), rule, frequent, buckets))
+        if not parts:
+            continue
         bucket = np.concatenate([x for x, _ in parts])
         posting = np.concatenate([x for _, x in parts])
         order = np.argsort(bucket, kind="stable")
@@ -279,13 +284,14 @@ class Signatures:
         return out[0], out[1]
 
 
-def compare_tiles(rows: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of classes that sizes and bitmaps allow, of all left with all right rows of each (shingle, i, j) that differ in component.
+def compare_tiles(rows: pa.Table, rule: Rule) -> list[tuple[int, int]]:
+    """Components to connect, as edges of a forest: two are if sizes and bitmaps allow a link between them.
 
-    The rows are sorted by (shingle, i, j, side).
+    Compared are all left with all right rows of each (shingle, i, j). The rows are sorted by (shingle, i, j, side).
     """
     key = [rows.column(c).to_numpy() for c in ("shingle", "i", "j")]
-    side, n, cls, component = (rows.column(c).to_numpy() for c in ("side", "n", "class", "component"))
+    side, n, component = (rows.column(c).to_numpy() for c in ("side", "n", "component"))
+    names, component = np.unique(component, return_inverse=True)
     size = len(side)
     new = np.append(True, np.any([k[1:] != k[:-1] for k in key], axis=0))[:size]
     group = np.cumsum(new) - 1
@@ -297,7 +303,7 @@ def compare_tiles(rows: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     left, start, count = left[count > 0], start[count > 0], count[count > 0]
     signatures = Signatures(rows.column("bits").combine_chunks()) if len(left) else None
     upto = np.cumsum(count)
-    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    forest, now = Forest(), np.arange(len(names))
     at = 0
     while at < len(left):
         stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS_AT_ONCE, "right")))
@@ -305,7 +311,7 @@ def compare_tiles(rows: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         a = np.repeat(left[at:stop], c)
         b = np.repeat(start[at:stop] - np.cumsum(c) + c, c) + np.arange(c.sum())
         at = stop
-        good = component[a] != component[b]
+        good = now[component[a]] != now[component[b]]
         a, b = a[good], b[good]
         need = rule.overlap(n[a], n[b])
         good = need <= np.minimum(n[a], n[b])
@@ -313,14 +319,20 @@ def compare_tiles(rows: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         if len(a):
             lacks, lacked = signatures.lacking(a, b)
             good = (n[a] - lacks >= need) & (n[b] - lacked >= need)
-            found.append((cls[a[good]], cls[b[good]]))
-    x, y = (np.concatenate(side) for side in zip(*found, strict=True))
-    both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-    return both[:, 0], both[:, 1]
+            pairs = np.unique(now[component[a[good]]] * len(names) + now[component[b[good]]])
+            for x, y in zip(*(v.tolist() for v in np.divmod(pairs, len(names))), strict=True):
+                forest.add(x, y)
+            if len(pairs):
+                now = np.array([forest.find(x) for x in now.tolist()])
+    return [(int(names[x]), int(names[y])) for x, y in forest.edges]
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return record_batch(PAIRS, zip(*pairs, strict=True) if pairs else [[], []])
 
 
 def _compare(batches, rule):
-    """The pairs of tiles that may link; rows as compare_tiles needs them."""
+    """Edges of compare_tiles over whole groups."""
     rest = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -328,90 +340,172 @@ def _compare(batches, rule):
         keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("shingle", "i", "j")])
         last = int(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))[-1]) if rows.num_rows else 0
         if last:
-            yield record_batch(PAIRS, compare_tiles(rows.slice(0, last).combine_chunks(), rule))
+            yield _edges(compare_tiles(rows.slice(0, last).combine_chunks(), rule))
         rest = rows.slice(last).combine_chunks()
     if rest is not None:
-        yield record_batch(PAIRS, compare_tiles(rest, rule))
+        yield _edges(compare_tiles(rest, rule))
 
 
-def _verify(batches, rule):
-    """Rows (a, digest_a, text_a, b, digest_b, text_b): the pairs whose sets are linked."""
-    last: tuple = (None, None)
-    unzip = zstandard.ZstdDecompressor()
+def fine_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """A bitmap of one length for all the sets, of FINE_BITS for each shingle of a middling one."""
+    size = max(64, 1 << int(FINE_BITS * np.median([len(s) for s in sets])).bit_length())
+    out = np.zeros((len(sets), size), bool)
+    for row, s in zip(out, sets, strict=True):
+        row[(s & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(out, axis=1, bitorder="little").view("<u8")
 
-    def make(texts):
-        raw = [unzip.decompress(t) for t in texts]
-        return [s for x, y in groups(raw) for s in shingle_sets(raw[x:y], rule.words)]
+
+def link_tile(classes: list[int], sets: list[np.ndarray], component: list[int], n_left: int | None, rule: Rule) -> list[tuple[int, int]]:
+    """Confirmed links that connect what is linked in a tile: of all its rows, or between the first n_left and the rest.
+
+    A pair is left out if links found before, or a common component, connect it already.
+    """
+    n = np.array([len(s) for s in sets])
+    bits = fine_bits(sets)
+    _, group = np.unique(component, return_inverse=True)
+    found = []
+    for i in range(1 if n_left is None else n_left, len(sets)):
+        upto = i if n_left is None else n_left
+        rows = np.flatnonzero(group[:upto] != group[i])
+        need = rule.overlap(n[rows], n[i])
+        good = need <= np.minimum(n[rows], n[i])
+        rows, need = rows[good], need[good]
+        most = np.minimum(n[i] - np.bitwise_count(bits[i] & ~bits[rows]).sum(axis=1, dtype=np.int64),
+                          n[rows] - np.bitwise_count(bits[rows] & ~bits[i]).sum(axis=1, dtype=np.int64))
+        good = most >= need
+        rows, most = rows[good], most[good]
+        for j in rows[np.argsort(-most, kind="stable")].tolist():
+            if group[i] != group[j] and rule.linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), int(n[i]), int(n[j])):
+                found.append((classes[j], classes[i]))
+                group[group == group[i]] = group[j]
+    return found
+
+
+def _link_rows(batches, rule):
+    """Links of rows (block, i, j, side, class, component, shingles) sorted by (block, i, j, side, class)."""
+    key, rows = None, []
+
+    def flush():
+        lefts = sum(1 for r in rows if r[0] == 0)
+        n_left = None if lefts == len(rows) else lefts
+        return link_tile([r[1] for r in rows], [np.frombuffer(r[3], np.uint64) for r in rows], [r[2] for r in rows], n_left, rule)
 
     for batch in batches:
-        a, digest_a, text_a, b, digest_b, text_b = (c.to_pylist() for c in batch.columns)
-        out = []
-        for k, (x, s) in enumerate(zip(a, make(text_a), strict=True)):
-            if last[0] != text_b[k]:
-                last = (text_b[k], make([text_b[k]])[0])
-            t = last[1]
-            # A doc_id that several rows share brings their texts too: the digest tells which is meant.
-            if xxhash.xxh3_128_digest(s.tobytes()) == digest_a[k] and xxhash.xxh3_128_digest(t.tobytes()) == digest_b[k]:
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                if rule.linked(common, len(s), len(t)):
-                    out.append((x, b[k]))
-        if out:
-            yield record_batch(PAIRS, zip(*out, strict=True))
+        found = []
+        for *tile, side, cls, component, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if tile != key:
+                if len(rows) > 1:
+                    found += flush()
+                key, rows = tile, []
+            rows.append((side, cls, component, shingles))
+        if found:
+            yield _edges(found)
+    if len(rows) > 1:
+        yield _edges(flush())
 
 
 def _zip(batches):
     schema = pa.schema([("id", pa.int64()), ("text", pa.binary())])
+    zipper = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        for at, texts in text_groups(batch.column(1)):
+            yield record_batch(schema, [batch.column(0).slice(at, len(texts)), [zipper.compress(t) for t in texts]])
+
+
+def _arrays(batches, rule):
+    """Rows (block, class, shingles) from (block, class, digest, text): the text whose set has the digest."""
+    unzip = zstandard.ZstdDecompressor()
     for batch in batches:
-        zipper = zstandard.ZstdCompressor(level=1)
-        yield record_batch(schema, [batch.column(0), [zipper.compress(t) for t in _texts(batch)]])
-
-
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs of classes (a, b) whose sets are linked, from the texts of their first documents."""
-    one = classes.select("class", "digest", "first_doc")
-    wanted = pairs
-    for side in "ab":
-        wanted = wanted.join(one.select(F.col("class").alias(side), F.col("digest").alias(f"digest_{side}"),
-                                        F.col("first_doc").alias(f"doc_{side}")), side)
-    wanted = materialize(wanted, "pairs")
-    needed = materialize(wanted.select(F.explode(F.array("doc_a", "doc_b")).alias("id")).distinct(), "pairdocs")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed.select(F.col("id").alias("want")), F.col("id").eqNullSafe(
-        F.col("want")), "leftsemi").mapInArrow(_zip, "id bigint, text binary")
-    for side in "ab":
-        wanted = wanted.join(texts.select(F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}")),
-                             F.col(f"doc_{side}").eqNullSafe(F.col(f"id_{side}")))
-    rows = wanted.select("a", "digest_a", "text_a", "b", "digest_b", "text_b")
-    return rows.mapInArrow(lambda it: _verify(it, rule), PAIR_DDL).distinct()
-
-
-def _tiles(members: DataFrame, classes: DataFrame, rooted: DataFrame, tile: int) -> DataFrame:
-    """Tile rows of the shingle groups whose classes are of several components.
-
-    The members of a group outside its largest component are compared with all
-    of it: they are dealt to right tiles, and everyone to left tiles.
+        for start in range(0, batch.num_rows, GROUP_ROWS):
+            block, cls, digest, zipped = (c.slice(start, GROUP_ROWS).to_pylist() for c in batch.columns)
+            texts = [unzip.decompress(t) for t in zipped]
+            sets = [s.tobytes() for a, b in groups(texts) for s in shingle_sets(texts[a:b], rule.words)]
+            # Rows that share a doc_id bring their texts too, and repeated rows the same one.
+            own = {cls[k]: k for k, s in enumerate(sets) if xxhash.xxh3_128_digest(s) == digest[k]}.values()
+            yield record_batch(ARRAYS, [[block[k] for k in own], [cls[k] for k in own], [sets[k] for k in own]])
+
+
+def _tile_columns(rows: DataFrame, key: str, tile: int, rule: Rule) -> DataFrame:
+    """Rows (key, class, component, n) of the groups with several components, as tiles.
+
+    The rows outside a group's largest component are compared with all of it:
+    they are dealt to right tiles (side 1), and everyone to left ones (side 0).
+    A group of two whose sizes allow no link is left out.
     """
-    rows = members.select("shingle", "node").distinct().join(classes.select("node", "class"), "node").join(
-        rooted, F.col("class") == F.col("member"), "left").select("shingle", "class", F.coalesce("root", "class").alias("component"))
-    rows = materialize(rows, "members")
-    parts = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("most"))
-    mixed = parts.where("parts > 1").select(
-        "shingle", F.col("most.component").alias("largest"), F.ceil(F.col("size") / tile).cast("int").alias("lefts"),
-        F.ceil((F.col("size") - F.col("most.n")) / tile).cast("int").alias("rights"))
-    rows = rows.join(mixed, "shingle")
-    own = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    p, q = rule.threshold.numerator, rule.threshold.denominator
+    parts = rows.groupBy(key, "component").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("n").alias("least"), F.max("n").alias("most")).groupBy(key).agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("size"), F.max(F.struct("rows", "component")).alias("top"),
+        F.min("least").alias("least"), F.max("most").alias("most"))
+    mixed = parts.where("parts > 1").where((F.col("size") > 2) | (F.col("least") * q >= F.col("most") * p)).select(
+        key, F.col("top.component").alias("largest"), F.ceil(F.col("size") / tile).cast("int").alias("lefts"),
+        F.ceil((F.col("size") - F.col("top.rows")) / tile).cast("int").alias("rights"))
+    rows = rows.join(mixed, key)
+    of = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.withColumn("i", own("lefts")).withColumn("j", upto("rights")).withColumn("side", F.lit(0))
-    right = rows.where("component <> largest").withColumn("j", own("rights")).withColumn("i", upto("lefts")).withColumn("side", F.lit(1))
-    columns = ["shingle", "i", "j", "side", "class", "component"]
-    described = left.select(columns).unionByName(right.select(columns)).join(classes.select("class", "n", "bits"), "class")
-    return described.select("shingle", "i", "j", "side", "n", "class", "component", "bits")
+    left = rows.withColumn("i", of("lefts")).withColumn("j", upto("rights")).withColumn("side", F.lit(0))
+    right = rows.where("component <> largest").withColumn("j", of("rights")).withColumn("i", upto("lefts")).withColumn("side", F.lit(1))
+    columns = [key, "i", "j", "side", "n", "class", "component"]
+    return left.select(columns).unionByName(right.select(columns))
+
+
+def blocks(classes: DataFrame, members: DataFrame, rule: Rule, tile: int) -> DataFrame:
+    """(class, block) of the classes that may be linked with another: links never leave a block."""
+    n = shuffle_parts(classes.sparkSession)
+    # Each node with the leader it meets in most groups.
+    met = members.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
+        F.max(F.struct("n", "leader")).alias("best")).select("node", F.col("best.leader").alias("leader"))
+    side = lambda s: classes.select(F.col("node").alias(f"node_{s}"), F.col("class").alias(s), F.col("n").alias(f"n_{s}"),
+                                    F.col("bits").alias(f"bits_{s}"))
+    led = met.join(side("a"), F.col("node") == F.col("node_a")).join(side("b"), F.col("leader") == F.col("node_b"))
+    # Classes that share a node cannot be told apart among the members, so they are candidates too.
+    twins = side("a").join(side("b"), (F.col("node_a") == F.col("node_b")) & (F.col("a") < F.col("b")))
+    columns = ["a", "b", "n_a", "bits_a", "n_b", "bits_b"]
+    first = led.select(columns).unionByName(twins.select(columns)).mapInArrow(lambda it: _filter_pairs(it, rule), PAIR_DDL)
+    first = materialize(first, "candidates")
+    rooted = components(first).select(F.col("node").alias("member"), "root")
+
+    rows = members.select("shingle", "node").distinct().join(classes.select("node", "class", "n"), "node").join(
+        rooted, F.col("class") == F.col("member"), "left").select("shingle", "class", "n", F.coalesce("root", "class").alias("component"))
+    tiles = _tile_columns(materialize(rows, "members"), "shingle", tile, rule).join(classes.select("class", "bits"), "class")
+    tiles = tiles.select("shingle", "i", "j", "side", "n", "component", "bits").repartition(n, "shingle", "i", "j").sortWithinPartitions(
+        "shingle", "i", "j", "side", "n", "component")
+    second = materialize(tiles.mapInArrow(lambda it: _compare(it, rule), PAIR_DDL), "candidates")
+    return components(first.unionByName(second)).withColumnRenamed("node", "class").withColumnRenamed("root", "block")
+
+
+def links_in_blocks(docs: DataFrame, classes: DataFrame, block: DataFrame, rule: Rule, tile: int) -> DataFrame:
+    """Confirmed links (a, b) of classes that connect all that is linked within the blocks."""
+    n = shuffle_parts(docs.sparkSession)
+    wanted = materialize(block.join(classes.select("class", "n", "digest", "first_doc"), "class"), "inblocks")
+    texts = docs.select("doc_id", "text").mapInArrow(_zip, "id bigint, text binary")
+    # A merge join at every size: how many classes are in blocks is not bounded.
+    arrays = texts.hint("merge").join(wanted, F.col("id").eqNullSafe(F.col("first_doc"))).select("block", "class", "digest", "text")
+    arrays = materialize(arrays.mapInArrow(lambda it: _arrays(it, rule), ARRAYS_DDL), "arrays")
+
+    def linked(rows):
+        dealt = rows.select("block", "i", "j", "side", "class", "component", "shingles").repartition(n, "block", "i", "j")
+        return materialize(dealt.sortWithinPartitions("block", "i", "j", "side", "class").mapInArrow(
+            lambda it: _link_rows(it, rule), PAIR_DDL), "links")
+
+    # First inside the tiles of a block, each class in one of them.
+    sizes = wanted.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    within = arrays.join(sizes, "block").select(
+        "block", F.pmod(F.xxhash64("class"), "tiles").cast("int").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "class",
+        F.col("class").alias("component"), "shingles")
+    links = linked(within)
+    # Then between what is not yet connected in the blocks of several tiles.
+    rooted = components(links).select(F.col("node").alias("member"), "root")
+    large = wanted.join(sizes.where("tiles > 1"), "block").join(rooted, F.col("class") == F.col("member"), "left").select(
+        "block", "class", "n", F.coalesce("root", "class").alias("component"))
+    between = _tile_columns(large, "block", tile, rule).join(arrays.select("class", "shingles"), "class")
+    return links.unionByName(linked(between))
 
 
 def link(docs: DataFrame, rule: Rule = Rule(), tile: int = TILE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, classes, links): the set of each row, the classes of equal sets, and confirmed links (a, b) of classes.
 
-    The links join all that is linked: they hold at least one chain between any two classes that links connect.
+    The links join all that is linked: they hold a chain between any two classes that links connect.
     """
     spark = docs.sparkSession
     n = shuffle_parts(spark)
@@ -425,25 +519,7 @@ def link(docs: DataFrame, rule: Rule = Rule(), tile: int = TILE) -> tuple[DataFr
     packed = texts.mapInArrow(lambda it: _pack(it, rule, frequent, buckets), PACKED_DDL)
     members = materialize(packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(
         lambda it: _share(it, buckets), MEMBERS_DDL), "members")
-
-    # Each node with the leader it meets in most groups.
-    met = members.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
-        F.max(F.struct("n", "leader")).alias("best")).select("node", F.col("best.leader").alias("leader"))
-    side = lambda s: classes.select(F.col("node").alias(f"node_{s}"), F.col("class").alias(s), F.col("n").alias(f"n_{s}"),
-                                    F.col("bits").alias(f"bits_{s}"))
-    led = met.join(side("a"), F.col("node") == F.col("node_a")).join(side("b"), F.col("leader") == F.col("node_b"))
-    # Classes that share a node are a candidate pair too.
-    twins = side("a").join(side("b"), (F.col("node_a") == F.col("node_b")) & (F.col("a") < F.col("b")))
-    columns = ["a", "b", "n_a", "bits_a", "n_b", "bits_b"]
-    first = led.select(columns).unionByName(twins.select(columns)).mapInArrow(lambda it: _filter_pairs(it, rule), PAIR_DDL).distinct()
-    links = materialize(confirm(texts, classes, first, rule), "links")
-
-    rooted = components(links).select(F.col("node").alias("member"), "root")
-    tiles = _tiles(members, classes, rooted, tile).repartition(n, "shingle", "i", "j").sortWithinPartitions(
-        "shingle", "i", "j", "side", "n", "class")
-    second = tiles.mapInArrow(lambda it: _compare(it, rule), PAIR_DDL).distinct()
-    more = materialize(confirm(texts, classes, second, rule), "links")
-    return sets, classes, links.unionByName(more)
+    return sets, classes, links_in_blocks(texts, classes, blocks(classes, members, rule, tile), rule, tile)
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), tile: int = TILE) -> DataFrame:
@@ -456,11 +532,40 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), tile: int = TILE) -> D
     unless its component has no other. An empty table gives no rows.
     """
     sets, classes, links = link(docs, rule, tile)
-    rooted = components(links)
-    member = classes.join(rooted.withColumnRenamed("node", "member"), F.col("class") == F.col("member"), "left").select(
-        "digest", "first_doc", F.coalesce("root", "class").alias("root"))
+    member = _members(classes, links)
     smallest = member.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     of_set = member.join(smallest, "root").select("digest", "component_id")
     held = sets.where("n > 0").join(of_set, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     none = sets.where("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return held.unionByName(none)
+
+
+def _members(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(digest, first_doc, root) of every class."""
+    rooted = components(links).withColumnRenamed("node", "member")
+    return classes.join(rooted, F.col("class") == F.col("member"), "left").select(
+        "digest", "first_doc", F.coalesce("root", "class").alias("root"))
+
+
+def drop_near_duplicates(docs: DataFrame, rule: Rule = Rule(), tile: int = TILE) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one for each component: that of its smallest doc_id.
+
+    Rows without words all stay.
+    """
+    _, classes, links = link(docs, rule, tile)
+    first = F.struct(F.col("first_doc").isNull(), "first_doc", "digest")
+    kept = _members(classes, links).groupBy("root").agg(F.min(first).alias("kept")).select(
+        F.col("kept.first_doc").alias("__kept_doc"), F.col("kept.digest").alias("__kept_digest"))
+    wordless = F.coalesce("text", F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z")
+    text = docs.columns.index("text")
+    schema = StructType([*docs.schema.fields, StructField("__digest", BinaryType())])
+
+    def digested(batches):
+        for batch in batches:
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for _, texts in text_groups(batch.column(text))
+                       for s in shingle_sets(texts, rule.words)]
+            yield batch.append_column("__digest", pa.array(digests, pa.binary()))
+    rows = docs.where(~wordless).mapInArrow(digested, schema)
+    same = (F.col("__digest") == F.col("__kept_digest")) & F.col("doc_id").eqNullSafe(F.col("__kept_doc"))
+    one = rows.join(kept, same, "leftsemi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    return one.unionByName(docs.where(wordless))

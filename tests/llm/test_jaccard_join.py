@@ -116,8 +116,12 @@ def test_word_hashes_do_not_depend_on_other_texts():
     assert len(run_hashes(h, 3)) == len(h) - 2 and [b - a for a, b in groups(texts)] == [len(texts)]
 
 
-def test_components_of_long_chains_and_hubs(spark):
+@pytest.mark.parametrize("at_once", [200_000, 7, 1])
+def test_components_of_long_chains_and_hubs(spark, at_once):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (300, 301), (301, 300), (302, 301)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
-    assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, **{i: 300 for i in (300, 301, 302)}}
-    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+    table = spark.createDataFrame(edges, "a bigint, b bigint").repartition(16)
+    got = components(table, at_once).collect()
+    assert len(got) == len({r.node for r in got})
+    assert {r.node: r.root for r in got} == {
+        **{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, **{i: 300 for i in (300, 301, 302)}}
+    assert components(spark.createDataFrame([], "a bigint, b bigint"), at_once).collect() == []
