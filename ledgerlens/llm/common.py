@@ -12,7 +12,7 @@ from ..operators.lineage import materialize
 from ..session import ensure_checkpoint_dir, shared_work_dir
 
 __all__ = ["drop_written", "explode_copies", "materialize", "partition_id", "read", "record_batch",
-           "shared_work_dir", "shuffle_parts"]
+           "shared_work_dir", "shuffle_parts", "slices"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,3 +49,15 @@ def drop_written(spark: SparkSession, *frames: DataFrame) -> None:
 def explode_copies(df: DataFrame, copies: str, nth: str) -> DataFrame:
     """One row for each of ``copies`` repetitions, numbered from 1 in ``nth``."""
     return df.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies)
+
+
+def slices(texts: list[str], most_texts: int, most_chars: int):
+    """(start, end) of consecutive texts, at most so many together and about so many characters."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if i > start and (i - start >= most_texts or size + len(text) > most_chars):
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import record_batch
+from .common import record_batch, slices
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.1
@@ -78,17 +78,6 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return buckets[inside], upto[stop]
 
 
-def _groups(texts: list[str]):
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and (i - start >= GROUP_DOCS or size + len(t) > GROUP_CHARS):
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _count(batches):
     for batch in batches:
         langs = batch.column(0).to_pylist()
@@ -96,7 +85,7 @@ def _count(batches):
         for lang in set(langs):
             own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
             total = np.zeros(BUCKETS, np.int64)
-            for a, b in _groups(own):
+            for a, b in slices(own, GROUP_DOCS, GROUP_CHARS):
                 total += np.bincount(trigrams(own[a:b])[0], minlength=BUCKETS)
             some = np.flatnonzero(total)
             yield record_batch(COUNTS, [[lang] * len(some), some.astype(np.int32), total[some]])
@@ -155,7 +144,7 @@ def predict_texts(texts: list[str], model: tuple[list[str], np.ndarray]) -> list
     langs, p = model
     columns = p.T
     out: list[tuple] = []
-    for a, b in _groups(texts):
+    for a, b in slices(texts, GROUP_DOCS, GROUP_CHARS):
         buckets, ends = trigrams(texts[a:b])
         begin = 0
         for end in ends.tolist():

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import explode_copies, materialize, record_batch
+from .common import explode_copies, materialize, record_batch, slices
 
 #: Labelled rows the classifier is fitted on at most, the first by hash of doc_id.
 LABELLED_ROWS = 20_000
@@ -93,17 +93,6 @@ def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nda
     return *np.divmod(both[np.append(True, both[1:] != both[:-1])[:len(both)]], FEATURE_BUCKETS), n_words
 
 
-def _groups(texts: list[str]):
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and (i - start >= GROUP_DOCS or size + len(t) > GROUP_CHARS):
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _count(batches):
     for batch in batches:
         domains = batch.column(0).to_pylist()
@@ -111,7 +100,7 @@ def _count(batches):
         for domain in set(domains):
             own = [t for t, x in zip(texts, domains, strict=True) if x == domain]
             total = np.zeros(FEATURE_BUCKETS, np.int64)
-            for a, b in _groups(own):
+            for a, b in slices(own, GROUP_DOCS, GROUP_CHARS):
                 total += np.bincount(features(own[a:b])[1], minlength=FEATURE_BUCKETS)
             some = np.flatnonzero(total)
             yield record_batch(COUNTS, [[domain] * (len(some) + 1), np.append(some, ALL).astype(np.int32),
@@ -176,7 +165,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
         wanted[sent.value.buckets] = True
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
+            for a, b in slices(texts, GROUP_DOCS, GROUP_CHARS):
                 doc, bucket, n = features(texts[a:b], wanted)
                 yield record_batch(SCORED, [ids.slice(a, b - a), n, sent.value.posterior(doc, bucket, b - a).tolist()])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SCORED_DDL)

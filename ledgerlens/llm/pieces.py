@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import record_batch
+from .common import record_batch, slices
 
 NBEST = 3
 #: A unit of more characters is segmented alone.
@@ -343,22 +343,11 @@ def decode(lex: Lexicon, ids: np.ndarray) -> bytes:
     return raw[1:] if raw.startswith(b" ") else raw
 
 
-def _groups(texts: list[str]):
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and (i - start >= GROUP_DOCS or size + len(t) > GROUP_CHARS):
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _encoded(batches, path, n):
     segmenter = Segmenter.get(path)
     for batch in batches:
         doc_ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-        for a, b in _groups(texts):
+        for a, b in slices(texts, GROUP_DOCS, GROUP_CHARS):
             yield doc_ids.slice(a, b - a), segmenter.encode(texts[a:b], n)
 
 
