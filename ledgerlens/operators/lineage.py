@@ -1,10 +1,14 @@
 """Cutting lineage with a table written to the shared checkpoint folder."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_work_dir
 
+_written: list[str] = []
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under spark.checkpoint.dir and read it back.
@@ -16,6 +20,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         return df
     spark = df.sparkSession
     path = shared_work_dir(spark, name)
+    _written.append(path)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out._ledgerlens_written = True  # plain scan of a written table: cheap to re-read
@@ -24,3 +29,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def is_written(df: DataFrame) -> bool:
     return bool(getattr(df, "_ledgerlens_written", False))
+
+
+@contextmanager
+def written_tables_removed(spark: SparkSession):
+    """Delete at its end the tables that ``materialize`` wrote inside; nothing may read them after that."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[start:]:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        del _written[start:]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.lineage import written_tables_removed
 from .plans import evaluation as EV
 from .plans import features as FT
 from .plans import loads, models, quality
@@ -153,8 +154,13 @@ def score_latest_week(t: Tables, paths: RunPaths) -> DataFrame:
 def run_all(spark: SparkSession, source: str, out_base: str, label: str = models.LABEL,
             score_latest: bool = True, train_end_date: str | None = None, search: bool = False,
             layout: str = "payments") -> dict:
+    """The whole job. Tables written on the way to the checkpoint folder are removed at its end."""
     ensure_checkpoint_dir(spark)
-    paths = RunPaths(out_base)
+    with written_tables_removed(spark):
+        return _run_all(spark, source, RunPaths(out_base), label, score_latest, train_end_date, search, layout)
+
+
+def _run_all(spark, source, paths, label, score_latest, train_end_date, search, layout) -> dict:
     t = load_tables(spark, source, paths, layout)
     quality.enforce(t)
     register_kpi_views(t)

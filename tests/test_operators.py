@@ -89,3 +89,15 @@ def test_knn_keeps_a_bounded_sample(spark):
                                       "cast(id % 10 AS double) AS a")
     assert 700 < len(KnnModel.fit(tr, ["a"], max_rows=1000).rows) < 1300
     assert len(KnnModel.fit(tr, ["a"], max_rows=5000).rows) == 5000
+
+
+def test_written_tables_are_removed(spark):
+    from ledgerlens.operators.lineage import materialize, written_tables_removed
+
+    kept = materialize(spark.range(3), "kept")
+    with written_tables_removed(spark):
+        gone = materialize(spark.range(4), "gone").inputFiles()[0]
+        assert spark.read.parquet(gone).count() >= 0
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)
