@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.lineage import materialize
 from ..session import ensure_checkpoint_dir, shared_work_dir
 
-__all__ = ["drop_written", "explode_copies", "materialize", "partition_id", "read", "record_batch",
+__all__ = ["drop_written", "explode_copies", "materialize", "partition_id", "parts", "read", "record_batch",
            "shared_work_dir", "shuffle_parts", "slices"]
 
 
@@ -51,6 +51,13 @@ def explode_copies(df: DataFrame, copies: str, nth: str) -> DataFrame:
     return df.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies)
 
 
+def parts(batches, rows: int = 1000):
+    """The batches in slices of so many rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def slices(texts: list[str], most_texts: int, most_chars: int):
     """(start, end) of consecutive texts, at most so many together and about so many characters."""
     start = size = 0

@@ -21,12 +21,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import explode_copies, materialize, partition_id, record_batch, shuffle_parts
+from .common import explode_copies, materialize, partition_id, parts, record_batch, shuffle_parts
 
 BLOCK_BYTES = 2048
 
@@ -41,14 +40,14 @@ NAMES_PER_TASK = 1 << 36
 
 def normalised(texts: pa.Array) -> list[bytes]:
     """UTF-8 of each text with A-Z lower-cased; null is empty."""
-    low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    return low.cast(pa.large_binary()).to_pylist()
+    # bytes.lower() changes A-Z alone; Arrow's ascii_lower is wrong on a slice of an array.
+    return [(t or "").encode().lower() for t in texts.to_pylist()]
 
 
 def _cut(batches, block_bytes: int, hash_bits: int, want: str):
-    """Rows of blocks. want: "blocks" (distinct per batch: h, block), "rows" or "rows+block"."""
+    """Rows of blocks. want: "blocks" (distinct in each part: h, block), "rows" or "rows+block"."""
     shift = 64 - hash_bits
-    for batch in batches:
+    for batch in parts(batches):
         ids = batch.column(0).to_pylist()
         doc, shas, pos, blocks = [], [], [], []
         for i, text in zip(ids, normalised(batch.column(1)), strict=True):

@@ -55,6 +55,8 @@ FINE_BITS = 8
 BUCKETS_PER_PART = 4
 #: Pairs whose bitmaps are compared in one step.
 PAIRS_AT_ONCE = 1 << 17
+#: 64-bit words of bitmaps held for that at a time.
+WORDS_AT_ONCE = 1 << 19
 
 SETS_DDL = "doc_id bigint, n bigint, digest binary, node bigint, bits binary"
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("bits", pa.binary())])
@@ -275,12 +277,14 @@ class Signatures:
         short = np.minimum(self.length[a], self.length[b])
         out = np.zeros((2, len(a)), np.int64)
         for length in np.unique(short).tolist():
-            at = np.flatnonzero(short == length)
-            rows, place = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
-            words = self.words(rows, length)
-            x, y = words[place[:len(at)]], words[place[len(at):]]
-            out[0, at] = np.bitwise_count(x & ~y).sum(axis=1)
-            out[1, at] = np.bitwise_count(y & ~x).sum(axis=1)
+            same = np.flatnonzero(short == length)
+            step = max(1, WORDS_AT_ONCE // length)
+            for at in (same[i:i + step] for i in range(0, len(same), step)):
+                rows, place = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
+                words = self.words(rows, length)
+                x, y = words[place[:len(at)]], words[place[len(at):]]
+                out[0, at] = np.bitwise_count(x & ~y).sum(axis=1)
+                out[1, at] = np.bitwise_count(y & ~x).sum(axis=1)
         return out[0], out[1]
 
 
@@ -349,10 +353,12 @@ def _compare(batches, rule):
 def fine_bits(sets: list[np.ndarray]) -> np.ndarray:
     """A bitmap of one length for all the sets, of FINE_BITS for each shingle of a middling one."""
     size = max(64, 1 << int(FINE_BITS * np.median([len(s) for s in sets])).bit_length())
-    out = np.zeros((len(sets), size), bool)
+    out = np.zeros((len(sets), size // 8), np.uint8)
     for row, s in zip(out, sets, strict=True):
-        row[(s & np.uint64(size - 1)).astype(np.int64)] = True
-    return np.packbits(out, axis=1, bitorder="little").view("<u8")
+        bits = np.zeros(size, bool)
+        bits[(s & np.uint64(size - 1)).astype(np.int64)] = True
+        row[:] = np.packbits(bits, bitorder="little")
+    return out.view("<u8")
 
 
 def link_tile(classes: list[int], sets: list[np.ndarray], component: list[int], n_left: int | None, rule: Rule) -> list[tuple[int, int]]:

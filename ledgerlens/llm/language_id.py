@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import record_batch, slices
+from .common import parts, record_batch, slices
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.1
@@ -29,7 +29,7 @@ MAX_STEPS = 30
 TOLERANCE = 1e-3
 UNDETERMINED = "und"
 #: Texts whose characters are handled together, by count and by characters.
-GROUP_DOCS, GROUP_CHARS = 1000, 8_000_000
+GROUP_DOCS, GROUP_CHARS = 300, 2_000_000
 
 COUNTS_DDL = "lang string, bucket int, n bigint"
 COUNTS = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
@@ -79,16 +79,18 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches):
-    for batch in batches:
+    total: dict[str, np.ndarray] = {}
+    for batch in parts(batches):
         langs = batch.column(0).to_pylist()
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for lang in set(langs):
             own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
-            total = np.zeros(BUCKETS, np.int64)
+            counts = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
             for a, b in slices(own, GROUP_DOCS, GROUP_CHARS):
-                total += np.bincount(trigrams(own[a:b])[0], minlength=BUCKETS)
-            some = np.flatnonzero(total)
-            yield record_batch(COUNTS, [[lang] * len(some), some.astype(np.int32), total[some]])
+                counts += np.bincount(trigrams(own[a:b])[0], minlength=BUCKETS)
+    for lang, counts in total.items():
+        some = np.flatnonzero(counts)
+        yield record_batch(COUNTS, [[lang] * len(some), some.astype(np.int32), counts[some]])
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -170,7 +172,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: tuple[list[str], np.nda
     sent = _sent(spark, model)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             found = predict_texts([t or "" for t in batch.column(1).to_pylist()], sent.value)
             yield record_batch(PREDICTED, [batch.column(0), *(zip(*found, strict=True) if found else [[]] * 4)])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, PREDICTED_DDL)
@@ -182,7 +184,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     text = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             found = predict_texts([t or "" for t in batch.column(text).to_pylist()], sent.value)
             yield batch.filter(pa.array([x[0] != UNDETERMINED for x in found], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import explode_copies, materialize, record_batch, slices
+from .common import explode_copies, materialize, parts, record_batch, slices
 
 #: Labelled rows the classifier is fitted on at most, the first by hash of doc_id.
 LABELLED_ROWS = 20_000
@@ -38,7 +38,7 @@ THOUSAND = 1000
 PULL = 1e-3
 MAX_STEPS = 60
 TOLERANCE = 1e-4
-GROUP_DOCS, GROUP_CHARS = 2000, 8_000_000
+GROUP_DOCS, GROUP_CHARS = 1000, 4_000_000
 #: Signs of a word's end that tell endings apart.
 MAX_SIGNS = 8
 #: The bucket of a word without signs at its end.
@@ -94,17 +94,19 @@ def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nda
 
 
 def _count(batches):
-    for batch in batches:
+    total: dict[str, np.ndarray] = {}
+    for batch in parts(batches):
         domains = batch.column(0).to_pylist()
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for domain in set(domains):
             own = [t for t, x in zip(texts, domains, strict=True) if x == domain]
-            total = np.zeros(FEATURE_BUCKETS, np.int64)
+            counts = total.setdefault(domain, np.zeros(FEATURE_BUCKETS + 1, np.int64))
+            counts[ALL] += len(own)
             for a, b in slices(own, GROUP_DOCS, GROUP_CHARS):
-                total += np.bincount(features(own[a:b])[1], minlength=FEATURE_BUCKETS)
-            some = np.flatnonzero(total)
-            yield record_batch(COUNTS, [[domain] * (len(some) + 1), np.append(some, ALL).astype(np.int32),
-                                        np.append(total[some], len(own))])
+                counts[:ALL] += np.bincount(features(own[a:b])[1], minlength=FEATURE_BUCKETS)
+    for domain, counts in total.items():
+        some = np.flatnonzero(counts)
+        yield record_batch(COUNTS, [[domain] * len(some), some.astype(np.int32), counts[some]])
 
 
 @dataclass
@@ -163,7 +165,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     def run(batches):
         wanted = np.zeros(FEATURE_BUCKETS, bool)
         wanted[sent.value.buckets] = True
-        for batch in batches:
+        for batch in parts(batches):
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts, GROUP_DOCS, GROUP_CHARS):
                 doc, bucket, n = features(texts[a:b], wanted)

@@ -31,14 +31,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import record_batch, slices
+from .common import parts, record_batch, slices
 
 NBEST = 3
 #: A unit of more characters is segmented alone.
 LONG_UNIT = 48
-GROUP_DOCS, GROUP_CHARS = 2000, 8_000_000
-#: Units kept by a worker, about 300 bytes each, and units with their N best.
-CACHED_UNITS, CACHED_NBEST = 500_000, 50_000
+GROUP_DOCS, GROUP_CHARS = 1000, 4_000_000
+#: Units whose N best a worker keeps.
+CACHED_NBEST = 20_000
 UNKNOWN_PENALTY = 10.0
 BLANK_SYMBOL = "▁"
 
@@ -240,13 +240,12 @@ def _segment_equal(lex: Lexicon, units: list[str], n: int) -> list[tuple[bytes,
 
 
 class Segmenter:
-    """Encodes groups of texts; keeps the units it has seen, up to a bound."""
+    """Encodes groups of texts; keeps the N best of units that needed them, up to a bound."""
 
     _of_process: dict[str, Segmenter] = {}
 
     def __init__(self, path: str):
         self.lex = lexicon(path)
-        self.known: dict[str, tuple[bytes, float, float]] = {}
         self.nbest: dict[tuple[str, int], list] = {}
 
     @classmethod
@@ -270,14 +269,6 @@ class Segmenter:
             bounds.append(bounds[-1] + len(part))
         return pa.concat_arrays(parts), np.array(bounds)
 
-    def _segmented(self, units: list[str]) -> list[tuple[bytes, float, float]]:
-        found = list(map(self.known.get, units))
-        new = [u for u, x in zip(units, found, strict=True) if x is None]
-        fresh = dict(zip(new, segment_units(self.lex, new), strict=True))
-        if len(self.known) + len(fresh) <= CACHED_UNITS:
-            self.known.update(fresh)
-        return [x or fresh[u] for u, x in zip(units, found, strict=True)]
-
     def _unit_nbest(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         got = self.nbest.get((unit, n))
         if got is None:
@@ -296,7 +287,7 @@ class Segmenter:
         units, bounds = self._units(texts)
         coded = units.dictionary_encode()
         names = coded.dictionary.to_pylist()
-        segmented = self._segmented(names)
+        segmented = segment_units(self.lex, names)
         at = coded.indices.to_numpy()
         ids = pa.array([x[0] for x in segmented], pa.large_binary()).take(coded.indices)
         offsets = np.frombuffer(ids.buffers()[1], np.int64)
@@ -345,7 +336,7 @@ def decode(lex: Lexicon, ids: np.ndarray) -> bytes:
 
 def _encoded(batches, path, n):
     segmenter = Segmenter.get(path)
-    for batch in batches:
+    for batch in parts(batches):
         doc_ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
         for a, b in slices(texts, GROUP_DOCS, GROUP_CHARS):
             yield doc_ids.slice(a, b - a), segmenter.encode(texts[a:b], n)

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 #: Text handled together, in bytes; each byte needs about 50 bytes of memory.
 GROUP_BYTES, GROUP_ROWS = 1 << 20, 1000
@@ -42,8 +41,7 @@ def groups(texts: list[bytes]):
 def text_groups(column: pa.Array):
     """(row of the first, UTF-8 of consecutive texts of about GROUP_BYTES); null is empty."""
     for start in range(0, len(column), GROUP_ROWS):
-        part = pc.fill_null(column.slice(start, GROUP_ROWS).cast(pa.large_string()), "")
-        texts = part.cast(pa.large_binary()).to_pylist()
+        texts = [(t or "").encode() for t in column.slice(start, GROUP_ROWS).to_pylist()]
         for a, b in groups(texts):
             yield start + a, texts[a:b]
 
