@@ -6,7 +6,8 @@ document's shape, restricted to features clearly more frequent in one domain tha
 overall. Posteriors are kept in thousandths. Then nonnegative document rates
 are fitted so that the expected tokens of each domain, sum(rate * tokens *
 posterior), match the targets: accelerated projected gradient on the squared
-relative deviation, with a small pull to rate 1.
+deviation of each domain over the domain's own tokens, with a small pull to rate
+1. So a rare domain is met as well as a common one.
 
 In the metric of token counts the gradient of a document depends on its
 posterior alone, so documents of one posterior share their rate. Every step is
@@ -35,8 +36,10 @@ FEATURE_BUCKETS = 1 << 18
 FEATURES = 4096
 MIN_SCORE, MIN_RATIO, MIN_DOCS = 5.0, 3.0, 8
 THOUSAND = 1000
-PULL = 1e-3
+#: Against a curvature of 1 for the documents of one domain, whatever its share.
+PULL = 1e-4
 MAX_STEPS = 60
+#: Deviation of each domain from its target, as a part of the target or, for target 0, of the domain's tokens.
 TOLERANCE = 1e-4
 GROUP_DOCS, GROUP_CHARS = 1000, 4_000_000
 #: Signs of a word's end that tell endings apart.
@@ -175,9 +178,14 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
 @dataclass
 class Rates:
-    """The steps of a fit: a document's rate is a function of its posterior."""
+    """The steps of a fit: a document's rate is a function of its posterior. ``achieved`` are the shares reached.
+
+    Residuals are the deviations times ``weights``, budget_share**2 over each domain's share of the tokens; these make
+    1 the largest curvature.
+    """
     budget_share: float
     step: float
+    weights: list[float]
     residuals: list[list[float]]
     momenta: list[float]
     achieved: list[float]
@@ -202,24 +210,31 @@ class Rates:
 def fit_rates(scored: DataFrame, targets: list[float], budget_tokens: float | None = None) -> Rates:
     """Fit rates to rows of (n_tokens, posterior) for target shares of ``budget_tokens`` (default: the tokens there are)."""
     cells = materialize(scored.groupBy("posterior").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "cells")
-    tokens = cells.agg(F.sum("tokens")).first()[0]
+    d = len(targets)
+    found = cells.agg(F.sum("tokens"), *[F.sum(F.col("tokens") * F.get("posterior", F.lit(i))) for i in range(d)]).first()
+    tokens = found[0]
     share = float(budget_tokens / tokens) if tokens and budget_tokens else 1.0
-    fit = Rates(share, 1 / (1 / share**2 + PULL), [], [], [])
+    fit = Rates(share, 1 / (1 + PULL), [], [], [], [])
     if not tokens:
         return fit
-    d, t = len(targets), 1.0
+    own = np.array(found[1:], float) / THOUSAND / tokens
+    fit.weights = np.divide(share**2, own, out=np.zeros(d), where=own > 0).tolist()
+    wanted, t = np.array(targets), 1.0
+    scale = np.where(wanted > 0, wanted, np.where(own > 0, own / share, 1.0))
 
     def totals(pick: str) -> np.ndarray:
         value = fit._fold(F.col("posterior"), pick)
         cols = [F.sum(F.col("v") * F.col("tokens") * F.get("posterior", F.lit(i))) for i in range(d)]
         return np.array(cells.withColumn("v", value).agg(*cols).first(), float) / THOUSAND / (tokens * share)
 
+    last = None
     for _ in range(MAX_STEPS):
-        at = totals("y") - np.array(targets)
-        if fit.residuals and np.abs(at - fit.residuals[-1]).max() < TOLERANCE / 10:
+        at = totals("y") - wanted
+        if last is not None and (np.abs(at - last) / scale).max() < TOLERANCE / 10:
             break
+        last = at
         faster = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        fit.residuals.append(at.tolist())
+        fit.residuals.append((at * fit.weights).tolist())
         fit.momenta.append((t - 1) / faster)
         t = faster
     fit.achieved = totals("r").tolist()
@@ -233,12 +248,13 @@ def uniform(*columns: Column) -> Column:
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget_tokens: float | None = None,
         labelled_rows: int = LABELLED_ROWS) -> DataFrame:
-    """doc_id, n_tokens, posterior (map of domain to probability), rate, copies for every row of ``docs``.
+    """doc_id, n_tokens, posterior (map of domain to probability), rate, copies, achieved for every row of ``docs``.
 
     ``labelled`` has doc_id and domain (a doc_id labelled twice has the larger
     domain; null and unknown domains are not used). ``targets`` are the shares of
     the budget wanted of each domain. copies is the rate rounded up or down by a
-    number drawn from doc_id, so that it is the rate on average. Null text has
+    number drawn from doc_id, so that it is the rate on average. achieved maps each
+    domain to the share that the rates reach, the same on all rows (0 without tokens). Null text has
     no tokens. Without labels all domains are equally likely; without tokens all
     rates are 1. Repeated rows get one rate; an empty table gives no rows.
     """
@@ -249,7 +265,9 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget_
     out = scored.withColumn("rate", rates.rate(F.col("posterior"))).withColumn("posterior", named)
     out = out.select("doc_id", "n_tokens", "posterior", "rate")
     whole = F.floor("rate")
-    return out.withColumn("copies", (whole + (uniform(F.col("doc_id")) < F.col("rate") - whole).cast("int")).cast("int"))
+    reached = [F.lit(x) for d, a in zip(domains, rates.achieved or [0.0] * len(domains), strict=True) for x in (d, round(a, 6))]
+    return out.withColumn("copies", (whole + (uniform(F.col("doc_id")) < F.col("rate") - whole).cast("int")).cast("int")
+                          ).withColumn("achieved", F.create_map(*reached))
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:

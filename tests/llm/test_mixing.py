@@ -46,6 +46,24 @@ def test_reachable_targets_are_reached(spark):
     assert np.allclose(fit.achieved, [0.25, 0.75], atol=2e-3)
 
 
+@pytest.mark.parametrize("rare", [1000, 100, 10])
+def test_rare_domain_meets_its_target(spark, rare):
+    n = np.array([900_000.0 - rare, 100_000, rare])
+    p = np.array([[1000, 0, 0], [0, 1000, 0], [0, 0, 1000]])
+    table = scored(spark, n, p)
+    for target in (0.0, 0.0002):
+        fit = M.fit_rates(table, [0.95 - target, 0.05, target])
+        rates = {r.doc_id: r.rate for r in table.select("doc_id", fit.rate(F.col("posterior")).alias("rate")).collect()}
+        assert abs(rates[2] - target * 1e6 / rare) < 1e-3 * max(1, target * 1e6 / rare)
+        assert np.allclose(fit.achieved, [0.95 - target, 0.05, target], rtol=1e-3, atol=2e-3 * rare / 1e6)
+
+
+def test_achieved_shares_are_given(spark, docs_of):
+    docs = docs_of([(1, "some words"), (2, "other words here")])
+    got = M.mix(docs, spark.createDataFrame([], "doc_id bigint, domain string"), {"a": 0.5, "b": 0.5}).collect()
+    assert all(r.achieved == {"a": 0.5, "b": 0.5} for r in got) and len(got) == 2
+
+
 def test_classifier_on_labels_not_learned_from(spark):
     from ledgerlens.llm.queries import read
     docs = read(spark, "/root/testdata/sf0.1", "documents").where("length(text) > 200")
