@@ -2,8 +2,8 @@
 
 A classifier learned from a labelled table gives each document its posterior
 over the domains: a Bernoulli model over hashed words, word endings and the
-document's shape, restricted to features clearly more frequent in one domain than
-overall. Posteriors are kept in thousandths. Then nonnegative document rates
+document's shape, restricted to features of clearly higher odds in one domain than
+in the others together. Posteriors are kept in thousandths. Then nonnegative document rates
 are fitted so that the expected tokens of each domain, sum(rate * tokens *
 posterior), match the targets: accelerated projected gradient on the squared
 deviation of each domain over the domain's own tokens, with a small pull to rate
@@ -149,11 +149,14 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], labelled_rows:
         counts[[at[d] for d in rows.column("domain").to_pylist()], rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
     size, present = counts[:, ALL:], counts[:, :ALL]
     total, all_docs = present.sum(axis=0), size.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rate, mean = (present + 0.5) / (size + 1), (total + 0.5) / (all_docs + 1)
-        score = np.abs(rate - mean) / np.sqrt(mean * (1 - mean) / np.maximum(size, 1))
-    ratio = rate.max(axis=0) / mean
-    strength = np.where((total >= MIN_DOCS) & (ratio >= MIN_RATIO), score.max(axis=0), 0)
+    rate, mean = (present + 0.5) / (size + 1), (total + 0.5) / (all_docs + 1)
+    # Each domain against the other domains together, so that its share of the labels does not bound the odds.
+    rest = all_docs - size
+    other = (total - present + 0.5) / (rest + 1)
+    odds = np.log(rate / (1 - rate)) - np.log(other / (1 - other))
+    score = (rate - other) / np.sqrt(mean * (1 - mean) * (1 / np.maximum(size, 1) + 1 / np.maximum(rest, 1)))
+    usable = (size > 0) & (rest > 0) & (odds >= math.log(MIN_RATIO))
+    strength = np.where(total >= MIN_DOCS, np.where(usable, score, 0).max(axis=0), 0)
     chosen = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
     chosen = chosen[strength[chosen] >= MIN_SCORE]
     prior = np.log((size[:, 0] + 1) / (all_docs + len(domains)))

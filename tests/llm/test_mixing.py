@@ -76,6 +76,14 @@ def test_classifier_on_labels_not_learned_from(spark):
     assert all((x.sum(axis=1) == M.THOUSAND).all() for x in by.values())
 
 
+@pytest.mark.parametrize("domains", [["a", "b"], ["a", "b", "c"]])
+def test_equally_frequent_domains_have_features(spark, docs_of, domains):
+    rows = [(i, f"word{i % 7} same {'xyz'[i % len(domains)]}sign other{i % 5}") for i in range(60 * len(domains))]
+    labels = spark.createDataFrame([(i, domains[i % len(domains)]) for i, _ in rows if i % 4], "doc_id bigint, domain string")
+    got = M.score(docs_of(rows), M.fit(docs_of(rows), labels, domains)).where("doc_id % 4 = 0").collect()
+    assert got and all(r.posterior[r.doc_id % len(domains)] > 900 for r in got)
+
+
 def test_features_do_not_depend_on_other_texts():
     texts = ["", "a B c.", "  x  y ", "É É É", None or "", "UPPER!! CASE!!", "a\x0bb\n"]
     doc, bucket, n = M.features(texts)
