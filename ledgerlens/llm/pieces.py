@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import parts, record_batch, slices
 
 NBEST = 3
-#: A unit of more characters is segmented alone.
+#: A unit of more characters is segmented alone, and its N best are not kept.
 LONG_UNIT = 48
 GROUP_DOCS, GROUP_CHARS = 1000, 4_000_000
 #: Units whose N best a worker keeps.
@@ -137,21 +137,82 @@ def forward(edges: list[list[tuple[int, float]]]) -> list[float]:
     return best
 
 
+class _Step:
+    """A path back from the end: its last step and a link to the rest, besides one to a step farther back.
+
+    Steps are ordered as the tuples of their negative piece lengths from the end would be.
+    """
+
+    __slots__ = ("at", "score", "size", "parent", "jump", "depth")
+
+    def __init__(self, at: int, score: float, size: int, parent: _Step | None):
+        self.at, self.score, self.size, self.parent = at, score, size, parent
+        if parent is None:
+            self.depth, self.jump = 0, self
+        else:
+            far = parent.jump
+            self.depth = parent.depth + 1
+            self.jump = far.jump if parent.depth - far.depth == far.depth - far.jump.depth else parent
+
+    def back(self, depth: int) -> _Step:
+        step = self
+        while step.depth > depth:
+            step = step.jump if step.jump.depth >= depth else step.parent
+        return step
+
+    def __lt__(self, other: _Step) -> bool:
+        depth = min(self.depth, other.depth)
+        a, b = self.back(depth), other.back(depth)
+        if a is b:
+            return self.depth < other.depth
+        while a.parent is not b.parent:
+            a, b = (a.parent, b.parent) if a.jump is b.jump else (a.jump, b.jump)
+        return a.size > b.size
+
+    def lengths(self) -> tuple[int, ...]:
+        """Piece lengths from the start of the text."""
+        out, step = [], self
+        while step.parent is not None:
+            out.append(step.size)
+            step = step.parent
+        return tuple(out)
+
+
 def n_best(edges: list[list[tuple[int, float]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
     """The n best (score, piece lengths from the start) by backward A*; ties to the longer last piece."""
     best, end = forward(edges), len(edges) - 1
-    agenda: list[tuple[float, tuple[int, ...], int, float]] = [(-best[end], (), end, 0.0)]
+    agenda = [(-best[end], _Step(end, 0.0, 0, None))]
     found = []
     while agenda and len(found) < n:
-        cost, path, at, score = heapq.heappop(agenda)
-        if not at:
-            found.append((-cost, tuple(-x for x in reversed(path))))
+        cost, step = heapq.heappop(agenda)
+        if not step.at:
+            found.append((-cost, step.lengths()))
             continue
-        for i, s in edges[at]:
-            heapq.heappush(agenda, (-(score + s + best[i]), (*path, i - at), i, score + s))
+        for i, s in edges[step.at]:
+            heapq.heappush(agenda, (-(step.score + s + best[i]), _Step(i, step.score + s, step.at - i, step)))
     return found
 
 
+def _segment_long(lex: Lexicon, unit: str) -> tuple[bytes, float, float]:
+    """One unit from its forward and backward scores."""
+    edges, n = lex.edges(unit), len(unit)
+    best = forward(edges)
+    cuts = [n]
+    while (j := cuts[-1]) > 0:
+        cuts.append(next(i for i, s in edges[j] if best[i] + s == best[j]))
+    cuts.reverse()
+    start = dict(zip(cuts[1:], cuts, strict=False))  # of the best path's edge that ends there
+    back, second = [-np.inf] * n + [0.0], -np.inf
+    for j in range(n, 0, -1):
+        own = start.get(j, -1)
+        for i, s in edges[j]:
+            back[i] = max(back[i], back[j] + s)
+            if i != own:
+                second = max(second, best[i] + s + back[j])
+    ids = [x for i, j in zip(cuts, cuts[1:], strict=False) for x in lex.expand(unit, i, j)]
+    return np.array(ids, "<u2").tobytes(), best[n], best[n] - second
+
+
 def segment_units(lex: Lexicon, units: list[str]) -> list[tuple[bytes, float, float]]:
     """(ids as little-endian uint16, score, loss of the second-best path) of each unit's best path."""
     out: list = [None] * len(units)
@@ -161,12 +222,7 @@ def segment_units(lex: Lexicon, units: list[str]) -> list[tuple[bytes, float, fl
     for length, ks in by_length.items():
         if length > LONG_UNIT:
             for k in ks:
-                paths = n_best(lex.edges(units[k]), 2)
-                at, ids = 0, []
-                for size in paths[0][1]:
-                    ids += lex.expand(units[k], at, at + size)
-                    at += size
-                out[k] = (np.array(ids, "<u2").tobytes(), paths[0][0], paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf)
+                out[k] = _segment_long(lex, units[k])
         else:
             for a in range(0, len(ks), 4096):
                 part = ks[a:a + 4096]
@@ -272,6 +328,8 @@ class Segmenter:
     def _unit_nbest(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         got = self.nbest.get((unit, n))
         if got is None:
+            if len(unit) > LONG_UNIT:
+                return n_best(self.lex.edges(unit), n)
             if len(self.nbest) >= CACHED_NBEST:
                 self.nbest.clear()
             got = self.nbest[unit, n] = n_best(self.lex.edges(unit), n)

@@ -1,4 +1,6 @@
 import hashlib
+import heapq
+import tracemalloc
 import zlib
 from itertools import islice
 
@@ -59,6 +61,37 @@ def test_units_together_equal_units_alone(monkeypatch):
         assert both[0][0] == score and (len(both) < 2 or both[0][0] - both[1][0] == loss)
 
 
+def n_best_by_tuples(edges, n):
+    best, end = S.forward(edges), len(edges) - 1
+    agenda, found = [(-best[end], (), end, 0.0)], []
+    while agenda and len(found) < n:
+        cost, path, at, score = heapq.heappop(agenda)
+        if not at:
+            found.append((-cost, tuple(-x for x in reversed(path))))
+            continue
+        for i, s in edges[at]:
+            heapq.heappush(agenda, (-(score + s + best[i]), (*path, i - at), i, score + s))
+    return found
+
+
+@pytest.mark.parametrize("unit", [" " + "x" * 60, " international" + "ly" * 30, "漢字" * 30, "ab\ncd\t" * 12])
+def test_back_pointers_order_paths_as_tuples(unit):
+    assert S.n_best(LEX.edges(unit), 20) == n_best_by_tuples(LEX.edges(unit), 20)
+    assert S._segment_long(LEX, unit) == S._segment_equal(LEX, [unit], len(unit))[0]
+
+
+@pytest.mark.parametrize("text", ["line\nof\nwords\n" * 5000, "aGVsbG8gd29ybGQ" * 13_400])
+def test_long_text_without_blanks(text):
+    for part in (text[:30_000], text):
+        if traced := len(part) < len(text):
+            tracemalloc.start()
+        (ids, scores, changes), = S.Segmenter(PATH).encode([part])
+        if traced:
+            assert tracemalloc.get_traced_memory()[1] < 200 << 20
+            tracemalloc.stop()
+        assert S.decode(LEX, ids).decode() == part and len(scores) == len(set(changes)) and scores == sorted(scores, reverse=True)
+
+
 def test_agrees_with_the_library_on_the_same_scores(tmp_path):
     pb2 = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
     proto = pb2.ModelProto()
