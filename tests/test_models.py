@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import evaluation as EV

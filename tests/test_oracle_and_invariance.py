@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 KEYS = sorted(E.oracle_sql())
 

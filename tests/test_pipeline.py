@@ -1,6 +1,6 @@
 """End-to-end job on sf0.001: load, gate, marts (CSV), features and training
 table (parquet), models, metrics (JSON), lift / importance (CSV), card, outreach."""
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from ledgerlens.pipeline import RunPaths, run_all
 from ledgerlens.plans import models
 from ledgerlens.session import shared_work_dir

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from ledgerlens.plans import analysis, dashboard, evaluation, features, kpis
 from ledgerlens.sources.fixtures import Tables
 

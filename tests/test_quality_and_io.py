@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from ledgerlens.plans import quality
 from ledgerlens.session import shared_work_dir
 from ledgerlens.sources import warehouse as W
