@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, jaccard_join, language_id, mixing, pieces, substring_dedup, token_files, topk
+from . import (alignment, chat, exact_dedup, html_extract, jaccard_join, language_id, mixing, pieces, substring_dedup,
+               token_files, topk)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +143,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents without those in repeated passages."""
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two public tokenizers aligned over all documents."""
+    return alignment.align_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
