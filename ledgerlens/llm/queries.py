@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (alignment, chat, exact_dedup, html_extract, jaccard_join, language_id, mixing, pieces, substring_dedup,
-               token_files, topk)
+from . import (alignment, chat, exact_dedup, html_extract, jaccard_join, language_id, lm_scoring, mixing, pieces,
+               source_divergence, substring_dedup, token_files, topk)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,38 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two public tokenizers aligned over all documents."""
     return alignment.align_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_source_divergence", r"""
+    WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    t AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+    lang AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+    g AS (SELECT lang, source, term, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d) JOIN kept USING (lang)
+          LEFT JOIN c USING (lang, source, term)),
+    p AS (SELECT lang, source, term, g.n AS n,
+                 1 + (1000000000::HUGEINT * (g.n + 2)) // (sum(g.n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+                 1 + (1000000000::HUGEINT * (kept.n + 2)) // (lang.n + 2 * v) AS q
+          FROM g JOIN kept USING (lang, term) JOIN lang USING (lang)),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, a.term, (a.p - b.p) * (a.p - b.p) // (a.p + b.p) AS f
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source),
+    none AS (SELECT a.lang, a.source, b.source AS item, '' AS term, 0 AS f
+             FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b
+             ON a.lang = b.lang AND a.source <> b.source),
+    parts AS (SELECT lang, source, 'pair' AS part, item, sum(f) AS value FROM (FROM pairs UNION ALL FROM none) GROUP BY ALL
+              UNION ALL
+              SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+    r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS k FROM parts)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(k AS INTEGER) AS rank FROM r
+    WHERE part = 'pair' OR k <= 10""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its most telling terms."""
+    return source_divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query("op13_lm_scoring")
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by an interpolated trigram model of those not held out."""
+    return lm_scoring.score_documents(read(spark, sf_dir, "documents"))
