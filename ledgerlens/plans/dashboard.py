@@ -78,10 +78,11 @@ def _merchant_gpv(t: Tables) -> DataFrame:
 
 def top_n_gpv_share(t: Tables, ns=TOP_SHARE_NS) -> DataFrame:
     per = _merchant_gpv(t)
-    ranked = global_order(per, [F.col("gpv").desc_nulls_last(), F.col("merchant_id").asc()], row_number="rn")
-    # one aggregate over the written ranking: the total and every top-n sum
-    sums = ranked.agg(F.sum("gpv").alias("total"),
-                      *[F.sum(F.when(F.col("rn") <= n, F.col("gpv"))).alias(f"top{n}") for n in ns])
+    # The first rows come from a partial top-n of each task; total and top read one exchange.
+    order = [F.col("gpv").desc_nulls_last(), F.col("merchant_id").asc()]
+    top = per.orderBy(*order).limit(max(ns)).withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+    sums = top.agg(*[F.sum(F.when(F.col("rn") <= n, F.col("gpv"))).alias(f"top{n}") for n in ns]).withColumn(
+        "total", per.agg(F.sum("gpv")).scalar())
     rows = sums.select("total", F.explode(F.array(*[
         F.struct(F.lit(n).alias("top_n"), F.col(f"top{n}").alias("top")) for n in ns])).alias("r"))
     return rows.select("r.top_n", X.as_double("r.top").alias("gpv_top"), X.as_double("total").alias("gpv_total"),

@@ -3,8 +3,9 @@
 A scored frame has columns merchant_id, week_start_date, y_true (int) and
 score (double). Metrics never sort all rows in one task: per-score counts
 (one row per distinct score, so ties cannot make a hot partition) are ranked
-with ``global_order``; top-k and deciles use a global row number with
-(merchant_id, week_start_date) as the tie-break.
+with ``global_order``; top-k, deciles and medians select the rows at the cuts
+(``operators/selection``) and order nothing, with (merchant_id,
+week_start_date) as the tie-break.
 """
 from __future__ import annotations
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lineage import materialize
 from ..operators.ranking import global_order
+from ..operators.selection import first_rows, median
 from ..sources.fixtures import Tables
 from . import features as FT
 
@@ -136,9 +138,8 @@ def roc_auc_average_precision(scored: DataFrame) -> DataFrame:
         F.when(F.col("P") > 0, F.round(F.col("ap") / F.col("P"), 12)).alias("average_precision"))
 
 
-def _ranked(scored: DataFrame) -> DataFrame:
-    order = [F.col("score").desc(), F.col("merchant_id").asc(), F.col("week_start_date").asc()]
-    return global_order(scored, order, row_number="rn")
+#: Order of rows in top-k cuts and deciles.
+RANKING = [("score", True), ("merchant_id", False), ("week_start_date", False)]
 
 
 def _totals(scored: DataFrame) -> tuple[int, int]:
@@ -146,13 +147,12 @@ def _totals(scored: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["p"] or 0)
 
 
-def precision_recall_at_k(scored: DataFrame, pcts=TOP_K_PCTS, ranked: DataFrame | None = None) -> DataFrame:
+def precision_recall_at_k(scored: DataFrame, pcts=TOP_K_PCTS) -> DataFrame:
     """k = max(1, floor(n * pct)); precision = hits / k; recall = hits / positives (0 without positives)."""
-    ranked = ranked if ranked is not None else _ranked(scored)
     n, positives = _totals(scored)
     ks = [max(1, int(math.floor(n * float(p)))) for p in pcts]
-    hits = ranked.agg(*[F.sum(F.when(F.col("rn") <= k, F.col("y_true")).otherwise(0)).alias(f"tp{i}")
-                        for i, k in enumerate(ks)])
+    hits = scored.agg(*[F.sum(F.when(top, F.col("y_true")).otherwise(0)).alias(f"tp{i}")
+                        for i, top in enumerate(first_rows(scored, RANKING, ks))])
     rows = hits.select(F.explode(F.array(*[
         F.struct(F.lit(float(p)).alias("pct"), F.lit(k).cast("bigint").alias("k"), F.col(f"tp{i}").alias("tp"))
         for i, (p, k) in enumerate(zip(pcts, ks))])).alias("r")).select("r.*")
@@ -160,12 +160,12 @@ def precision_recall_at_k(scored: DataFrame, pcts=TOP_K_PCTS, ranked: DataFrame
     return rows.select("pct", "k", (F.col("tp") / F.col("k")).alias("precision"), recall.alias("recall"))
 
 
-def lift_table(scored: DataFrame, deciles: int = DECILES, ranked: DataFrame | None = None) -> DataFrame:
+def lift_table(scored: DataFrame, deciles: int = DECILES) -> DataFrame:
     """Equal-count slices of ceil(n/deciles) rows by score (trailing slices may be short or absent)."""
-    ranked = ranked if ranked is not None else _ranked(scored)
     n, positives = _totals(scored)
-    slice_size = F.lit(int(math.ceil(n / float(deciles))) if n else 1).cast("bigint")
-    buckets = ranked.withColumn("decile", (F.floor((F.col("rn") - 1) / slice_size) + 1).cast("int"))
+    slice_size = math.ceil(n / deciles) or 1
+    cuts = first_rows(scored, RANKING, [slice_size * i for i in range(1, deciles) if slice_size * i < n])
+    buckets = scored.withColumn("decile", sum(((~cut).cast("int") for cut in cuts), F.lit(1)))
     per = buckets.groupBy("decile").agg(
         F.count(F.lit(1)).alias("population"),
         F.round(F.avg("score"), 10).alias("avg_score"),
@@ -211,19 +211,10 @@ def best_model(metrics: DataFrame, order: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- medians, latest week, scoring rules
 def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """Exact median (mean of the two middle values for even counts), one row.
-
-    Counts per distinct value are ranked with running sums, so neither a hot
-    value nor the whole column sits in one task.
-    """
-    vals = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
-    ordered = global_order(vals, [F.col(column).asc()], running_sums={"_cum": "_c"})
-    n = F.lit(ordered.agg(F.sum("_c")).first()[0] or 0)
-    k1 = F.floor((n + 1) / 2)
-    k2 = F.ceil((n + 1) / 2)
-    covers = lambda k: (F.col("_cum") - F.col("_c") < k) & (F.col("_cum") >= k)
-    picked = ordered.where(covers(k1) | covers(k2))
-    return picked.agg(((F.min(column) + F.max(column)) / 2).alias(f"median_{column}"))
+    """Exact median (mean of the two middle values for even counts), one row; the middle values are selected."""
+    kind = dict(df.dtypes)[column]
+    low, high = (F.lit(v).cast(kind) for v in median(df, column))
+    return df.sparkSession.range(1).select(((low + high) / 2).alias(f"median_{column}"))
 
 
 def exact_median_value(df: DataFrame, column: str):
@@ -369,7 +360,7 @@ def q_balanced_class_weights(t: Tables) -> DataFrame:
 
 
 def q_feature_median(t: Tables) -> DataFrame:
-    return exact_median(FT.merchant_week_features(t).select("gpv"), "gpv")
+    return exact_median(materialize(FT.merchant_week_features(t).select("gpv"), "gpv"), "gpv")
 
 
 def latest_week_tables(t: Tables) -> Tables:
