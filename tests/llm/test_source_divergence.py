@@ -84,9 +84,12 @@ def frame(spark, rows):
 WORDS = ["the", "The", "of", "naïve", "漢字", "x" * 30, "x" * 31, "zz9q", "rare"]
 
 
-@pytest.mark.parametrize("shard_bytes", [16 << 20, 40])
-def test_small_table(spark, monkeypatch, shard_bytes):
-    monkeypatch.setattr(D.term_counts, "__defaults__", (shard_bytes,))
+@pytest.mark.parametrize("shard_bytes,held", [(16 << 20, 1 << 20), (40, 5)])
+def test_small_table(spark, monkeypatch, shard_bytes, held):
+    monkeypatch.setattr(D.sent_counts, "__defaults__", (shard_bytes,))
+    monkeypatch.setattr(D, "HELD_ENTRIES", held)
+    monkeypatch.setattr(D, "BLOCK_ROWS", held)
+    monkeypatch.setattr(D, "BLOCK_CELLS", held)
     rng = np.random.default_rng(5)
     rows = [(lang, f"s{k}", " ".join(rng.choice(WORDS[:-1], rng.integers(0, 9))))
             for lang in ("en", "de", None) for k in range(4) for _ in range(8)]
