@@ -11,15 +11,16 @@ final model counts all training documents.
 
 On Spark: documents are cut into blocks of tokens, each of documents of one part
 (kept, deleted or not trained on), and written once as word numbers. A block sends
-its different n-grams with their counts, packed and sorted by 64-bit hash, to
-shards of ranges of hashes; a shard adds them up and answers every block, in the
-same order. The number of shards follows the number of tokens, so a shard is
-bounded; a frequent n-gram comes once from each block. The deleted blocks then
+its different words, and its different pairs of words each with the words before it,
+with their counts, packed and sorted by hash, to shards of ranges of hashes; a shard
+adds them up and answers every block, in the same order. The number of shards
+follows the number of tokens, so a shard is bounded; a frequent n-gram comes once
+from each block. The deleted blocks then
 give the events of expectation-maximisation, added up by Spark in cells of nearly
 equal estimates, a bounded number per bucket; each bucket is solved in a task of
 its own. With the weights (a few rows) every block scores its documents.
 
-Words and n-grams are told apart by 64-bit hashes.
+Words and pairs are told apart by 64-bit hashes, the words before a pair by 32 bits.
 
 Edge cases: a null or empty text has the end token alone. Very long texts are one
 row and stay whole, in a block of their own size. A null doc_id counts as the empty
@@ -30,6 +31,7 @@ no rows. Other columns are not read.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -53,14 +55,15 @@ CELL_STEPS = 4
 STEPS, TOLERANCE = 200, 1e-7
 
 _rng = np.random.default_rng(20251)
-_PAIR, _TRIPLE, START, END = (np.uint64(int(x) | 1) for x in _rng.integers(1 << 60, 1 << 63, 4, dtype=np.uint64))
+_PAIR, START, END = (np.uint64(int(x) | 1) for x in _rng.integers(1 << 60, 1 << 63, 3, dtype=np.uint64))
 
 BLOCKS_DDL = "block bigint, part int, doc_ids array<bigint>, sizes array<bigint>, words binary, stream binary, tokens bigint"
 BLOCKS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
                     ("words", pa.binary()), ("stream", pa.binary()), ("tokens", pa.int64())])
-CHUNKS_DDL = "shard bigint, ngram int, block bigint, part int, first bigint, width int, steps binary, times binary"
+CHUNKS_DDL = ("shard bigint, ngram int, block bigint, part int, first bigint, width int, steps binary, sizes binary, "
+              "earlier binary, times binary")
 CHUNKS = pa.schema([("shard", pa.int64()), ("ngram", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("first", pa.int64()),
-                    ("width", pa.int32()), ("steps", pa.binary()), ("times", pa.binary())])
+                    ("width", pa.int32()), *((c, pa.binary()) for c in ("steps", "sizes", "earlier", "times"))])
 ANSWERS_DDL = "block bigint, ngram int, shard bigint, trained binary, kept binary, n bigint, v bigint, n_kept bigint, v_kept bigint"
 ANSWERS = pa.schema([("block", pa.int64()), ("ngram", pa.int32()), ("shard", pa.int64()), ("trained", pa.binary()), ("kept", pa.binary()),
                      *((c, pa.int64()) for c in ("n", "v", "n_kept", "v_kept"))])
@@ -125,31 +128,48 @@ def token_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
     return materialize(rows.mapInArrow(cut, BLOCKS_DDL), "lm-blocks")
 
 
-def ngrams(words: bytes, stream: bytes, sizes: np.ndarray) -> tuple[dict[int, np.ndarray], np.ndarray]:
-    """Hashes of the n-grams that end at each place, by order, and the places that are tokens.
+@dataclass
+class Grams:
+    """The different words, pairs and triples of a block, sorted, and which of them ends at each place.
 
     Places are, for each document, one start sign and its tokens; the start signs
-    count as contexts. n-grams of order 3 are given for the tokens only.
+    count as contexts. Triples are sorted by pair: ``pair`` is the rank of a
+    triple's last two words, ``earlier`` the word before them.
     """
+    words: np.ndarray
+    pairs: np.ndarray
+    pair: np.ndarray
+    earlier: np.ndarray
+    at: dict[int, np.ndarray]
+    token: np.ndarray
+    times: dict[int, np.ndarray]
+
+
+def ngrams(words: bytes, stream: bytes, sizes: np.ndarray) -> Grams:
     numbers = np.frombuffer(stream, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
     seq = np.frombuffer(words, np.uint64)[numbers]
     firsts = np.cumsum(sizes + 2) - (sizes + 2)
     inside = np.ones(len(seq), bool)
     inside[firsts] = False
-    pairs = mix(seq[:-1] * _PAIR + seq[1:])
-    triples = mix(pairs[:-1] * _TRIPLE + seq[2:])
     token = inside.copy()
     token[firsts + 1] = False
-    return {1: seq[inside], 2: pairs[inside[1:]], 3: triples[token[2:]]}, token[inside]
+    earlier = np.concatenate([[START], seq[:-2]])  # before a document's first place: a start sign, too
+    earlier[firsts] = START
+    one, at_one, times = np.unique(seq[inside], return_inverse=True, return_counts=True)
+    two, at_two = np.unique(mix(seq[:-1] * _PAIR + seq[1:])[inside[1:]], return_inverse=True)
+    three, at_three, triples = np.unique(at_two.astype(np.uint64) << np.uint64(32) | earlier[inside[1:]] >> np.uint64(32),
+                                         return_inverse=True, return_counts=True)
+    return Grams(one, two, (three >> np.uint64(32)).astype(np.int64), three.astype(np.uint32), {1: at_one, 2: at_two, 3: at_three},
+                 token[inside], {1: times, 3: triples})
 
 
 def blocks_of(batch: pa.RecordBatch):
-    """block, part, doc_ids, sizes, n-grams by order and token places of each block row."""
+    """block, part, doc_ids, sizes and n-grams of each block row."""
     for i in range(batch.num_rows):
         block, part, ids, sizes = (batch.column(c)[i] for c in ("block", "part", "doc_ids", "sizes"))
         sizes = sizes.values.to_numpy()
-        grams, token = ngrams(batch.column("words")[i].as_buffer(), batch.column("stream")[i].as_buffer(), sizes)
-        yield block.as_py(), part.as_py(), ids.values, sizes, grams, token
+        grams = ngrams(batch.column("words")[i].as_buffer(), batch.column("stream")[i].as_buffer(), sizes)
+        yield block.as_py(), part.as_py(), ids.values, sizes, grams
 
 
 # --- counting -------------------------------------------------------------
@@ -170,46 +190,65 @@ def unpacked(first: int, width: int, steps: bytes) -> np.ndarray:
     return np.cumsum(keys, dtype=np.uint64)
 
 
+def pieces_of(grams: Grams, shards: int):
+    """Order, shard, first key, width, steps, sizes, earlier words and times of every part for a shard of words and pairs."""
+    for order, keys in ((1, grams.words), (2, grams.pairs)):
+        shard = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=shards))
+        times = grams.times[1] if order == 1 else grams.times[3]
+        ends = cuts if order == 1 else np.searchsorted(grams.pair, cuts)
+        sizes = None if order == 1 else np.bincount(grams.pair, minlength=len(keys))
+        for a, b, x, y in zip(cuts.tolist(), cuts[1:].tolist(), ends.tolist(), ends[1:].tolist(), strict=False):
+            yield (order, int(shard[a]), *packed(keys[a:b]), None if sizes is None else sizes[a:b].astype("<u4").tobytes(),
+                   None if sizes is None else grams.earlier[x:y].astype("<u4").tobytes(), times[x:y].astype("<u4").tobytes())
+
+
 def chunks(blocks: DataFrame, shards: int) -> DataFrame:
-    """The different n-grams of every block, one row for each block, order and range of hashes."""
+    """The different n-grams of every block, one row for each block, range of hashes, and words or pairs."""
     def send(batches):
         for batch in batches:
-            for block, part, _, _, grams, _ in blocks_of(batch):
-                for order, hashes in grams.items():
-                    keys, times = np.unique(hashes, return_counts=True)
-                    shard = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                    cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=shards)).tolist()
-                    n = len(cuts) - 1
-                    spans = list(zip(cuts, cuts[1:], strict=False))
-                    firsts, widths, steps = zip(*(packed(keys[a:b]) for a, b in spans), strict=True)
-                    yield record_batch(CHUNKS, [shard[cuts[:-1]], [order] * n, [block] * n, [part] * n, firsts, widths, steps,
-                                                [times[a:b].astype("<u4").tobytes() for a, b in spans]])
+            for block, part, _, _, grams in blocks_of(batch):
+                order, shard, *rest = zip(*pieces_of(grams, shards), strict=True)
+                yield record_batch(CHUNKS, [shard, order, [block] * len(shard), [part] * len(shard), *rest])
 
     return blocks.mapInArrow(send, CHUNKS_DDL)
 
 
-def answered(rows: list[dict]) -> list[pa.RecordBatch]:
-    """Counts of the n-grams of one order and shard for every block that sent some."""
+def answer(rows: list[dict], order: int, sizes: list[int], place: np.ndarray, trained: np.ndarray, kept: np.ndarray) -> pa.RecordBatch:
+    """Counts of the n-grams of each row; those of kept documents alone for the deleted blocks."""
+    at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    spans, n = list(zip(at, at[1:], strict=False)), len(rows)
+    return record_batch(ANSWERS, [
+        [r["block"] for r in rows], [order] * n, [r["shard"] for r in rows], [trained[place[a:b]].tobytes() for a, b in spans],
+        [kept[place[a:b]].tobytes() if r["part"] == DELETED else None for r, (a, b) in zip(rows, spans, strict=True)],
+        *(pa.nulls(n, pa.int64()) for _ in range(4))])
+
+
+def answered(rows: list[dict]):
+    """Counts of the words, or of the pairs and triples, of one shard for every block that sent some."""
     keys = [unpacked(r["first"], r["width"], r["steps"]) for r in rows]
-    sizes = [len(k) for k in keys]
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
-    times = np.concatenate([np.frombuffer(r["times"], "<u4") for r in rows])
-    part = np.repeat([r["part"] for r in rows], sizes)
-    # A block holds at most its own number of tokens of an n-gram, so a double adds them exactly.
-    kept, deleted = (np.bincount(place[part == p], times[part == p], len(every)).astype("<i8") for p in (KEPT, DELETED))
-    trained = kept + deleted
-    at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-    n = len(rows)
-    out = [record_batch(ANSWERS, [
-        [r["block"] for r in rows], [r["ngram"] for r in rows], [r["shard"] for r in rows],
-        [trained[place[a:b]].tobytes() for a, b in zip(at, at[1:], strict=False)],
-        [kept[place[a:b]].tobytes() if r["part"] == DELETED else None for r, a, b in zip(rows, at, at[1:], strict=False)],
-        *(pa.nulls(n, pa.int64()) for _ in range(4))])]
+    times = [np.frombuffer(r["times"], "<u4") for r in rows]
+    part = np.repeat([r["part"] for r in rows], [len(t) for t in times])
+    times_of = np.concatenate(times)
+
+    def by_part(at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        # A block holds at most its own number of tokens of an n-gram, so a double adds them exactly.
+        kept, deleted = (np.bincount(at[part == p], times_of[part == p], n).astype("<i8") for p in (KEPT, DELETED))
+        return kept + deleted, kept
+
     if rows[0]["ngram"] == 1:
+        trained, kept = by_part(place, len(every))
+        yield answer(rows, 1, [len(k) for k in keys], place, trained, kept)
         word = every != START
         totals = [int(x) for c in (trained[word], kept[word]) for x in (c.sum(), np.count_nonzero(c))]
-        out.append(record_batch(ANSWERS, [[None], [1], [rows[0]["shard"]], [None], [None], *([x] for x in totals)]))
-    return out
+        yield record_batch(ANSWERS, [[None], [1], [rows[0]["shard"]], [None], [None], *([x] for x in totals)])
+        return
+    pair = np.repeat(place, np.concatenate([np.frombuffer(r["sizes"], "<u4") for r in rows]))
+    earlier = np.concatenate([np.frombuffer(r["earlier"], "<u4") for r in rows])
+    triples, at = np.unique(pair.astype(np.uint64) << np.uint64(32) | earlier, return_inverse=True)
+    yield answer(rows, 3, [len(t) for t in times], at, *by_part(at, len(triples)))
+    yield answer(rows, 2, [len(k) for k in keys], place, *by_part(pair, len(every)))
 
 
 def counted(sent: DataFrame, shards: int) -> DataFrame:
@@ -236,7 +275,7 @@ def counted(sent: DataFrame, shards: int) -> DataFrame:
 def estimates(counts: dict[int, np.ndarray], token: np.ndarray, n: int, v: int):
     """level (longest context seen), bucket and estimates of order 3, 2 and 1 of every token; the count of its word.
 
-    ``counts`` holds those of the n-grams at each place (order 3: at each token).
+    ``counts`` holds those of the n-grams that end at each place.
     """
     places = np.flatnonzero(token)
     one, two = counts[1], counts[2]
@@ -245,7 +284,7 @@ def estimates(counts: dict[int, np.ndarray], token: np.ndarray, n: int, v: int):
     bucket = np.zeros(len(places), np.int64)
     bucket[level == 3] = np.log2(pair_before[level == 3]).astype(np.int64)
     bucket[level == 2] = np.log2(before[level == 2]).astype(np.int64)
-    f3 = counts[3] / np.maximum(pair_before, 1)
+    f3 = counts[3][places] / np.maximum(pair_before, 1)
     f2 = two[places] / np.maximum(before, 1)
     known = one[places]
     return level, bucket, f3, f2, known / max(n, 1), known
@@ -320,10 +359,10 @@ def blocks_with_counts(batches, column: str):
             if not is_block[i]:
                 answers[batch.column("ngram")[i].as_py()].append(np.frombuffer(batch.column(column)[i].as_buffer(), "<i8"))
                 continue
-            (_, part, ids, sizes, grams, token), = blocks_of(batch.slice(i, 1))
-            counts = {o: np.concatenate(answers[o])[np.unique(grams[o], return_inverse=True)[1]] for o in ORDERS}
+            (_, part, ids, sizes, grams), = blocks_of(batch.slice(i, 1))
+            counts = {o: np.concatenate(answers[o])[grams.at[o]] for o in ORDERS}
             answers = {o: [] for o in ORDERS}
-            yield part, ids, sizes, counts, token
+            yield part, ids, sizes, counts, grams.token
 
 
 def with_answers(blocks: DataFrame, answers: DataFrame, column: str) -> DataFrame:
