@@ -10,8 +10,8 @@ sort of all of them. Splits keep the order of pointers, so a run of equal terms
 lists its places in the order of groups and rows.
 
 First the shards are documents, and runs give occurrences and documents by group.
-Their terms, joined by blanks, go to shards of terms (by a hash), one row for each
-group: there the runs add up document frequency and source counts. A shard of terms
+Their terms, joined by blanks and by group, go to shards of terms (by a hash), one
+row for each: there the runs add up document frequency and source counts. A shard of terms
 adds up what it holds whenever that has grown, so it is bounded by its different
 terms; a frequent term comes once from each shard of documents and group.
 
@@ -55,8 +55,8 @@ MIN_DOCS, TOP_TERMS, SCALE, ADDED = 10, 10, 1_000_000_000, 2
 #: Rows (term and source) of a block in which pairs of sources are compared, and terms times sources of a part of it.
 BLOCK_ROWS, BLOCK_CELLS = 50_000, 1 << 20
 
-SENT_DDL = "shard int, lang string, source string, terms binary, count array<bigint>, docs array<bigint>"
-SENT = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("terms", pa.binary()),
+SENT_DDL = "shard int, lang array<string>, source array<string>, terms binary, count array<bigint>, docs array<bigint>"
+SENT = pa.schema([("shard", pa.int32()), ("lang", pa.list_(pa.string())), ("source", pa.list_(pa.string())), ("terms", pa.binary()),
                   ("count", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64()))])
 KEPT_DDL = "lang string, source string, term string, count bigint, lang_count bigint"
 KEPT = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64()), ("lang_count", pa.int64())])
@@ -192,20 +192,24 @@ def listed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int64()))
 
 
-def rows_by_group(found: Runs, count: np.ndarray, docs: np.ndarray, shards: int) -> pa.RecordBatch:
-    """One row for each group and shard of terms, its terms joined by blanks."""
-    shard_of = np.array([zlib.crc32(t) % shards for t in found.terms], np.int64) if shards > 1 else np.zeros(len(found.terms), np.int64)
-    key = found.group * shards + (shard_of[found.term] if len(found.term) else found.term)
+def rows_by_shard(found: Runs, count: np.ndarray, docs: np.ndarray, shards: int) -> pa.RecordBatch:
+    """One row for each shard of terms: groups on lines, their terms joined by blanks."""
+    if not len(found.term):
+        return record_batch(SENT, [[] for _ in SENT])
+    shard_of = np.array([zlib.crc32(t) % shards for t in found.terms], np.int64)
+    n = len(found.groups)
+    key = shard_of[found.term] * n + found.group
     order = np.argsort(key, kind="stable")
     key = key[order]
-    cuts = np.flatnonzero(np.diff(key, prepend=-1, append=-2)) if len(key) else np.zeros(1, np.int64)
+    cuts = np.flatnonzero(np.diff(key, prepend=-1, append=-2))
     heads = key[cuts[:-1]]
-    terms = list(map(found.terms.__getitem__, found.term[order].tolist()))
-    bounds = cuts.tolist()
-    blobs = [b" ".join(terms[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-    names = [found.groups[g] for g in (heads // shards).tolist()]
-    return record_batch(SENT, [heads % shards, [n[0] for n in names], [n[1] for n in names], blobs,
-                               listed(count[order], cuts), listed(docs[order], cuts)])
+    terms, bounds = list(map(found.terms.__getitem__, found.term[order].tolist())), cuts.tolist()
+    lines = [b" ".join(terms[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+    names = [found.groups[g] for g in (heads % n).tolist()]
+    rows = np.flatnonzero(np.diff(heads // n, prepend=-1, append=-2))
+    spans = list(zip(rows.tolist(), rows[1:].tolist(), strict=False))
+    return record_batch(SENT, [(heads // n)[rows[:-1]], *([[x[k] for x in names[a:b]] for a, b in spans] for k in (0, 1)),
+                               [b"\n".join(lines[a:b]) for a, b in spans], listed(count[order], cuts[rows]), listed(docs[order], cuts[rows])])
 
 
 def shard_counts(lang: list[str], source: list[str], texts: pa.Array, shards: int = 1) -> pa.RecordBatch:
@@ -214,7 +218,7 @@ def shard_counts(lang: list[str], source: list[str], texts: pa.Array, shards: in
     new = np.ones(len(found.row), bool)
     new[1:] = found.row[1:] != found.row[:-1]
     new[found.first] = True
-    return rows_by_group(found, np.diff(np.append(found.first, len(found.order))), found.added(new.astype(np.int64)), shards)
+    return rows_by_shard(found, np.diff(np.append(found.first, len(found.order))), found.added(new.astype(np.int64)), shards)
 
 
 def sent_counts(docs: DataFrame, shards: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -247,8 +251,11 @@ def sent_counts(docs: DataFrame, shards: int, shard_bytes: int = SHARD_BYTES) ->
 def summed(rows: list[pa.RecordBatch]) -> tuple[Runs, np.ndarray, np.ndarray]:
     """Runs over the terms of rows of counts, and both sums of every sub-run."""
     whole = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-    found = runs_of(whole.column("lang").to_pylist(), whole.column("source").to_pylist(), whole.column("terms"))
-    laid = (whole.column(c).take(pa.array(found.by)).flatten().to_numpy()[found.order] for c in ("count", "docs"))
+    lines = [line for row in whole.column("terms").to_pylist() for line in row.split(b"\n")]
+    found = runs_of(*(whole.column(c).flatten().to_pylist() for c in ("lang", "source")), pa.array(lines, pa.binary()))
+    cuts = np.cumsum([0, *(line.count(b" ") + 1 for line in lines)])
+    laid = (listed(whole.column(c).flatten().to_numpy(), cuts).take(pa.array(found.by)).flatten().to_numpy()[found.order]
+            for c in ("count", "docs"))
     count, docs = (found.added(x) for x in laid)
     return found, count, docs
 
@@ -289,7 +296,7 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
                 rows.append(part)
                 held += len(part.column("count").flatten())
                 if held >= least:  # sums take the place of rows; twice as many come before the next time
-                    rows = [rows_by_group(*summed(rows), 1)]
+                    rows = [rows_by_shard(*summed(rows), 1)]
                     held = len(rows[0].column("count").flatten())
                     least = max(HELD_ENTRIES, 2 * held)
         if rows:
