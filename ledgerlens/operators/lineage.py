@@ -10,7 +10,7 @@ from ..session import shared_work_dir
 _written: list[str] = []
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once as parquet under spark.checkpoint.dir and read it back.
 
     The plan executes exactly once, the result survives executor loss, and
@@ -21,7 +21,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_work_dir(spark, name)
     _written.append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     out = spark.read.parquet(path)
     out._ledgerlens_written = True  # plain scan of a written table: cheap to re-read
     return out
