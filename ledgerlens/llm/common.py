@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.lineage import materialize
 from ..session import ensure_checkpoint_dir, shared_work_dir
 
-__all__ = ["drop_written", "explode_copies", "materialize", "partition_id", "parts", "read", "record_batch",
+__all__ = ["drop_written", "explode_copies", "forget_shuffles", "materialize", "partition_id", "parts", "read", "record_batch",
            "shared_work_dir", "shuffle_parts", "slices"]
 
 
@@ -46,6 +46,14 @@ def drop_written(spark: SparkSession, *frames: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Its cleaner follows the driver's garbage collector, which may not run for a long time.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def explode_copies(df: DataFrame, copies: str, nth: str) -> DataFrame:
     """One row for each of ``copies`` repetitions, numbered from 1 in ``nth``."""
     return df.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies)

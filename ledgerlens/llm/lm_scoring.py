@@ -39,12 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partition_id, record_batch, shuffle_parts
+from .common import forget_shuffles, materialize, partition_id, parts, record_batch, shuffle_parts
 from .wordhash import mix, text_groups, word_hashes
 
 ORDERS = (1, 2, 3)
 #: Tokens and documents in a block, and different n-grams of blocks in a shard.
-BLOCK_TOKENS, SHARD_ENTRIES = 1_000_000, 2_000_000
+BLOCK_TOKENS, SHARD_ENTRIES = 1_000_000, 1_000_000
 #: Blocks of one partition are numbered below this bit.
 BLOCK_BITS = 24
 KEPT, DELETED, UNTRAINED = 0, 1, 2
@@ -60,10 +60,9 @@ _PAIR, START, END = (np.uint64(int(x) | 1) for x in _rng.integers(1 << 60, 1 <<
 BLOCKS_DDL = "block bigint, part int, doc_ids array<bigint>, sizes array<bigint>, words binary, stream binary, tokens bigint"
 BLOCKS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
                     ("words", pa.binary()), ("stream", pa.binary()), ("tokens", pa.int64())])
-CHUNKS_DDL = ("shard bigint, ngram int, block bigint, part int, first bigint, width int, steps binary, sizes binary, "
-              "earlier binary, times binary")
+CHUNKS_DDL = "shard bigint, ngram int, block bigint, part int, first bigint, steps binary, sizes binary, earlier binary, times binary"
 CHUNKS = pa.schema([("shard", pa.int64()), ("ngram", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("first", pa.int64()),
-                    ("width", pa.int32()), *((c, pa.binary()) for c in ("steps", "sizes", "earlier", "times"))])
+                    *((c, pa.binary()) for c in ("steps", "sizes", "earlier", "times"))])
 ANSWERS_DDL = "block bigint, ngram int, shard bigint, trained binary, kept binary, n bigint, v bigint, n_kept bigint, v_kept bigint"
 ANSWERS = pa.schema([("block", pa.int64()), ("ngram", pa.int32()), ("shard", pa.int64()), ("trained", pa.binary()), ("kept", pa.binary()),
                      *((c, pa.int64()) for c in ("n", "v", "n_kept", "v_kept"))])
@@ -76,6 +75,26 @@ SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), *((c, pa.i
                     ("base_score", pa.float64()), ("score", pa.float64())])
 
 
+# --- packing --------------------------------------------------------------
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 as planes of their bytes, lowest first, as many as the largest needs: high ones compress to little."""
+    if not len(numbers):
+        return b""
+    width = max(1, -(-int(numbers.max()).bit_length() // 8))
+    return bytes([width]) + numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(data) -> np.ndarray:
+    if not len(data):
+        return np.zeros(0, np.int64)
+    raw = np.frombuffer(data, np.uint8)
+    rows = raw[1:].reshape(int(raw[0]), -1)
+    out = np.zeros((rows.shape[1], 8), np.uint8)
+    out[:, :len(rows)] = rows.T
+    return out.view("<i8").ravel()
+
+
 # --- blocks ---------------------------------------------------------------
 
 class Block:
@@ -91,10 +110,10 @@ class Block:
     def row(self, number: int) -> pa.RecordBatch:
         words, place, times = np.unique(np.concatenate(self.words), return_inverse=True, return_counts=True)
         order = np.argsort(-times, kind="stable")  # frequent words first: small numbers pack well
-        rank = np.empty(len(words), "<u4")
+        rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
-        planes = rank[place].view(np.uint8).reshape(-1, 4).T.tobytes()
-        return record_batch(BLOCKS, [[number], [self.part], [self.docs], [self.sizes], [words[order].tobytes()], [planes], [self.held]])
+        return record_batch(BLOCKS, [[number], [self.part], [self.docs], [self.sizes], [words[order].tobytes()], [planes(rank[place])],
+                                     [self.held]])
 
 
 _OPENING, _CLOSING = np.array([START, START]), np.array([END])
@@ -125,7 +144,7 @@ def token_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
     fold = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
     part = F.when(fold == HELD_OUT_FOLD, UNTRAINED).when(fold == DELETED_FOLD, DELETED).otherwise(KEPT)
     rows = docs.select(doc_id.alias("doc_id"), part.cast("int").alias("part"), F.col("text").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(cut, BLOCKS_DDL), "lm-blocks")
+    return materialize(rows.mapInArrow(cut, BLOCKS_DDL), "lm-blocks", "zstd")
 
 
 @dataclass
@@ -146,8 +165,7 @@ class Grams:
 
 
 def ngrams(words: bytes, stream: bytes, sizes: np.ndarray) -> Grams:
-    numbers = np.frombuffer(stream, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    seq = np.frombuffer(words, np.uint64)[numbers]
+    seq = np.frombuffer(words, np.uint64)[from_planes(stream)]
     firsts = np.cumsum(sizes + 2) - (sizes + 2)
     inside = np.ones(len(seq), bool)
     inside[firsts] = False
@@ -174,24 +192,17 @@ def blocks_of(batch: pa.RecordBatch):
 
 # --- counting -------------------------------------------------------------
 
-def packed(keys: np.ndarray) -> tuple[int, int, bytes]:
-    """First key (signed), width in bytes of the steps between the sorted keys, and the steps."""
-    steps = np.diff(keys)
-    width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
-    return int(keys[:1].view(np.int64)[0]), width, steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def packed(keys: np.ndarray) -> tuple[int, bytes]:
+    """First key (signed) and the steps between the sorted keys."""
+    return int(keys[:1].view(np.int64)[0]), planes(np.diff(keys))
 
 
-def unpacked(first: int, width: int, steps: bytes) -> np.ndarray:
-    raw = np.frombuffer(steps, np.uint8).reshape(-1, width)
-    keys = np.zeros((len(raw) + 1, 8), np.uint8)
-    keys[1:, :width] = raw
-    keys = keys.view("<u8").ravel()
-    keys[0] = np.array([first], np.int64).view(np.uint64)[0]
-    return np.cumsum(keys, dtype=np.uint64)
+def unpacked(first: int, steps) -> np.ndarray:
+    return np.cumsum(np.concatenate([np.array([first], np.int64), from_planes(steps)]).view(np.uint64), dtype=np.uint64)
 
 
 def pieces_of(grams: Grams, shards: int):
-    """Order, shard, first key, width, steps, sizes, earlier words and times of every part for a shard of words and pairs."""
+    """Order, shard, first key, steps, sizes, earlier words and times of every part for a shard of words and pairs."""
     for order, keys in ((1, grams.words), (2, grams.pairs)):
         shard = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=shards))
@@ -199,8 +210,8 @@ def pieces_of(grams: Grams, shards: int):
         ends = cuts if order == 1 else np.searchsorted(grams.pair, cuts)
         sizes = None if order == 1 else np.bincount(grams.pair, minlength=len(keys))
         for a, b, x, y in zip(cuts.tolist(), cuts[1:].tolist(), ends.tolist(), ends[1:].tolist(), strict=False):
-            yield (order, int(shard[a]), *packed(keys[a:b]), None if sizes is None else sizes[a:b].astype("<u4").tobytes(),
-                   None if sizes is None else grams.earlier[x:y].astype("<u4").tobytes(), times[x:y].astype("<u4").tobytes())
+            yield (order, int(shard[a]), *packed(keys[a:b]), None if sizes is None else planes(sizes[a:b]),
+                   None if sizes is None else grams.earlier[x:y].astype("<u4").tobytes(), planes(times[x:y]))
 
 
 def chunks(blocks: DataFrame, shards: int) -> DataFrame:
@@ -219,22 +230,22 @@ def answer(rows: list[dict], order: int, sizes: list[int], place: np.ndarray, tr
     at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
     spans, n = list(zip(at, at[1:], strict=False)), len(rows)
     return record_batch(ANSWERS, [
-        [r["block"] for r in rows], [order] * n, [r["shard"] for r in rows], [trained[place[a:b]].tobytes() for a, b in spans],
-        [kept[place[a:b]].tobytes() if r["part"] == DELETED else None for r, (a, b) in zip(rows, spans, strict=True)],
+        [r["block"] for r in rows], [order] * n, [r["shard"] for r in rows], [planes(trained[place[a:b]]) for a, b in spans],
+        [planes(kept[place[a:b]]) if r["part"] == DELETED else None for r, (a, b) in zip(rows, spans, strict=True)],
         *(pa.nulls(n, pa.int64()) for _ in range(4))])
 
 
 def answered(rows: list[dict]):
     """Counts of the words, or of the pairs and triples, of one shard for every block that sent some."""
-    keys = [unpacked(r["first"], r["width"], r["steps"]) for r in rows]
+    keys = [unpacked(r["first"], r["steps"]) for r in rows]
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
-    times = [np.frombuffer(r["times"], "<u4") for r in rows]
-    part = np.repeat([r["part"] for r in rows], [len(t) for t in times])
+    times = [from_planes(r["times"]) for r in rows]
+    part = np.repeat(np.array([r["part"] for r in rows], np.int8), [len(t) for t in times])
     times_of = np.concatenate(times)
 
     def by_part(at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         # A block holds at most its own number of tokens of an n-gram, so a double adds them exactly.
-        kept, deleted = (np.bincount(at[part == p], times_of[part == p], n).astype("<i8") for p in (KEPT, DELETED))
+        kept, deleted = (np.bincount(at[part == p], times_of[part == p], n).astype(np.int64) for p in (KEPT, DELETED))
         return kept + deleted, kept
 
     if rows[0]["ngram"] == 1:
@@ -244,7 +255,7 @@ def answered(rows: list[dict]):
         totals = [int(x) for c in (trained[word], kept[word]) for x in (c.sum(), np.count_nonzero(c))]
         yield record_batch(ANSWERS, [[None], [1], [rows[0]["shard"]], [None], [None], *([x] for x in totals)])
         return
-    pair = np.repeat(place, np.concatenate([np.frombuffer(r["sizes"], "<u4") for r in rows]))
+    pair = np.repeat(place, np.concatenate([from_planes(r["sizes"]) for r in rows]))
     earlier = np.concatenate([np.frombuffer(r["earlier"], "<u4") for r in rows])
     triples, at = np.unique(pair.astype(np.uint64) << np.uint64(32) | earlier, return_inverse=True)
     yield answer(rows, 3, [len(t) for t in times], at, *by_part(at, len(triples)))
@@ -256,7 +267,7 @@ def counted(sent: DataFrame, shards: int) -> DataFrame:
     def count(batches):
         rows, of = [], None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for part in parts(iter([batch]), 100) for r in part.to_pylist()):
                 if (row["shard"], row["ngram"]) != of:
                     if rows:
                         yield from answered(rows)
@@ -267,7 +278,7 @@ def counted(sent: DataFrame, shards: int) -> DataFrame:
 
     n = min(shards, shuffle_parts(sent.sparkSession))
     by_shard = sent.repartition(n, "shard").sortWithinPartitions("shard", "ngram")
-    return materialize(by_shard.mapInArrow(count, ANSWERS_DDL), "lm-counts")
+    return materialize(by_shard.mapInArrow(count, ANSWERS_DDL), "lm-counts", "zstd")
 
 
 # --- the mixture ----------------------------------------------------------
@@ -357,7 +368,7 @@ def blocks_with_counts(batches, column: str):
         is_block = batch.column("stream").is_valid().to_numpy(zero_copy_only=False)
         for i in range(batch.num_rows):
             if not is_block[i]:
-                answers[batch.column("ngram")[i].as_py()].append(np.frombuffer(batch.column(column)[i].as_buffer(), "<i8"))
+                answers[batch.column("ngram")[i].as_py()].append(from_planes(batch.column(column)[i].as_buffer()))
                 continue
             (_, part, ids, sizes, grams), = blocks_of(batch.slice(i, 1))
             counts = {o: np.concatenate(answers[o])[grams.at[o]] for o in ORDERS}
@@ -415,6 +426,8 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shard_ent
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     shards = max(1, min(math.ceil(len(ORDERS) * tokens / shard_entries), (1 << 32) - 1))
     answers = counted(chunks(blocks, shards), shards)
+    forget_shuffles(docs.sparkSession)
     n, v, n_kept, v_kept = (x or 0 for x in answers.agg(*[F.sum(c) for c in ("n", "v", "n_kept", "v_kept")]).first())
     weights = mixture(events(blocks, answers, n_kept, v_kept), v_kept)
+    forget_shuffles(docs.sparkSession)
     return scores(blocks, answers, n, v, weight_table(weights))
