@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.lineage import materialize
 from ..operators.joins import dimension_side, rollup_through_dimension
+from ..operators.keysets import is_dense, missing_keys
 from ..sources.fixtures import Tables
 
 
@@ -47,19 +47,15 @@ def _null_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def dq_nulls_merchants(t: Tables) -> DataFrame:
-    return _null_counts(t.merchants, {"merchant_id": "merchant_id_nulls", "industry": "industry_nulls",
-                                      "region": "region_nulls"})
+    return _null_counts(t.merchants, DIMENSION_CHECKS["merchants"])
 
 
 def dq_nulls_customers(t: Tables) -> DataFrame:
-    return _null_counts(t.customers, {"customer_id": "customer_id_nulls", "segment": "segment_nulls",
-                                      "region": "region_nulls"})
+    return _null_counts(t.customers, DIMENSION_CHECKS["customers"])
 
 
 def dq_nulls_transactions(t: Tables) -> DataFrame:
-    return _null_counts(t.transactions, {
-        "txn_id": "txn_id_nulls", "ts": "ts_nulls", "merchant_id": "merchant_nulls",
-        "customer_id": "customer_nulls", "amount": "amount_nulls", "approved": "approved_nulls"})
+    return _null_counts(t.transactions, FACT_CHECKS)
 
 
 def _range_counts() -> list:
@@ -73,9 +69,13 @@ def dq_range_checks(t: Tables) -> DataFrame:
 
 
 def _orphans(t: Tables, dim_name: str, key: str, out: str) -> DataFrame:
+    """Different keys of the fact without a dimension row. Dense keys meet as bitmaps, so no fact row is
+    shuffled; others as distinct keys in an anti join."""
+    dim = t.table(dim_name).select(key)
+    if is_dense(dim, key):
+        return missing_keys(t.transactions, dim, key, out)
     keys = t.transactions.select(key).distinct()  # partial dedupe map-side before the shuffle
-    dim = dimension_side(t, dim_name, t.table(dim_name).select(key))
-    return keys.join(dim, key, "left_anti").agg(F.count(F.lit(1)).alias(out))
+    return keys.join(dimension_side(t, dim_name, dim), key, "left_anti").agg(F.count(F.lit(1)).alias(out))
 
 
 def dq_fk_merchant(t: Tables) -> DataFrame:
@@ -107,52 +107,49 @@ def _as_rows(one_row: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"), "check_name", F.col("violations").cast("bigint"))
 
 
-def _null_and_range_counts(t: Tables) -> DataFrame:
-    """The null and range checks of the fact in one aggregate."""
-    nulls = {"txn_id": "txn_id_nulls", "ts": "ts_nulls", "merchant_id": "merchant_nulls",
-             "customer_id": "customer_nulls", "amount": "amount_nulls", "approved": "approved_nulls"}
-    return t.transactions.agg(*[X.count_when(F.col(c).isNull()).alias(out) for c, out in nulls.items()], *_range_counts())
+FACT_CHECKS = {"txn_id": "txn_id_nulls", "ts": "ts_nulls", "merchant_id": "merchant_nulls",
+               "customer_id": "customer_nulls", "amount": "amount_nulls", "approved": "approved_nulls"}
+DIMENSION_CHECKS = {"merchants": {"merchant_id": "merchant_id_nulls", "industry": "industry_nulls", "region": "region_nulls"},
+                    "customers": {"customer_id": "customer_id_nulls", "segment": "segment_nulls", "region": "region_nulls"}}
 
 
-def _key_counts(t: Tables) -> DataFrame:
-    """Orphans and repeated keys in one pass over the keys of each table: one row."""
-    key = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("id"))
-    held = t.merchants.select(key("merchants", "merchant_id").alias("k")).unionByName(
-        t.customers.select(key("customers", "customer_id").alias("k"))).groupBy("k.kind", "k.id").agg(F.count(F.lit(1)).alias("rows"))
-    used = t.transactions.select(F.explode(F.array(key("merchants", "merchant_id"), key("customers", "customer_id"),
-                                                   key("transactions", "txn_id"))).alias("k")).groupBy("k.kind", "k.id").agg(
-        F.count(F.lit(1)).alias("uses"))
-    both = used.join(held, (used.kind == held.kind) & (used.id == held.id), "full").select(
-        F.coalesce(used.kind, held.kind).alias("kind"), "uses", "rows")
-    of = lambda kind, cond: X.count_when((F.col("kind") == kind) & cond)
-    orphan, again = F.col("uses").isNotNull() & F.col("rows").isNull(), F.coalesce(F.col("rows") > 1, F.lit(False))
-    return both.agg(of("merchants", orphan).alias("missing_merchants"), of("customers", orphan).alias("missing_customers"),
-                    of("merchants", again).alias("merchants"), of("customers", again).alias("customers"),
-                    of("transactions", F.col("uses") > 1).alias("transactions"))
+def row_checks(table: str) -> list:
+    """The null and range checks of a table as aggregates, for a query or for an Observation of a write."""
+    nulls = FACT_CHECKS if table == "transactions" else DIMENSION_CHECKS[table]
+    return [X.count_when(F.col(c).isNull()).alias(out) for c, out in nulls.items()] + (_range_counts() if table == "transactions" else [])
 
 
-def dq_report(t: Tables) -> DataFrame:
-    """All checks as rows: table_name, check_name, violations, passed. The fact is read twice: its keys, and its other columns."""
-    keys = materialize(_key_counts(t), "keycounts")
-    parts = [
-        _as_rows(dq_nulls_merchants(t), "merchants"),
-        _as_rows(dq_nulls_customers(t), "customers"),
-        _as_rows(_null_and_range_counts(t), "transactions"),
-        _as_rows(keys.select("missing_merchants", "missing_customers"), "transactions"),
-        keys.unpivot([], list(PRIMARY_KEYS), "table_name", "violations").select(
-            "table_name", F.lit("duplicate_keys").alias("check_name"), "violations"),
-    ]
-    report = reduce(DataFrame.unionByName, parts)
+def _finished(report: DataFrame) -> DataFrame:
     return report.withColumn("violations", F.coalesce("violations", F.lit(0).cast("bigint"))).withColumn("passed", F.col("violations") == 0)
 
 
+def key_report(t: Tables) -> DataFrame:
+    """Orphans and repeated keys as rows. Orphans meet as bitmaps, so of the fact only txn_id is shuffled."""
+    duplicates = dq_pk_duplicates(t).select("table_name", F.lit("duplicate_keys").alias("check_name"), F.col("duplicate_keys").alias("violations"))
+    return reduce(DataFrame.unionByName, [_as_rows(dq_fk_merchant(t), "transactions"), _as_rows(dq_fk_customer(t), "transactions"), duplicates])
+
+
+def dq_report(t: Tables) -> DataFrame:
+    """All checks as rows: table_name, check_name, violations, passed."""
+    rows = [_as_rows(t.table(name).agg(*row_checks(name)), name) for name in (*DIMENSION_CHECKS, "transactions")]
+    return _finished(reduce(DataFrame.unionByName, rows).unionByName(key_report(t)))
+
+
+def observed_report(t: Tables, observed: dict[str, dict]) -> DataFrame:
+    """``dq_report`` with the null and range checks that were counted while the tables were written."""
+    rows = [(name, check, int(n or 0)) for name, values in observed.items() for check, n in values.items() if check != "rows"]
+    counted = t.spark.createDataFrame(rows, "table_name string, check_name string, violations bigint")
+    return _finished(counted.unionByName(key_report(t)))
+
+
 class QualityError(ValueError):
     pass
 
 
-def enforce(t: Tables, include_primary_keys: bool = False) -> DataFrame:
-    """Run the gate: raise on any violation. The report has one row per check."""
-    report = dq_report(t)
+def enforce(t: Tables, include_primary_keys: bool = False, observed: dict[str, dict] | None = None) -> DataFrame:
+    """Run the gate: raise on any violation. The report has one row per check; what was ``observed`` while
+    the tables were written is not read again."""
+    report = dq_report(t) if observed is None else observed_report(t, observed)
     if not include_primary_keys:
         report = report.where(F.col("check_name") != "duplicate_keys")
     failed = [r.asDict() for r in report.where(~F.col("passed")).collect()]

@@ -6,7 +6,9 @@ under ``spark.checkpoint.dir``).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -29,12 +31,47 @@ def typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def load_warehouse(t: Tables, path: str, files_per_partition: int | None = None) -> Tables:
+def write_observed(writer, df: DataFrame, name: str, aggregates: list) -> dict:
+    """Write ``df`` with ``writer`` and return what the write job saw of its rows: their number (``rows``)
+    and the aggregates. Nothing is read again; the rows must come from the last stage of the plan,
+    as a stage before an exchange may run more than once.
+
+    The write runs in a session of its own with the settings of this one: a session that has observed
+    anything can no longer be sent to tasks, which fitted models with a training summary need.
+    """
+    spark, view = df.sparkSession, f"observed_{uuid.uuid4().hex}"
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    df.createGlobalTempView(view)
+    try:
+        seen = Observation(name)
+        writer(other.table(f"global_temp.{view}").observe(seen, F.count(F.lit(1)).alias("rows"), *aggregates))
+        return dict(seen.get)
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
+def load_warehouse(t: Tables, path: str, files_per_partition: int | None = None, checks=None,
+                   observed: dict[str, dict] | None = None) -> Tables:
     """Full refresh: write typed merchants, customers and the fact (partitioned by
-    year and month, sorted by merchant within files) and return Tables over them."""
-    base = path.rstrip("/")
-    typed(t.merchants, schemas.MERCHANTS).write.mode("overwrite").parquet(f"{base}/merchants")
-    typed(t.customers, schemas.CUSTOMERS).write.mode("overwrite").parquet(f"{base}/customers")
+    year and month, sorted by merchant within files) and return Tables over them.
+
+    The three tables are written to a folder of this load, and one rename makes
+    them the current ones, so a reader never sees old and new ones mixed. The
+    rows of each table, and the aggregates that ``checks`` gives for its name, are
+    counted by the write jobs into ``observed``.
+    """
+    base, load = path.rstrip("/"), f"load-{uuid.uuid4().hex[:12]}"
+    observed = {} if observed is None else observed
+
+    def write(name: str, df: DataFrame, *partitions: str) -> None:
+        observed[name] = write_observed(lambda rows: rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{base}/{load}/{name}"),
+                                        df, name, checks(name) if checks else [])
+
+    write("merchants", typed(t.merchants, schemas.MERCHANTS))
+    write("customers", typed(t.customers, schemas.CUSTOMERS))
     fact = typed(t.transactions, schemas.TRANSACTIONS)
     # Range partitioning on (year, month, merchant) gives balanced write tasks
     # (a month is split across tasks instead of landing in one) and few files
@@ -42,9 +79,48 @@ def load_warehouse(t: Tables, path: str, files_per_partition: int | None = None)
     n = files_per_partition or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     fact = (fact.repartitionByRange(n, "partition_year", "partition_month", "merchant_id")
             .sortWithinPartitions("partition_year", "partition_month", "merchant_id", "txn_date"))
-    (fact.write.mode("overwrite").partitionBy("partition_year", "partition_month")
-     .parquet(f"{base}/transactions"))
-    return Tables.from_warehouse(t.spark, base)
+    write("transactions", fact, "partition_year", "partition_month")
+    make_current(t.spark, base, load)
+    return Tables.from_warehouse(t.spark, f"{base}/{load}")
+
+
+CURRENT = "current-"
+#: Finished loads that stay.
+KEPT_LOADS = 2
+
+
+def make_current(spark: SparkSession, base: str, load: str) -> None:
+    """Name ``load`` the current one: a marker file with its name is put in place by one rename."""
+    fs, folder = _file_system(spark, base)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.create(path(folder, f".{load}"), True).close()
+    number = 1 + max([int(_marker(f).split("-")[1]) for f in _markers(fs, folder)], default=0)
+    if not fs.rename(path(folder, f".{load}"), path(folder, f"{CURRENT}{number:08d}-{load}")):
+        raise OSError(f"the load could not become current in {base}")
+    # The load before stays for readers that have it open.
+    for old in sorted(_marker(f) for f in _markers(fs, folder))[:-KEPT_LOADS]:
+        fs.delete(path(folder, old), False)
+        fs.delete(path(folder, old.split("-", 2)[2]), True)
+
+
+def current_load(spark: SparkSession, base: str) -> str | None:
+    """The folder of the last load that was finished under ``base``, if there is one."""
+    fs, folder = _file_system(spark, base)
+    names = sorted(_marker(f) for f in _markers(fs, folder)) if fs.exists(folder) else []
+    return f"{base.rstrip('/')}/{names[-1].split('-', 2)[2]}" if names else None
+
+
+def _file_system(spark: SparkSession, base: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base.rstrip("/"))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _markers(fs, folder) -> list:
+    return [f for f in fs.listStatus(folder) if _marker(f).startswith(CURRENT)]
+
+
+def _marker(status) -> str:
+    return status.getPath().getName()
 
 
 def write_year_month_layout(df: DataFrame, path: str) -> None:
@@ -63,8 +139,9 @@ def read_year_month_layout(spark: SparkSession, path: str) -> DataFrame:
             .drop("year", "month"))
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> int:
+    """Write with a header; the number of rows, counted by the write job."""
+    return write_observed(lambda rows: rows.write.mode("overwrite").option("header", True).csv(path), df, "export", [])["rows"]
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
