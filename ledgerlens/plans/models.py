@@ -1,12 +1,13 @@
 """Churn models: training, scoring, evaluation, importances, model card and the
 model-scored outreach list.
 
-* Random forest and gradient boosting are Spark ML pipelines (median Imputer
-  -> VectorAssembler -> classifier); the forest is class-balanced by ``weightCol``.
-* KNN has a saved form of its own (``plans/knn.py``).
+* Every candidate is a Spark ML pipeline: exact median imputation, then trees on
+  assembled vectors (the forest is class-balanced by ``weightCol``), or nearest
+  neighbours among all labelled rows (``plans/stages``; ``knn_exact`` compares with
+  every row instead of probing hash tables).
 * The winner of the model search can join them as a fourth candidate.
-* ``score`` scores rows with any of them, so whichever is best is evaluated,
-  explained, saved, loaded and used for outreach in the same way.
+* So whichever is best is evaluated, explained, saved, loaded and used for
+  outreach in the same way.
 """
 from __future__ import annotations
 
@@ -15,10 +16,8 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +27,9 @@ from ..session import shared_work_dir
 from ..sources.fixtures import Tables
 from . import evaluation as EV
 from . import features as FT
-from .knn import KnnModel
+from .neighbours import WINDOW
+from .search import successive_halving
+from .stages import HashedKnnClassifier, MedianImputer
 
 SEED = 42
 LABEL = "churn_4w"
@@ -37,6 +38,7 @@ RF_PARAMS = dict(numTrees=300, maxDepth=6, minInstancesPerNode=20)
 GBT_PARAMS = dict(maxIter=100, stepSize=0.05, maxDepth=3)
 PERMUTATION_REPEATS = 8
 MODEL_ORDER = ["random_forest", "gradient_boosting", "knn"]
+EXACT_KNN = "knn_exact"
 SEARCH = "model_search"
 # Kinds of importance.
 GINI, PERMUTATION = "random_forest_gini", "permutation_best_model"
@@ -62,10 +64,12 @@ def with_class_weights(train: DataFrame) -> DataFrame:
     return train.join(F.broadcast(w), "label")
 
 
+def _imputed(names: list[str]) -> list[str]:
+    return [f"{c}__imp" for c in names]
+
+
 def _prep(names: list[str]):
-    imputed = [f"{c}__imp" for c in names]
-    return [Imputer(strategy="median", inputCols=names, outputCols=imputed),
-            VectorAssembler(inputCols=imputed, outputCol="features")]
+    return [MedianImputer(inputCols=names, outputCols=_imputed(names)), VectorAssembler(inputCols=_imputed(names), outputCol="features")]
 
 
 def random_forest(names: list[str]) -> Pipeline:
@@ -79,25 +83,27 @@ def gradient_boosting(names: list[str]) -> Pipeline:
     return Pipeline(stages=_prep(names) + [clf])
 
 
-def positive_probability(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
-    out = model.transform(df)
-    return out.select(*keep, vector_to_array("probability")[1].alias("score"))
+def nearest_neighbours(names: list[str], window: int = WINDOW) -> Pipeline:
+    return Pipeline(stages=[MedianImputer(inputCols=names, outputCols=_imputed(names)),
+                            HashedKnnClassifier(inputCols=_imputed(names), labelCol="label", window=window)])
+
 
+#: Model name -> pipeline over the named columns.
+PIPELINES = {"random_forest": random_forest, "gradient_boosting": gradient_boosting, "knn": nearest_neighbours,
+             EXACT_KNN: lambda names: nearest_neighbours(names, window=0)}
 
-def score(model, df: DataFrame, keep: list) -> DataFrame:
-    """``keep`` columns and score (probability of the positive class) by any of the models."""
-    return model.score(df, keep) if isinstance(model, KnnModel) else positive_probability(model, df, keep)
 
+def score(model: PipelineModel, df: DataFrame, keep: list) -> DataFrame:
+    """``keep`` columns and score (probability of the positive class)."""
+    return model.transform(df).select(*keep, vector_to_array("probability")[1].alias("score"))
 
-def save_model(model, spark, path: str) -> None:
-    if isinstance(model, KnnModel):
-        model.save(spark, path)
-    else:
-        model.write().overwrite().save(path)
 
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
 
-def load_model(spark, name: str, path: str):
-    return KnnModel.load(spark, path) if name == "knn" else PipelineModel.load(path)
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 # ---------------------------------------------------------------- training run
@@ -121,14 +127,7 @@ class TrainRun:
 
     def model(self, name: str):
         if name not in self._models:
-            if name == "random_forest":
-                self._models[name] = random_forest(self.names).fit(self.train)
-            elif name == "gradient_boosting":
-                self._models[name] = gradient_boosting(self.names).fit(self.train)
-            elif name == "knn":
-                self._models[name] = KnnModel.fit(self.train, self.names)
-            else:
-                raise KeyError(name)
+            self._models[name] = PIPELINES[name](self.names).fit(self.train)
         return self._models[name]
 
     def prediction(self, name: str) -> DataFrame:
@@ -159,7 +158,7 @@ class TrainRun:
     def save(self, base: str) -> dict[str, str]:
         paths = {name: f"{base.rstrip('/')}/{name}" for name in self.order}
         for name, path in paths.items():
-            save_model(self.model(name), self.t.spark, path)
+            save_model(self.model(name), path)
         return paths
 
 
@@ -257,24 +256,20 @@ def score_latest_week(t: Tables, card: dict, features: DataFrame | None = None)
     """Latest week of the unexpanded features (saved, or built from ``t``) scored by the saved best model, ranked."""
     feats = features if features is not None else materialize(FT.merchant_week_features(t), "features")
     best = card["best_model"]
-    model = load_model(t.spark, best["name"], best["path"])
+    model = load_model(best["path"])
     return EV.outreach(feats, score(model, EV.latest_week(feats), FT.ID_COLUMNS + card["feature_names"]))
 
 
 def model_search(train: DataFrame, names: list[str], recent_weeks: int | None = EV.SEARCH_RECENT_WEEKS,
-                 max_rows: int = EV.SEARCH_MAX_ROWS) -> tuple[DataFrame, PipelineModel]:
-    """3-fold cross-validated grid search on ROC AUC over a bounded sample of the training rows
-    (``recent_weeks``, ``max_rows``): the score of each setting, and the best one fitted."""
+                 max_rows: int | None = EV.SEARCH_MAX_ROWS, **options) -> tuple[DataFrame, PipelineModel]:
+    """Successive halving over model families on the sample of the training rows (``recent_weeks``, ``max_rows``),
+    within ``seconds`` if given: the result of every fit, and the best model."""
     sample = EV.search_training_sample(train, recent_weeks, max_rows)
-    clf = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", seed=SEED,
-                                 minInstancesPerNode=RF_PARAMS["minInstancesPerNode"])
-    grid = ParamGridBuilder().addGrid(clf.numTrees, [20, 50]).addGrid(clf.maxDepth, [4, 6]).build()
-    cv = CrossValidator(estimator=Pipeline(stages=_prep(names) + [clf]), estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-                        numFolds=3, seed=SEED, parallelism=2)
-    fitted = cv.fit(sample)
-    rows = [(int(p[clf.numTrees]), int(p[clf.maxDepth]), float(m)) for p, m in zip(grid, fitted.avgMetrics, strict=True)]
-    return train.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, cv_roc_auc double"), fitted.bestModel
+
+    def prepare(classifier):
+        return Pipeline(stages=[*_prep(names), classifier])
+    found = successive_halving(sample.select(*FT.ID_COLUMNS, "label", "weight", *names), FT.ID_COLUMNS, prepare, **options)
+    return found.table, found.model
 
 
 # ---------------------------------------------------------------- query keys (rows-only checks)
