@@ -228,6 +228,10 @@ def latest_week(features: DataFrame, latest=None) -> DataFrame:
     return features.where(F.col("week_start_date") == F.lit(latest))
 
 
+def first_week(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("week_start_date") == F.lit(rows.agg(F.min("week_start_date")).first()[0]))
+
+
 def risk_bucket(score: Column) -> Column:
     out = None
     for limit, name in RISK_BUCKETS:
@@ -279,7 +283,7 @@ def bounded_sample(df: DataFrame, max_rows: int | None, keys: list[str] = ID_COL
 
 
 def search_training_sample(train: DataFrame, recent_weeks: int | None = None,
-                           max_rows: int = SEARCH_MAX_ROWS) -> DataFrame:
+                           max_rows: int | None = SEARCH_MAX_ROWS) -> DataFrame:
     """Rows the model search is fitted on: of the last ``recent_weeks`` weeks of the training side if
     given (else of all), about ``max_rows`` at most by a seeded hash.
 

@@ -27,7 +27,7 @@ from ..session import shared_work_dir
 from ..sources.fixtures import Tables
 from . import evaluation as EV
 from . import features as FT
-from .neighbours import WINDOW
+from .neighbours import WINDOW, HashedKnn
 from .search import successive_halving
 from .stages import HashedKnnClassifier, MedianImputer
 
@@ -353,22 +353,48 @@ def q_outreach_model_scores(t: Tables) -> DataFrame:
     return score_latest_week(t, card).withColumn("model", F.lit(card["best_model"]["name"]))
 
 
+def check_same_rows(written: DataFrame, back: DataFrame) -> DataFrame:
+    """One row: rows that are in one of both only, however often (differing_rows), and rows read back.
+
+    Rows are added up with their sign, so one exchange compares both ways. A ValueError if
+    nothing was read back or anything differs.
+    """
+    signed = written.withColumn("_n", F.lit(1)).unionByName(back.withColumn("_n", F.lit(-1)))
+    per = signed.groupBy(*written.columns).agg(F.sum("_n").alias("_n"))
+    out = per.agg(F.coalesce(F.sum(F.abs("_n")), F.lit(0)).cast("bigint").alias("differing_rows")).select(
+        "differing_rows", back.agg(F.count(F.lit(1))).scalar().alias("rows"))
+    differing, rows = out.first()
+    if not rows:
+        raise ValueError("feature table is empty")
+    if differing:
+        raise ValueError(f"{differing} rows differ between the feature table and its files")
+    return written.sparkSession.createDataFrame([(differing, rows)], "differing_rows bigint, rows bigint")
+
+
 def q_feature_table_roundtrip(t: Tables) -> DataFrame:
     """Write the feature table, read it back; any difference is an error."""
     feats = FT.merchant_week_features(t)
     path = shared_work_dir(t.spark, "features")
     feats.write.mode("overwrite").parquet(path)
-    back = t.spark.read.parquet(path)
-    if back.limit(1).count() == 0:
-        raise ValueError("feature table is empty")
-    return back.exceptAll(feats).agg(F.count(F.lit(1)).alias("differing_rows")).select(
-        "differing_rows", back.agg(F.count(F.lit(1))).scalar().alias("rows"))
+    return check_same_rows(feats, t.spark.read.parquet(path))
+
+
+def q_knn_slice_scores(t: Tables) -> DataFrame:
+    """Nearest neighbours in the exact form: the first holdout week against the last weeks of the training side."""
+    run = trained(t)
+    sided = EV.with_side(EV.labelled(run.training, run.label)).withColumn("label", F.col(run.label).cast("double"))
+    train = EV.search_training_sample(sided.where(F.col("side") == "train"), EV.SEARCH_RECENT_WEEKS, None)
+    test = sided.where(F.col("side") == "test")
+    model = HashedKnn.fit(train, run.names, window=None)
+    scored = model.score(EV.first_week(test), FT.ID_COLUMNS)
+    return scored.select(*FT.ID_COLUMNS, F.round("score", 6).alias("score"))
 
 
 QUERIES = {
     "rf_scores": q_rf_scores,
     "gbt_scores": q_gbt_scores,
     "knn_scores": q_knn_scores,
+    "knn_slice_scores": q_knn_slice_scores,
     "model_search": q_model_search,
     "eval_metrics": q_eval_metrics,
     "feature_importance_gini": q_feature_importance_gini,
