@@ -1,10 +1,13 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Vectors are grouped by length: a bucket holds the lengths within one part of an
-octave, and a bucket of many rows is dealt to blocks of a bounded number. A
-lower bound of each query's k-th best score comes from a bounded sample of the
-rows. A bucket takes part for a query only if the product of the lengths can
-reach that bound; inside it the bound becomes a cosine threshold. Where the
+octave. A bucket is split by direction, to the nearest of some pivots, and what has
+many rows is dealt to blocks of a bounded number. A lower bound of each query's k-th
+best score comes from a bounded sample of the rows, as do the pivots. A bucket's part
+of a pivot takes part for a query only if the product of the lengths and the widest
+cosine that its rows can have with the query reach that bound. Queries are dealt to
+blocks by their own pivot, and a block of rows is sent only to the blocks of queries
+that ask for it. Inside a block the bound becomes a cosine threshold. Where the
 threshold is high, candidates are pruned by coordinates (the values the
 query's largest coordinates allow); where it is low, by length. What is left
 is verified by its integer product. The sample only sets the bound; every row
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +31,21 @@ QUERY_ROWS = 512
 #: Rows whose scores give the first bound of each query.
 SEED_ROWS = 2048
 FOCUS = 8
+#: Directions that split the buckets.
+PIVOTS = 64
 #: From this cosine on, candidates are pruned by coordinates.
 COORDINATES_FROM = 0.3
 
 BOUND_DDL = "query_id bigint, q array<bigint>, dim int, q_norm double, bound double"
 BOUND = pa.schema([("query_id", pa.int64()), ("q", pa.list_(pa.int64())), ("dim", pa.int32()), ("q_norm", pa.float64()),
                    ("bound", pa.float64())])
+PLACED_DDL = "vec_id bigint, q array<bigint>, dim int, norm double, bucket int, cell int, cosine double"
+PLACED = pa.schema([("vec_id", pa.int64()), ("q", pa.list_(pa.int64())), ("dim", pa.int32()), ("norm", pa.float64()), ("bucket", pa.int32()),
+                    ("cell", pa.int32()), ("cosine", pa.float64())])
+ASKED_DDL = "dim int, bucket int, cell int, part int, block bigint, query_id bigint, q array<bigint>, bound double"
+ASKED = pa.schema([("dim", pa.int32()), ("bucket", pa.int32()), ("cell", pa.int32()), ("part", pa.int32()), ("block", pa.int64()),
+                   ("query_id", pa.int64()), ("q", pa.list_(pa.int64())), ("bound", pa.float64())])
+ASKED_ROWS = 10_000
 HITS_DDL = "query_id bigint, vec_id bigint, score bigint"
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -62,6 +75,57 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
+def directions(q: np.ndarray) -> np.ndarray:
+    x = q.astype(float)
+    norms = np.sqrt((x * x).sum(axis=1))
+    return x / np.where(norms > 0, norms, 1)[:, None]
+
+
+def pivots_of(unit: np.ndarray, most: int) -> np.ndarray:
+    """Rows far from each other: each next one is the farthest from all before."""
+    if not len(unit):
+        return unit
+    taken, nearest = [0], unit @ unit[0]
+    while len(taken) < min(most, len(unit)) and nearest.min() < 1 - 1e-9:
+        taken.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, unit @ unit[taken[-1]])
+    return unit[taken]
+
+
+def _place(batches, pivots):
+    """cell, the nearest pivot of each row, and the cosine with it."""
+    for batch in batches:
+        dims = batch.column("dim").to_numpy()
+        cell, cosine = np.zeros(len(dims), np.int32), np.full(len(dims), -1.0)
+        for dim in set(dims.tolist()) & pivots.keys():
+            own = np.flatnonzero(dims == dim)
+            near = directions(_matrix(batch.column("q").take(pa.array(own)), dim)) @ pivots[dim].T
+            cell[own], cosine[own] = near.argmax(axis=1), near.max(axis=1)
+        yield record_batch(PLACED, [*(batch.column(c) for c in ("vec_id", "q", "dim", "norm", "bucket")), cell, cosine])
+
+
+def _asked(batches, stats, pivots, cells_of_queries):
+    """One row for each query and part of the rows that may hold one of its best."""
+    for batch in batches:
+        out = []
+        for query_id, q, dim, q_norm, bound in zip(*(batch.column(c).to_pylist() for c in ("query_id", "q", "dim", "q_norm", "bound")), strict=True):
+            if dim not in stats:
+                continue
+            bucket, cell, parts, longest, radius = stats[dim]
+            near = np.clip(pivots[dim] @ directions(np.array([q], np.int64).reshape(1, dim))[0], -1, 1) if dim in pivots else np.zeros(1)
+            widest = np.cos(np.maximum(0, np.arccos(near[cell]) - radius))
+            reach = q_norm * longest * np.where(widest >= 0, widest, 0) if bound > 0 else np.full(len(cell), np.inf)
+            own = int(near.argmax())
+            block = own << 32 | int(xxhash.xxh3_64_intdigest(str(query_id))) % cells_of_queries.get((dim, own), 1)
+            for t in np.flatnonzero(bound <= reach * (1 + 1e-9) + 1e-6).tolist():
+                out += [(dim, int(bucket[t]), int(cell[t]), p, block, query_id, q, bound) for p in range(int(parts[t]))]
+                if len(out) >= ASKED_ROWS:
+                    yield record_batch(ASKED, zip(*out, strict=True))
+                    out = []
+        if out:
+            yield record_batch(ASKED, zip(*out, strict=True))
+
+
 def _bounds(batches, seeds, k):
     """The k-th best score of each query among the seeds of its dimension."""
     for batch in batches:
@@ -141,6 +205,28 @@ def search_block(cand_ids: list, cands: np.ndarray, query_ids: list, queries: np
     return out
 
 
+def tiles(placed: DataFrame, bounded: DataFrame, pivots: dict, block_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Queries by (dim, bucket, cell, part, block) that they ask, and rows sent to the blocks that ask for their part."""
+    # One row for each dimension, part of an octave and pivot: some thousands for any number of vectors.
+    by_cell = placed.groupBy("dim", "bucket", "cell").agg(
+        F.max("norm").alias("longest"), F.min("cosine").alias("cosine"), F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
+    stats: dict[int, tuple] = {}
+    for dim, own in by_cell.toPandas().groupby("dim"):
+        radius = np.arccos(np.clip(own["cosine"].to_numpy(), -1, 1)) + 1e-6
+        stats[int(dim)] = (own["bucket"].to_numpy(), own["cell"].to_numpy(), own["parts"].to_numpy(), own["longest"].to_numpy(), radius)
+    # Blocks of queries of each pivot, so that a block asks for few parts.
+    asking = bounded.select(F.col("query_id").alias("vec_id"), "q", "dim", F.col("q_norm").alias("norm"), F.lit(0).alias("bucket")).mapInArrow(
+        lambda it: _place(it, pivots), PLACED_DDL).groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    blocks = {(r.dim, r.cell): -(-r.n // query_rows) for r in asking}
+    asked = materialize(bounded.mapInArrow(lambda it: _asked(it, stats, pivots, blocks), ASKED_DDL), "asked")
+    at = ["dim", "bucket", "cell", "part"]
+    wanted = asked.select(*at, "block").distinct()
+    parts = F.broadcast(by_cell.select("dim", "bucket", "cell", "parts"))
+    dealt = placed.join(parts, ["dim", "bucket", "cell"]).select(
+        "dim", "bucket", "cell", F.pmod(F.xxhash64("vec_id", "q"), "parts").cast("int").alias("part"), "vec_id", "q").join(wanted, at)
+    return asked, dealt.select(*[F.col(c).alias(c) for c in (*at, "block", "vec_id", "q")])
+
+
 def top_k(vectors: DataFrame, every: int = 50, k: int = K, scale: int = SCALE, block_rows: int = BLOCK_ROWS,
           query_rows: int = QUERY_ROWS, seed_rows: int = SEED_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best rows for each vec_id divisible by ``every``.
@@ -166,18 +252,9 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, scale: int = SCALE, b
                       np.array([r.q for r in own], np.int64).reshape(len(own), dim))
     bounded = materialize(queries.mapInArrow(lambda it: _bounds(it, seeds, k), BOUND_DDL), "queries")
 
-    # One row for each dimension and part of an octave: a few hundred for any number of vectors.
-    stats = rows.groupBy("dim", "bucket").agg(F.max("norm").alias("longest"), F.ceil(
-        F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
-    n_blocks = -(-bounded.count() // query_rows)
-    block = F.pmod(F.xxhash64("query_id"), F.lit(max(1, n_blocks))).cast("int")
-    asked = bounded.join(F.broadcast(stats), "dim").where(
-        F.col("bound") <= F.col("q_norm") * F.col("longest") * (1 + 1e-9) + 1e-6).select(
-        F.col("dim").alias("dim"), F.col("bucket").alias("bucket"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), block.alias("block"),
-        "query_id", "q", "bound")
-    dealt = rows.join(F.broadcast(stats), ["dim", "bucket"]).select(
-        F.col("dim").alias("dim"), F.col("bucket").alias("bucket"), F.pmod(F.xxhash64("vec_id", "q"), "parts").cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(max(1, n_blocks) - 1))).alias("block"), "vec_id", "q")
+    pivots = {dim: pivots_of(directions(matrix), PIVOTS) for dim, (_, _, matrix) in seeds.items()}
+    placed = materialize(rows.mapInArrow(lambda it: _place(it, pivots), PLACED_DDL), "placed")
+    asked, dealt = tiles(placed, bounded, pivots, block_rows, query_rows)
 
     def search(key, cands: pa.Table, asks: pa.Table) -> pa.Table:
         dim = key[0].as_py()
@@ -189,7 +266,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, scale: int = SCALE, b
                 asks.column("bound").to_numpy(), k)
         return pa.Table.from_batches([record_batch(HITS, zip(*found, strict=True) if found else [[]] * 3)])
 
-    keys = ["dim", "bucket", "part", "block"]
+    keys = ["dim", "bucket", "cell", "part", "block"]
     hits = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, HITS_DDL)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

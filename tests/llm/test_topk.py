@@ -77,3 +77,33 @@ def test_coordinates_prune_most_candidates():
 def test_large_values_are_exact():
     a, b = np.array([[1 << 40, 3]]), np.array([[1 << 20, 1], [1 << 40, 1]])
     assert T.products(a, b).tolist() == [[(1 << 60) + 3, (1 << 63) - 1]]
+
+
+def test_rows_go_only_to_blocks_that_ask(spark):
+    """On clustered vectors the rows sent grow with the table, not with its square."""
+    sent = {}
+    for n in (1500, 3000):
+        rng = np.random.default_rng(8)
+        centers = rng.normal(size=(24, 16))
+        rows = [(i, (centers[i % 24] + 0.02 * rng.normal(size=16)).tolist()) for i in range(n)]
+        vectors = make(spark, rows)
+        kw = {"every": 10, "block_rows": 64, "query_rows": 8, "seed_rows": 600}
+        placed = []
+        tiles = T.tiles
+        try:
+            T.tiles = lambda *a: placed.append(tiles(*a)) or placed[-1]
+            assert run(vectors, **kw) == brute(rows, 10, 5)
+        finally:
+            T.tiles = tiles
+        asked, dealt = placed[0]
+        sent[n] = dealt.count()
+        blocks = -(-n // 10 // 8)
+        assert sent[n] < n * blocks / 8  # sent to all blocks it would be n * blocks
+        assert dealt.groupBy("dim", "bucket", "cell", "part").agg({"vec_id": "count"}).count() >= 24
+    assert sent[3000] < 5 * sent[1500]
+
+
+def test_pivots_are_far_from_each_other():
+    unit = T.directions(np.array([[1, 0], [1, 0], [0, 5], [-3, 0], [1, 1]]))
+    assert len(T.pivots_of(unit, 10)) == 4 and T.pivots_of(unit, 2).tolist() == [[1, 0], [-1, 0]]
+    assert T.pivots_of(unit[:0], 3).shape == (0, 2)
