@@ -16,8 +16,9 @@ from ..functions import exprs as X
 from ..operators.joins import dimension_side, rollup_through_dimension
 from ..operators.lineage import materialize
 from ..operators.ranking import dense_rank_by_value, global_order
+from ..session import shared_work_dir
 from ..sources.fixtures import Tables
-from . import analysis, kpis
+from . import analysis, cube, kpis
 
 TOP_SHARE_NS = (10, 50)
 TOP_INDUSTRIES = 3
@@ -263,8 +264,7 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
     if methods:
         tx = tx.where(F.col("payment_method").isin(*methods))
     # one scan: sums per merchant (partial map-side), then the merchants asked for, totals and the merchant count
-    sums = {"gpv": X.gpv_sum(), "txns": F.count(F.lit(1)), "approved_txns": X.count_when(X.APPROVED),
-            "amount_total": X.money_sum("amount"), "amount_n": F.count("amount"), "fees": X.fee_sum()}
+    sums = cube.kpi_sums()
     per = tx.groupBy("merchant_id").agg(*[v.alias(k) for k, v in sums.items()])
     if regions or industries or sizes:
         dim = t.merchants
@@ -275,17 +275,20 @@ def filtered_kpis(t: Tables, start: str | None = None, end: str | None = None, r
         if sizes:
             dim = dim.where(F.col("merchant_size").isin(*sizes))
         per = per.join(dimension_side(t, "merchants", dim.select("merchant_id")), "merchant_id", "left_semi")
-    a = per.agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("active_merchants"))
-    return a.select(X.as_double(F.coalesce("gpv", F.lit(0))).alias("gpv"),
-                    F.coalesce(F.col("txns"), F.lit(0)).cast("bigint").alias("txns"),
-                    X.safe_div("approved_txns", "txns").alias("approval_rate"),
-                    X.mean_from_sums("amount_total", "amount_n").alias("avg_ticket"),
-                    X.safe_div("fees", "gpv").alias("fee_yield"), "active_merchants")
+    return cube.kpi_tiles(per.agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("active_merchants")))
+
+
+EXAMPLE_FILTERS = dict(start="1996-01-01", end="2000-12-31", regions=["EUROPE", "ASIA", "AMERICA"],
+                       sizes=["medium", "enterprise"], channels=["pos", "ecom"], methods=["card", "ach"])
 
 
 def filtered_kpis_example(t: Tables) -> DataFrame:
-    return filtered_kpis(t, start="1996-01-01", end="2000-12-31", regions=["EUROPE", "ASIA", "AMERICA"],
-                         sizes=["medium", "enterprise"], channels=["pos", "ecom"], methods=["card", "ach"])
+    return filtered_kpis(t, **EXAMPLE_FILTERS)
+
+
+def filtered_kpis_cube(t: Tables) -> DataFrame:
+    """The same tiles from the written cube."""
+    return cube.filtered_kpis(cube.write_cube(t, shared_work_dir(t.spark, "cube")), **EXAMPLE_FILTERS)
 
 
 def wow_growth(t: Tables) -> DataFrame:
@@ -422,6 +425,7 @@ QUERIES = {
     "cohort_delta": cohort_delta,
     "cohort_members": cohort_members,
     "filtered_kpis": filtered_kpis_example,
+    "filtered_kpis_cube": filtered_kpis_cube,
     "wow_growth": wow_growth,
     "rolling_28d_gpv": rolling_28d_gpv,
     "decline_rate_decomposition": decline_rate_decomposition,
