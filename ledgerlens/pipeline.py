@@ -8,6 +8,7 @@ rows, the card) reach the driver.
 """
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from .plans import features as FT
 from .plans import loads, models, quality
 from .session import ensure_checkpoint_dir
 from .sources import warehouse as W
+from .sources.catalog import write_bucketed
 from .sources.fixtures import Tables
 
 
@@ -112,19 +114,23 @@ def build_and_export_marts(t: Tables, paths: RunPaths) -> dict[str, int]:
     return loads.export_marts(t, paths.marts)
 
 
+def _table(paths: RunPaths, name: str) -> str:
+    """A name in the session's catalog that belongs to the run's folder."""
+    return f"{name}_{zlib.crc32(paths.base.encode()):08x}"
+
+
 def build_features(t: Tables, paths: RunPaths) -> DataFrame:
-    feats = FT.merchant_week_features(t).sortWithinPartitions("merchant_id", "week_start_date")
-    feats.write.mode("overwrite").parquet(paths.features)
-    out = t.spark.read.parquet(paths.features)
+    """The feature table, bucketed by merchant and sorted by week."""
+    out = write_bucketed(FT.merchant_week_features(t), _table(paths, "features"), paths.features, "merchant_id", FT.ID_COLUMNS)
     if out.limit(1).count() == 0:
         raise ValueError("feature table is empty")
     return out
 
 
 def make_labels(t: Tables, paths: RunPaths, horizon: int = FT.HORIZON) -> DataFrame:
-    table = FT.with_labels(FT.weekly_grid_exact(t), horizon).drop("_gpv_exact")
-    table.sortWithinPartitions("merchant_id", "week_start_date").write.mode("overwrite").parquet(paths.training)
-    return t.spark.read.parquet(paths.training)
+    """The training table from the saved features: spine and label windows work within the buckets."""
+    features = t.spark.table(_table(paths, "features"))
+    return write_bucketed(FT.training_table_from(features, horizon), _table(paths, "training"), paths.training, "merchant_id", FT.ID_COLUMNS)
 
 
 def train_and_evaluate(t: Tables, paths: RunPaths, label: str = models.LABEL, train_end_date: str | None = None,

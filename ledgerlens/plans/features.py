@@ -149,7 +149,11 @@ def weekly_grid_exact(t: Tables) -> DataFrame:
     partitioned by merchant), so no spine join is needed and the frame keeps
     its merchant partitioning for the label windows.
     """
-    f = features_exact(t)
+    return grid_of(features_exact(t))
+
+
+def grid_of(f: DataFrame) -> DataFrame:
+    """``weekly_grid_exact`` from feature rows."""
     by_merchant = Window.partitionBy("merchant_id").orderBy("week_start_date")
     f = f.withColumn("_next", F.lead("week_start_date").over(by_merchant))
     last_week = F.coalesce(F.date_sub("_next", 7), F.col("week_start_date"))
@@ -200,6 +204,15 @@ def training_table(t: Tables) -> DataFrame:
     return training_table_exact(t).drop("_gpv_exact")
 
 
+def training_table_from(features: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """The training table from a saved feature table. Over one bucketed by merchant no row is exchanged.
+
+    The exact volume of a week is its gpv in cents: the double nearest to a number of cents gives it back.
+    """
+    cents = F.round(F.col("gpv") * 100).cast("bigint")
+    return with_labels(grid_of(features.withColumn("_gpv_exact", cents)), horizon).drop("_gpv_exact")
+
+
 def churn_label(t: Tables) -> DataFrame:
     return training_table(t).select("merchant_id", "week_start_date", "churn_4w")
 

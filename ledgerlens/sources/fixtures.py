@@ -102,10 +102,12 @@ def transactions_from_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 class Tables:
     """Access to the three payments tables."""
 
-    def __init__(self, spark: SparkSession, loader, label: str):
+    def __init__(self, spark: SparkSession, loader, label: str, folder: str | None = None):
         self.spark = spark
         self._loader = loader
         self.label = label
+        #: Where the files of a loaded warehouse are.
+        self.folder = folder
 
     @classmethod
     def from_raw(cls, spark: SparkSession, sf_dir: str) -> "Tables":
@@ -125,7 +127,7 @@ class Tables:
         def load(name: str) -> DataFrame:
             df = spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{path.rstrip('/')}/{name}")
             return df
-        return cls(spark, load, f"warehouse:{path}")
+        return cls(spark, load, f"warehouse:{path}", path.rstrip("/"))
 
     @classmethod
     def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Tables":
