@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.lineage import materialize
 from ..operators.ranking import global_order
 from ..operators.selection import first_rows, median
+from ..sources import footers
 from ..sources.fixtures import Tables
 from . import features as FT
 
@@ -370,14 +371,17 @@ def q_feature_median(t: Tables) -> DataFrame:
 def latest_week_tables(t: Tables) -> Tables:
     """The tables with the transactions of the latest week alone.
 
-    The week is a range of dates, and of years and months, so a scan reads few
+    The latest day of a loaded warehouse comes from the footers of its files. The
+    week is a range of dates, and of years and months, so a scan reads few
     partitions and pushes the range down.
     """
     import datetime as dt
 
-    first = t.transactions.agg(F.trunc(F.max("txn_date"), "week")).first()[0]
-    if first is None:
+    latest = (footers.largest(t.spark, f"{t.folder}/transactions", "txn_date") if t.folder
+              else t.transactions.agg(F.max("txn_date")).first()[0])
+    if latest is None:
         return t
+    first = latest - dt.timedelta(days=latest.weekday())
     days = [first + dt.timedelta(days=i) for i in (0, 7)]
     months = sorted({(d.year, d.month) for d in (days[0], days[1] - dt.timedelta(days=1))})
     in_months = reduce(lambda a, b: a | b, [(F.col("partition_year") == y) & (F.col("partition_month") == m) for y, m in months])

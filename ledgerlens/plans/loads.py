@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_work_dir
-from ..sources import schemas
+from ..sources import footers, schemas
 from ..sources import warehouse as W
 from ..sources.fixtures import Tables
 from . import kpis, quality
@@ -54,12 +54,22 @@ def payments_layout(t: Tables) -> DataFrame:
     return load_transactions(Tables.from_payments(t.spark, base))
 
 
+TABLES = ("merchants", "customers", "transactions")
+
+
 def table_row_counts(t: Tables) -> DataFrame:
-    parts = [t.table(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-             for n in ("merchants", "customers", "transactions")]
+    """Rows of each table; of a loaded warehouse from the footers of its files."""
+    if t.folder:
+        return t.spark.createDataFrame([(n, footers.row_count(t.spark, f"{t.folder}/{n}")) for n in TABLES], "table_name string, rows bigint")
+    parts = [t.table(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
+def loaded_row_counts(t: Tables) -> DataFrame:
+    """Load the warehouse, and the rows of its tables by their footers."""
+    return table_row_counts(W.load_warehouse(t, shared_work_dir(t.spark, "warehouse")))
+
+
 def export_marts(t: Tables, base: str) -> dict[str, int]:
     """Write each KPI mart as CSV with a header (overwrite) under its name; mart -> rows, counted by the write jobs."""
     return {name: W.export_csv(fn(t), f"{base.rstrip('/')}/{name}") for name, fn in kpis.MARTS.items()}
@@ -85,6 +95,7 @@ QUERIES = {
     "load_customers": load_customers,
     "scan_partitioned": scan_partitioned,
     "table_row_counts": table_row_counts,
+    "loaded_row_counts": loaded_row_counts,
     "mart_export_counts": mart_export_counts,
     "load_checks": load_checks,
 }

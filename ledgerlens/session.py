@@ -28,6 +28,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def sibling_session(spark: SparkSession, settings: dict[str, str] | None = None) -> SparkSession:
+    """A session of the same application with the settings of this one and some of its own."""
+    other = spark.newSession()
+    for key, value in {**spark.conf.getAll, **(settings or {})}.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..session import sibling_session
 from . import schemas
 from .fixtures import Tables
 
@@ -40,10 +41,7 @@ def write_observed(writer, df: DataFrame, name: str, aggregates: list) -> dict:
     anything can no longer be sent to tasks, which fitted models with a training summary need.
     """
     spark, view = df.sparkSession, f"observed_{uuid.uuid4().hex}"
-    other = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            other.conf.set(key, value)
+    other = sibling_session(spark)
     df.createGlobalTempView(view)
     try:
         seen = Observation(name)
