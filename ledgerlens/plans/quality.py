@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators.joins import dimension_side, rollup_through_dimension
-from ..operators.keysets import is_dense, missing_keys
+from ..operators.keysets import dense, missing_keys
 from ..sources.fixtures import Tables
 
 
@@ -68,22 +68,30 @@ def dq_range_checks(t: Tables) -> DataFrame:
     return t.transactions.agg(*_range_counts())
 
 
-def _orphans(t: Tables, dim_name: str, key: str, out: str) -> DataFrame:
-    """Different keys of the fact without a dimension row. Dense keys meet as bitmaps, so no fact row is
-    shuffled; others as distinct keys in an anti join."""
-    dim = t.table(dim_name).select(key)
-    if is_dense(dim, key):
-        return missing_keys(t.transactions, dim, key, out)
-    keys = t.transactions.select(key).distinct()  # partial dedupe map-side before the shuffle
-    return keys.join(dimension_side(t, dim_name, dim), key, "left_anti").agg(F.count(F.lit(1)).alias(out))
+#: Check -> dimension and key of the fact.
+REFERENCES = {"missing_merchants": ("merchants", "merchant_id"), "missing_customers": ("customers", "customer_id")}
+
+
+def orphans(t: Tables, checks) -> DataFrame:
+    """One row: different keys of the fact without a dimension row, for each check. Dense keys meet as bitmaps,
+    so no fact row is shuffled; others as distinct keys in an anti join."""
+    dims = {check: (t.table(REFERENCES[check][0]).select(REFERENCES[check][1]), REFERENCES[check][1]) for check in checks}
+    close = dense(dims)
+    parts = [missing_keys(t.transactions, {c: dims[c] for c in checks if c in close})] if close else []
+    for check in (c for c in checks if c not in close):
+        dim, key = dims[check]
+        keys = t.transactions.select(key).distinct()  # partial dedupe map-side before the shuffle
+        parts.append(keys.join(dimension_side(t, REFERENCES[check][0], dim), key, "left_anti").agg(F.count(F.lit(1)).alias(check)))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return both.agg(*[F.max(check).alias(check) for check in checks])
 
 
 def dq_fk_merchant(t: Tables) -> DataFrame:
-    return _orphans(t, "merchants", "merchant_id", "missing_merchants")
+    return orphans(t, ["missing_merchants"])
 
 
 def dq_fk_customer(t: Tables) -> DataFrame:
-    return _orphans(t, "customers", "customer_id", "missing_customers")
+    return orphans(t, ["missing_customers"])
 
 
 PRIMARY_KEYS = {"merchants": "merchant_id", "customers": "customer_id", "transactions": "txn_id"}
@@ -126,7 +134,7 @@ def _finished(report: DataFrame) -> DataFrame:
 def key_report(t: Tables) -> DataFrame:
     """Orphans and repeated keys as rows. Orphans meet as bitmaps, so of the fact only txn_id is shuffled."""
     duplicates = dq_pk_duplicates(t).select("table_name", F.lit("duplicate_keys").alias("check_name"), F.col("duplicate_keys").alias("violations"))
-    return reduce(DataFrame.unionByName, [_as_rows(dq_fk_merchant(t), "transactions"), _as_rows(dq_fk_customer(t), "transactions"), duplicates])
+    return _as_rows(orphans(t, list(REFERENCES)), "transactions").unionByName(duplicates)
 
 
 def dq_report(t: Tables) -> DataFrame:

@@ -21,15 +21,17 @@ def test_missing_keys_against_sets(spark, seed):
     rnd = random.Random(seed)
     dim = {rnd.randint(-40_000, 70_000) for _ in range(3000)}
     fact = [rnd.choice([None, rnd.randint(-50_000, 200_000), rnd.randint(0, 2 ** 60), rnd.choice(sorted(dim))]) for _ in range(4000)]
-    got = K.missing_keys(keys(spark, fact), keys(spark, [*dim, None]), "k", "n").first()["n"]
-    assert got == len(set(fact) - dim)
-    assert K.missing_keys(keys(spark, sorted(dim)), keys(spark, dim), "k", "n").first()["n"] == 0
-    assert K.missing_keys(keys(spark, []), keys(spark, dim), "k", "n").first()["n"] == 0
+    other = {v for v in dim if v % 3}
+    rows = spark.createDataFrame([(a, b) for a, b in zip(fact, reversed(fact))], "k bigint, j bigint")
+    got = K.missing_keys(rows, {"n": (keys(spark, [*dim, None]), "k"), "m": (keys(spark, other, "j"), "j")}).first()
+    assert tuple(got) == (len(set(fact) - dim), len(set(fact) - other))
+    for values in (sorted(dim), []):
+        assert K.missing_keys(keys(spark, values), {"n": (keys(spark, dim), "k")}).first()["n"] == 0
 
 
 def test_dense_keys_and_repeats(spark):
-    assert K.is_dense(keys(spark, range(1, 101)), "k") and not K.is_dense(keys(spark, range(10)), "k")
-    assert not K.is_dense(keys(spark, [i << 40 for i in range(500)]), "k") and not K.is_dense(keys(spark, []), "k")
+    dims = {"close": range(1, 101), "few": range(10), "far": [i << 40 for i in range(500)], "none": [], "negative": range(-200, 0)}
+    assert K.dense({name: (keys(spark, values), "k") for name, values in dims.items()}) == {"close", "negative"}
     assert K.repeats(keys(spark, [1, 2, 1]), "k") and not K.repeats(keys(spark, [1, 2, None, None, 1 << 50]), "k")
 
 
