@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +42,8 @@ from .token_files import Encoder
 BLOCK_TOKENS = 1_000_000
 #: Texts aligned together, by count and by characters.
 GROUP_DOCS, GROUP_CHARS = 500, 1_000_000
+#: Words an encoder keeps, about 200 bytes each.
+CACHED_WORDS = 250_000
 #: A group with more token pairs than this is counted by its different ids.
 MOST_PAIRS = 1 << 16
 #: Blocks of one partition are numbered below this bit.
@@ -65,11 +68,21 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(other)}
 
 
+class WordEncoder(Encoder):
+    """Keeps a bounded number of words; two encoders share a worker here."""
+
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        found = super()._lookup(words)
+        if len(self.spaced) > CACHED_WORDS:
+            self.spaced = {}
+        return found
+
+
 class ByteLevel:
     """A file of the tokenizers library; special tokens in texts are plain text."""
 
     def __init__(self, path: str):
-        self.encoder = Encoder(path)
+        self.encoder = WordEncoder(path)
         self.encoder.tokenizer.encode_special_tokens = True
         self.kind = np.dtype(np.uint16 if self.encoder.code == "H" else np.uint32)
         alphabet = byte_alphabet()
@@ -84,6 +97,30 @@ class ByteLevel:
         return [np.frombuffer(x, self.kind) for x in self.encoder.encode([" " + t for t in texts])]
 
 
+class WordPieces(WordEncoder):
+    """Encodes words of a SentencePiece model, each once, and texts from their words.
+
+    Only for a vocabulary in which no piece has a blank after another character: then no merge
+    crosses the place before a word, and words encode independently.
+    """
+
+    def __init__(self, model):
+        self.model = model
+        self.code = "H" if model.vocab_size() <= 1 << 16 else "I"
+        self.spaced = {}
+
+    def _bytes(self, texts: list[str]) -> list[bytes]:
+        # The model adds the blank that these texts start with.
+        return [array(self.code, x).tobytes() for x in self.model.encode([t.removeprefix(" ") for t in texts], num_threads=1)]
+
+    def _word_bytes(self, words: list[str]) -> list[bytes]:
+        return [array(self.code, x).tobytes() for x in self.model.encode(words, num_threads=1)]
+
+
+#: A blank before another white-space character or the end of a text.
+_LOOSE_BLANK = re.compile(r" (?!\S)")
+
+
 class Pieces:
     """A SentencePiece model, which adds the leading space itself."""
 
@@ -92,6 +129,8 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.kind = np.dtype(np.uint16 if self.model.vocab_size() <= 1 << 16 else np.uint32)
         self.entries = pa.array([self._bytes(i) for i in range(self.model.vocab_size())], pa.large_binary())
+        pieces = [self.model.id_to_piece(i).lstrip("▁") for i in range(self.model.vocab_size())]
+        self.words = None if any("▁" in p for p in pieces) else WordPieces(self.model)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
@@ -100,7 +139,11 @@ class Pieces:
         return piece.replace("▁", " ").encode()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, self.kind) for x in self.model.encode(texts, num_threads=1)]
+        whole = [self.words is None or not t or _LOOSE_BLANK.search(t) is not None or t[0] == " " for t in texts]
+        ids = self.model.encode([t for t, w in zip(texts, whole, strict=True) if w], num_threads=1)
+        rest = self.words.encode([" " + t for t, w in zip(texts, whole, strict=True) if not w]) if self.words else []
+        by_text, by_word = iter(ids), iter(rest)
+        return [np.array(next(by_text), self.kind) if w else np.frombuffer(next(by_word), self.kind) for w in whole]
 
 
 _sides: dict[tuple[type, str], ByteLevel | Pieces] = {}

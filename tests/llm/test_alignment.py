@@ -101,6 +101,11 @@ def test_random_texts(texts):
         (w[1], w[2], w[3], w[4], w[7]) for w in want]
 
 
+def test_words_that_were_forgotten_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(A, "CACHED_WORDS", 3)
+    test_random_texts()
+
+
 def test_group_of_very_many_pairs_is_counted_by_different_ids(monkeypatch):
     monkeypatch.setattr(A, "MOST_PAIRS", 1)
     test_random_texts()
