@@ -39,11 +39,11 @@ from .common import materialize, parts, partition_id, record_batch, shuffle_part
 from .token_files import Encoder
 
 #: Documents and tokens of the first side in a block.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 #: Texts aligned together, by count and by characters.
-GROUP_DOCS, GROUP_CHARS = 500, 1_000_000
+GROUP_DOCS, GROUP_CHARS = 300, 500_000
 #: Words an encoder keeps, about 200 bytes each.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 100_000
 #: A group with more token pairs than this is counted by its different ids.
 MOST_PAIRS = 1 << 16
 #: Blocks of one partition are numbered below this bit.
