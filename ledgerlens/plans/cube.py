@@ -2,7 +2,7 @@
 
 A cell is a period, channel, payment method, region, industry, merchant size and
 bucket of merchant ids; it has the additive sums and the bitmap of its merchants.
-Periods are months and days (GROUPING SETS over one scan), so a date range reads its
+Periods are months and days (of one scan), so a date range reads its
 whole months as months and only the days at its ends as days. Distinct merchants are
 the bits of the cells' union: exact under any filters, which a sum of distinct counts
 is not. The number of cells is bounded by the calendar, the categories and the
@@ -40,21 +40,24 @@ def kpi_tiles(sums: DataFrame) -> DataFrame:
 
 def kpi_cube(t: Tables) -> DataFrame:
     """grain (month, day), period, the dimensions, bucket, the sums and bits. The fact is scanned once and
-    reduced to merchant and day before it meets the merchants; merchants without a row have no attributes."""
+    reduced to merchant and day before it meets the merchants; merchants without a row have no attributes.
+
+    The rows of a cell meet in one exchange by range of the cells' keys, so every bitmap is built once, at its end:
+    no partial bitmap is sent, and the cells come out in order.
+    """
     daily = t.transactions.groupBy("txn_date", "merchant_id", "channel", "payment_method").agg(*[v.alias(k) for k, v in kpi_sums().items()])
     dim = dimension_side(t, "merchants", t.merchants.select("merchant_id", *MERCHANT_DIMS, F.lit(True).alias("known")))
-    rows = daily.join(dim, "merchant_id", "left").withColumns({
-        "month": F.trunc("txn_date", "month"), "bucket": bucket("merchant_id"), "bit": F.bitmap_bit_position("merchant_id")})
+    grains = F.array(F.struct(F.lit("month").alias("grain"), F.trunc("txn_date", "month").alias("period")),
+                     F.struct(F.lit("day").alias("grain"), F.col("txn_date").alias("period")))
+    rows = daily.join(dim, "merchant_id", "left").withColumns({"bucket": bucket("merchant_id"), "bit": F.bitmap_bit_position("merchant_id")})
     keys = [*DIMS, "known", "bucket"]
-    cells = rows.groupingSets([["month", *keys], ["txn_date", *keys]], "month", "txn_date", *keys).agg(
-        F.grouping("txn_date").alias("is_month"), *[F.sum(c).alias(c) for c in SUMS], F.bitmap_construct_agg("bit").alias("bits"))
-    return cells.select(F.when(F.col("is_month") == 1, "month").otherwise("day").alias("grain"),
-                        F.when(F.col("is_month") == 1, F.col("month")).otherwise(F.col("txn_date")).alias("period"), *keys, *SUMS, "bits")
+    rows = rows.select(F.inline(grains), *keys, *SUMS, "bit").repartitionByRange("grain", "period", *keys)
+    return rows.groupBy("grain", "period", *keys).agg(*[F.sum(c).alias(c) for c in SUMS], F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def write_cube(t: Tables, path: str) -> DataFrame:
-    """The cube as files: one folder for each grain, sorted by period."""
-    cells = kpi_cube(t).repartitionByRange("grain", "period").sortWithinPartitions("grain", "period")
+    """The cube as files: one folder for each grain, in order of period."""
+    cells = kpi_cube(t)
     cells.write.mode("overwrite").partitionBy("grain").parquet(path, compression="zstd")
     return read_cube(t.spark, path, cells)
 
