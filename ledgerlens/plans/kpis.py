@@ -127,6 +127,8 @@ def decline_drivers(t: Tables) -> DataFrame:
                        X.safe_div("declined_txns", "total_txns").alias("decline_rate"))
 
 
+#: Columns of the fact that the marts read.
+FACT_COLUMNS = ["txn_date", "merchant_id", "amount", "approved", "decline_reason", "fee", "channel", "partition_year"]
 MARTS = {
     "kpi_daily": kpi_daily,
     "kpi_monthly": kpi_monthly,

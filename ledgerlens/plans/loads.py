@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lineage import materialize
 from ..session import shared_work_dir
 from ..sources import footers, schemas
 from ..sources import warehouse as W
@@ -71,7 +72,12 @@ def loaded_row_counts(t: Tables) -> DataFrame:
 
 
 def export_marts(t: Tables, base: str) -> dict[str, int]:
-    """Write each KPI mart as CSV with a header (overwrite) under its name; mart -> rows, counted by the write jobs."""
+    """Write each KPI mart as CSV with a header (overwrite) under its name; mart -> rows, counted by the write jobs.
+
+    All marts read one fact: of a loaded warehouse its files, else the derived rows, written once.
+    """
+    if not t.folder:
+        t = t.replace(transactions=materialize(t.transactions.select(*kpis.FACT_COLUMNS), "marts-fact"))
     return {name: W.export_csv(fn(t), f"{base.rstrip('/')}/{name}") for name, fn in kpis.MARTS.items()}
 
 
