@@ -108,3 +108,22 @@ def test_signal_is_found(spark):
     model = N.HashedKnn.fit(df.where("row % 4 != 0"), names)
     scored = model.score(df.where("row % 4 = 0"), [F.col("label").cast("int").alias("y_true")])
     assert EV.roc_auc_average_precision(scored).first()["roc_auc"] > 0.75
+
+
+def test_orders_carry_no_vectors(spark):
+    rng = np.random.default_rng(6)
+    train, names = frame(spark, rng.normal(size=(50, 3)), np.zeros(50))
+    model = N.HashedKnn.fit(train, names, window=5, tables=2)
+    queries = train.select(N.standardised(names, model.mean, model.scale).alias("x")).withColumn("id", F.xxhash64("x"))
+    placed = model._placed(model._both(queries))
+    assert "x" not in placed.columns and placed.count() == 2 * (50 + 50)
+
+
+def test_nearest_by_products_is_exact_in_order_of_place():
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(size=(200, 5)) * 1000, np.ones((30, 5)), rng.normal(size=(20, 5)) * 1e-6])
+    q = np.concatenate([x[:20], np.ones((2, 5)), np.zeros((2, 5)), rng.normal(size=(20, 5)) * 100])
+    for i, (distance, at) in enumerate(N._nearest(x, q, 15)):
+        whole = np.round(np.sqrt(((q[i] - x) ** 2).sum(axis=1)), 12)
+        want = np.argsort(whole, kind="stable")[:15]
+        assert at.tolist() == want.tolist() and distance.tolist() == whole[want].tolist()
