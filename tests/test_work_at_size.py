@@ -45,3 +45,13 @@ def test_the_roundtrip_computes_the_features_once(spark, monkeypatch):
     monkeypatch.setattr(M.FT, "merchant_week_features", lambda t: real(t).withColumn("run", run("txns")))
     row, = M.q_feature_table_roundtrip(some(spark)).collect()
     assert row.differing_rows == 0 and row["rows"] > 0
+
+
+def test_trees_are_fitted_on_small_partitions(spark, monkeypatch):
+    rows = spark.range(20_000).selectExpr("id merchant_id", "date_add(date'2024-01-01', int(id % 20) * 7) week_start_date", "double(id % 2) churn_4w",
+                                          "0.0 rev_decline_40pct", "rand(1) a", "rand(2) b").coalesce(1)
+    run = M.TrainRun(None, training=M.materialize(rows, "test-training"))
+    monkeypatch.setattr(M, "TREE_SPLIT", "64k")
+    small = run.tree_rows()
+    assert small.rdd.getNumPartitions() > run.train.rdd.getNumPartitions()
+    assert sorted(map(tuple, small.select(run.train.columns).collect())) == sorted(map(tuple, run.train.collect()))
