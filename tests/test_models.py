@@ -102,6 +102,21 @@ def test_search_winner_is_a_candidate(spark, small_run):
     small_run.order.remove(M.SEARCH)
 
 
+def test_candidates_share_medians_and_are_measured_once(spark, small_run, monkeypatch):
+    searched, measured = [], []
+    fit, metrics = M.MedianImputer._fit, EV.model_metrics
+    monkeypatch.setattr(M.MedianImputer, "_fit", lambda self, df: searched.append(1) or fit(self, df))
+    monkeypatch.setattr(EV, "model_metrics", lambda scored, name: measured.append(name) or metrics(scored, name))
+    run = M.TrainRun(small_run.t, training=small_run.training)
+    best = run.best()
+    card = M.model_card(run, {m: m for m in run.order})
+    assert card["best_model"]["name"] == best and len(searched) == 1 and sorted(measured) == sorted(M.MODEL_ORDER)
+    alone = M.gradient_boosting(run.names).fit(run.tree_rows())
+    keep = ["merchant_id", "week_start_date"]
+    assert sorted(map(tuple, M.score(alone, run.test, keep).collect())) == sorted(
+        (r.merchant_id, r.week_start_date, r.score) for r in run.prediction("gradient_boosting").collect())
+
+
 def test_split_contract(spark):
     rows = [(i, dt.date(2024, 1, 1) + dt.timedelta(weeks=i), 1.0) for i in range(20)]
     df = spark.createDataFrame(rows, "merchant_id bigint, week_start_date date, churn_4w double")
