@@ -1,4 +1,6 @@
 """Hashed nearest neighbours: exact form against brute force, recall of the tables."""
+import os
+
 import numpy as np
 import pytest
 from helpers import SF_SMALL
@@ -8,7 +10,7 @@ from ledgerlens.plans import evaluation as EV
 from ledgerlens.plans import features as FT
 from ledgerlens.plans import models as M
 from ledgerlens.plans import neighbours as N
-from ledgerlens.session import shared_work_dir
+from ledgerlens.session import shared_work_dir, sibling_session
 from ledgerlens.sources.fixtures import Tables
 
 
@@ -127,3 +129,68 @@ def test_nearest_by_products_is_exact_in_order_of_place():
         whole = np.round(np.sqrt(((q[i] - x) ** 2).sum(axis=1)), 12)
         want = np.argsort(whole, kind="stable")[:15]
         assert at.tolist() == want.tolist() and distance.tolist() == whole[want].tolist()
+
+
+def by_places(model, queries):
+    """The k nearest of each query among the entries whose places in some order are within the window."""
+    both = model._both(queries)
+    vectors = {(r.entry, r.id): np.array(r.x) for r in both.collect()}
+    placed = model._placed(both).collect()
+    out = {}
+    for r in (r for r in placed if r.entry == 0):
+        near = {e.id for e in placed if e.entry == 1 and e.grid == r.grid and r.upto - model.window < e.upto <= r.upto + model.window}
+        out.setdefault(r.id, set()).update(near)
+    return {i: sorted((float(np.round(np.sqrt(((vectors[0, i] - vectors[1, e]) ** 2).sum()), 12)), e) for e in near)[:model.k]
+            for i, near in out.items()}
+
+
+@pytest.mark.parametrize("cells, wave", [(16_384, 10_000), (5, 300)])
+def test_waves_of_packed_blocks_find_what_the_places_say(spark, monkeypatch, cells, wave):
+    for name, value in {"BLOCK": 20, "CELLS": cells, "BLOCK_CELLS": 1, "WAVE_ROWS": wave, "PACK_ROWS": 50}.items():
+        monkeypatch.setattr(N, name, value)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(120, 3)), rng.integers(0, 2, (30, 3)) * 1e-3])
+    train, names = frame(spark, x, rng.integers(0, 2, len(x)))
+    test, _ = frame(spark, np.concatenate([rng.normal(size=(25, 3)), x[:8], np.full((1, 3), 50.0)]), np.zeros(34))
+    model = N.HashedKnn.fit(train, names, k=4, window=6, tables=4)
+    queries = test.select(N.standardised(names, model.mean, model.scale).alias("x")).withColumn("id", F.xxhash64("x"))
+    got = {r.id: [(e.distance, e.id) for e in r.near] for r in model.near(queries).collect()}
+    assert got == by_places(model, queries) and len(got) == 34
+    blocks = model._blocks(queries)
+    assert blocks.where("entry > 0").count() < blocks.agg(F.sum("entry")).first()[0] / 4
+
+
+def test_a_wave_leaves_neither_its_exchange_nor_the_wave_before(spark, monkeypatch):
+    def left():
+        base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return {p for p in os.listdir(base) if p.startswith("ledgerlens-knn-near")}
+    monkeypatch.setattr(N, "WAVE_ROWS", 200)
+    rng = np.random.default_rng(9)
+    train, names = frame(spark, rng.normal(size=(200, 3)), np.zeros(200))
+    model = N.HashedKnn.fit(train, names, window=5, tables=3)
+    before, sessions = left(), []
+    monkeypatch.setattr(N, "sibling_session", lambda *a: sessions.append(sibling_session(*a)) or sessions[-1])
+    assert model.score(train, ["row"]).count() == 200
+    assert len(left() - before) == 1
+    assert sessions[0].conf.get(*list(N.SHUFFLES_REMOVED)) == "true"
+
+
+def test_exact_form_holds_a_tile_and_gathers_no_group(spark, monkeypatch):
+    """Every query met every block in a group of its own; now a task has one tile, and k entries of each query at a time."""
+    for name, value in {"TILE": 7, "LEAST_TILE": 3, "EXACT_ENTRIES": 11, "EXACT_CELLS": 40}.items():
+        monkeypatch.setattr(N, name, value)
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(size=(90, 3)) * 1000, rng.integers(0, 3, (40, 3))]).astype(float)
+    y = rng.integers(0, 2, len(x)).astype(float)
+    train, names = frame(spark, x, y)
+    q = np.concatenate([rng.normal(size=(20, 3)) * 1000, x[-5:], rng.integers(0, 3, (10, 3))])
+    test, _ = frame(spark, q, np.zeros(len(q)))
+    model = N.HashedKnn.fit(train, names, k=6, window=None)
+    queries = test.select(N.standardised(names, model.mean, model.scale).alias("x")).withColumn("id", F.xxhash64("x")).dropDuplicates(["id"])
+    near = model.near(queries)
+    assert "FlatMapGroups" not in near._jdf.queryExecution().executedPlan().toString()
+    entries = [(np.array(e.x), e.id) for e in model.entries.collect()]
+    for r in queries.join(near, "id").collect():
+        want = sorted((float(np.round(np.sqrt(((np.array(r.x) - v) ** 2).sum()), 12)), i) for v, i in entries)[:6]
+        assert [e.id for e in r.near] == [i for _, i in want]
+        assert np.allclose([e.distance for e in r.near], [d for d, _ in want], rtol=0, atol=1e-11)
